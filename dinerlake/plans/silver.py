@@ -95,7 +95,9 @@ def clean_dates(raw: DataFrame) -> DataFrame:
         return F.coalesce(F.when(F.col(name).rlike(r"^\d+$"), cl.parse_int(name)), derived)
 
     numbered = F.col("month").rlike(r"^\d+$")
-    first_of_month = F.try_to_date(F.concat_ws("-", F.col("month"), F.lit("1")), "M-d")
+    first_of_month = F.try_to_date(
+        F.concat(F.lit("2000-"), F.col("month"), F.lit("-1")), "yyyy-M-d"
+    )
     return good.select(
         "date_key",
         weekday_name("date_key").alias("day_of_week"),

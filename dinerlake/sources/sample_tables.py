@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dinerlake.functions.numeric import line_total
-from dinerlake.operators.calendar import date_dim, days_between
+from dinerlake.operators.calendar import date_dim
 from dinerlake.schemas import UNIT_PRICE, columns_of
 
 # Month, day and name of the sample holidays.
@@ -109,18 +109,9 @@ def holidays(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(HOLIDAYS, "month int, day int, holiday_name string")
 
 
-def date_range(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
-    row = table(spark, sf_dir, "orders").agg(
-        F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))
-    ).first()
-    return row[0], row[1]
-
-
-def dates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """The date dimension over all order dates, and its number of days."""
-    start, end = date_range(spark, sf_dir)
-    dim = date_dim(spark, start, end, holidays(spark), on=["month", "day"])
-    return dim, days_between(start, end)
+def dates(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """The date dimension over a range of order dates."""
+    return date_dim(spark, start, end, holidays(spark), on=["month", "day"])
 
 
 # --- raw text with faults ---------------------------------------------------
