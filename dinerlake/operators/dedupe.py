@@ -44,19 +44,19 @@ def newest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return first_per_key(df, keys, order)
 
 
-def dedupe_items(items: DataFrame) -> DataFrame:
-    """Silver rule: one row per line content."""
-    return newest_per_key(items, ITEM_CONTENT)
+def dedupe_items(items: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Silver rule: one row per line content, optionally within each ``within`` value."""
+    return newest_per_key(items, [*within, *ITEM_CONTENT])
 
 
-def dedupe_options(options: DataFrame) -> DataFrame:
+def dedupe_options(options: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Silver rule: one row per option content."""
-    return newest_per_key(options, OPTION_CONTENT)
+    return newest_per_key(options, [*within, *OPTION_CONTENT])
 
 
-def current_items(items: DataFrame) -> DataFrame:
+def current_items(items: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Newest version of each (order, line)."""
-    return newest_per_key(items, LINE_KEY)
+    return newest_per_key(items, [*within, *LINE_KEY])
 
 
 def current_options(options: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dinerlake.functions.numeric import extended_price, zero
 from dinerlake.operators.joins import join_to_unique, keep_matching
-from dinerlake.schemas import FINE_MONEY, LINE_KEY, ORDER_MONEY
+from dinerlake.schemas import LINE_KEY, ORDER_MONEY
 
 SPLIT_COLUMNS = ["options_regular_total", "options_discounts_total"]
 
@@ -86,7 +86,7 @@ def orders_by_user(enriched: DataFrame) -> DataFrame:
     """User, date and order grain; lines without a user are left out."""
     known = enriched.filter(F.col("user_id").isNotNull())
     return known.groupBy("user_id", "order_date", "order_id").agg(
-        F.sum("line_total").cast(FINE_MONEY).alias("order_gross"),
+        F.sum("line_total").cast(ORDER_MONEY).alias("order_gross"),
         F.sum("item_quantity").alias("order_items_count"),
         F.coalesce(F.bool_or("is_loyalty"), F.lit(False)).alias("is_loyalty_order"),
     )
@@ -95,9 +95,9 @@ def orders_by_user(enriched: DataFrame) -> DataFrame:
 def orders_discount(enriched: DataFrame) -> DataFrame:
     """Store, date and order grain with amounts before and after discounts."""
     return enriched.groupBy("restaurant_id", "order_date", "order_id").agg(
-        F.sum("line_pre_total").cast(FINE_MONEY).alias("order_pre_total"),
-        F.sum("line_total").cast(FINE_MONEY).alias("order_net_total"),
-        F.sum(-F.col("options_discounts_total")).cast(FINE_MONEY).alias("order_discount_abs"),
+        F.sum("line_pre_total").cast(ORDER_MONEY).alias("order_pre_total"),
+        F.sum("line_total").cast(ORDER_MONEY).alias("order_net_total"),
+        F.sum(-F.col("options_discounts_total")).cast(ORDER_MONEY).alias("order_discount_abs"),
         F.sum("discount_count_line").alias("order_discount_count"),
         F.bool_or("has_discount_line").alias("has_discount_order"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dinerlake.functions.numeric import change, ratio_or_zero, zero
 from dinerlake.operators.lines import orders_by_store, orders_by_user, orders_discount
-from dinerlake.schemas import FINE_MONEY, MART_MONEY, ORDER_MONEY, columns_of
+from dinerlake.schemas import AVERAGE_MONEY, MART_MONEY, ORDER_MONEY, columns_of
 from dinerlake.session import cut_lineage
 
 # Samples kept by the quantile sketch: rank error at most one in this many.
@@ -63,9 +63,9 @@ def discounts_by_day(enriched: DataFrame) -> DataFrame:
         F.count("order_id").alias("orders_count"),
         F.count_if("has_discount_order").alias("discounted_orders"),
         F.sum("order_discount_count").alias("count_discounts"),
-        F.sum("order_discount_abs").cast(FINE_MONEY).alias("discount_amount_abs"),
-        F.sum("order_pre_total").cast(FINE_MONEY).alias("pre_discount_sales"),
-        F.sum("order_net_total").cast(FINE_MONEY).alias("net_sales_after_discounts"),
+        F.sum("order_discount_abs").cast(ORDER_MONEY).alias("discount_amount_abs"),
+        F.sum("order_pre_total").cast(ORDER_MONEY).alias("pre_discount_sales"),
+        F.sum("order_net_total").cast(ORDER_MONEY).alias("net_sales_after_discounts"),
     )
     return daily.select(
         "restaurant_id", "orders_count", "discounted_orders", "count_discounts",
@@ -95,7 +95,7 @@ def customer_features(enriched: DataFrame, snapshot: dt.date) -> DataFrame:
             F.lit(snapshot - dt.timedelta(days=first)), F.lit(snapshot - dt.timedelta(days=last))
         )
 
-    nothing = zero(FINE_MONEY)
+    nothing = zero(ORDER_MONEY)
     last_90, prev_90 = in_window(89, 0), in_window(179, 90)
     per_order = orders_by_user(known).groupBy("user_id", "order_id").agg(
         F.min(day).alias("first_date"),
@@ -112,14 +112,14 @@ def customer_features(enriched: DataFrame, snapshot: dt.date) -> DataFrame:
         F.min("first_date").alias("first_order_date"),
         F.max("last_date").alias("last_order_date"),
         F.count("order_id").alias("lifetime_orders"),
-        F.sum("gross").cast(FINE_MONEY).alias("lifetime_gross_sales"),
+        F.sum("gross").cast(ORDER_MONEY).alias("lifetime_gross_sales"),
         F.sum("loyal_rows").alias("loyalty_orders"),
         F.sum("order_rows").alias("order_rows"),
         F.count_if("in_last_90").alias("last_90d_orders_count"),
-        F.sum("gross_last_90").cast(FINE_MONEY).alias("last_90d_sales"),
-        F.sum("gross_prev_90").cast(FINE_MONEY).alias("prev_90d_sales"),
+        F.sum("gross_last_90").cast(ORDER_MONEY).alias("last_90d_sales"),
+        F.sum("gross_prev_90").cast(ORDER_MONEY).alias("prev_90d_sales"),
     )
-    average = (F.col("lifetime_gross_sales") / F.col("lifetime_orders")).cast(FINE_MONEY)
+    average = (F.col("lifetime_gross_sales") / F.col("lifetime_orders")).cast(AVERAGE_MONEY)
     return per_user.select(
         "user_id", "first_order_date", "last_order_date", "lifetime_orders",
         "lifetime_gross_sales",
@@ -157,16 +157,19 @@ def _quintile(value: str, cuts: str) -> Column:
 
 
 def score_customers(features: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """RFM scores, value band and segment; ``thresholds`` is a single row."""
-    joined = features.crossJoin(F.broadcast(thresholds))
+    """RFM scores, value band and segment; ``thresholds`` is a single row.
+
+    The row enters as a scalar subquery, so every task gets it as a constant.
+    """
+    cuts = thresholds.select(F.struct(*thresholds.columns).alias("cuts")).scalar()
     lifetime = F.col("lifetime_gross_sales")
-    scored = joined.withColumns({
-        "recency_score": F.lit(6) - _quintile("days_since_last_order", "recency_q"),
-        "frequency_score": _quintile("last_90d_orders_count", "frequency_q"),
-        "monetary_score": _quintile("last_90d_sales", "monetary_q"),
-        "clv_band": F.when(lifetime >= F.col("clv_q")[1], "High")
-        .when(lifetime >= F.col("clv_q")[0], "Medium").otherwise("Low"),
-    }).drop(*thresholds.columns)
+    scored = features.withColumn("_cuts", cuts).withColumns({
+        "recency_score": F.lit(6) - _quintile("days_since_last_order", "_cuts.recency_q"),
+        "frequency_score": _quintile("last_90d_orders_count", "_cuts.frequency_q"),
+        "monetary_score": _quintile("last_90d_sales", "_cuts.monetary_q"),
+        "clv_band": F.when(lifetime >= F.col("_cuts.clv_q")[1], "High")
+        .when(lifetime >= F.col("_cuts.clv_q")[0], "Medium").otherwise("Low"),
+    }).drop("_cuts")
     recent, often, much = (
         F.col(f"{name}_score") for name in ("recency", "frequency", "monetary")
     )

@@ -136,15 +136,13 @@ def segment_summary(g3: DataFrame) -> DataFrame:
         mean_money("lifetime_gross_sales").alias("avg_clv"),
         total_money(F.coalesce("last_90d_sales", F.lit(0))).alias("sales_90d"),
     )
-    # A handful of segment rows: the grand totals are one-row frames.
-    totals = counted.agg(
-        F.sum("customers").alias("_customers"), F.sum("sales_90d").alias("_sales")
-    )
-    return counted.crossJoin(F.broadcast(totals)).select(
+    # The grand totals run over the four segment rows only.
+    all_segments = Window.partitionBy()
+    return counted.select(
         "segment_label", "customers",
-        ratio("customers", "_customers").alias("customer_share"),
+        ratio("customers", F.sum("customers").over(all_segments)).alias("customer_share"),
         "loyalty_share", "avg_clv", "sales_90d",
-        ratio("sales_90d", "_sales").alias("sales_share"),
+        ratio("sales_90d", F.sum("sales_90d").over(all_segments)).alias("sales_share"),
     )
 
 
@@ -270,22 +268,14 @@ def weekday_profile(dow: DataFrame, stores: Sequence[str] | None = None) -> Data
     means = only_stores(dow, stores).groupBy("day_of_week").agg(
         F.avg(F.col("avg_sales_dow").cast("double")).alias("mean_sales")
     )
-    ahead = means.select(
-        F.col("mean_sales").alias("_other"), weekday_number("day_of_week").alias("_other_no")
-    )
-    no = weekday_number("day_of_week")
-    before = (F.col("_other") > F.col("mean_sales")) | (
-        (F.col("_other") == F.col("mean_sales")) & (F.col("_other_no") < no)
-    )
-    ranked = means.crossJoin(F.broadcast(ahead)).groupBy("day_of_week", "mean_sales").agg(
-        (F.count_if(before) + 1).cast("int").alias("sales_rank"),
-        F.count(F.lit(1)).alias("_days"),
-    )
-    return ranked.select(
+    # The rank runs over the seven weekday rows only.
+    by_sales = Window.orderBy(F.desc("mean_sales"), weekday_number("day_of_week"))
+    rank, days = F.col("sales_rank"), F.count(F.lit(1)).over(Window.partitionBy())
+    ranked = means.withColumn("sales_rank", F.row_number().over(by_sales))
+    return ranked.withColumn("_days", days).select(
         "day_of_week", "mean_sales", "sales_rank",
-        F.when(F.col("sales_rank") == 1, "highest")
-        .when(F.col("sales_rank") == F.col("_days"), "lowest")
-        .when(F.col("sales_rank") == 2, "second").alias("position"),
+        F.when(rank == 1, "highest").when(rank == F.col("_days"), "lowest")
+        .when(rank == 2, "second").alias("position"),
     )
 
 

@@ -9,7 +9,7 @@ from dinerlake.functions.numeric import money_per, total_money, zero
 from dinerlake.operators.calendar import join_dates
 from dinerlake.operators.shaping import top
 from dinerlake.plans.views import customer_facts_latest, store_sales_latest
-from dinerlake.schemas import FINE_MONEY
+from dinerlake.schemas import ORDER_MONEY
 
 
 def sales_per_day(g1: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def top_items(item_sales: DataFrame, n: int = 20) -> DataFrame:
 def discounted_vs_full_price(orders: DataFrame) -> DataFrame:
     """Net sales of orders with and without a discount, per day."""
     net, discounted = F.col("order_net_total"), F.col("has_discount_order")
-    nothing = zero(FINE_MONEY)
+    nothing = zero(ORDER_MONEY)
     return orders.groupBy("order_date").agg(
         total_money(F.when(discounted, net).otherwise(nothing)).alias("discounted_sales"),
         total_money(F.when(discounted, nothing).otherwise(net)).alias("full_price_sales"),

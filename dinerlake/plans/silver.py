@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dinerlake.functions import cleansing as cl
@@ -13,7 +15,7 @@ from dinerlake.functions.dates import month_name, shift_days, weekday_name
 from dinerlake.functions.numeric import line_total
 from dinerlake.operators import quality as ql
 from dinerlake.operators.dedupe import dedupe_items, dedupe_options, first_per_key
-from dinerlake.operators.joins import keep_matching
+from dinerlake.operators.joins import join_to_unique, keep_matching
 from dinerlake.schemas import (
     LINE_KEY, MAX_CATEGORY, MAX_NAME, OPTION_KEY, UNIT_PRICE, columns_of,
 )
@@ -40,7 +42,7 @@ def typed_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def _one_per(df: DataFrame, keys: list[str]) -> DataFrame:
+def one_per(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key, chosen by all other columns so the choice is repeatable."""
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
     return first_per_key(df, keys, rest)
@@ -48,7 +50,7 @@ def _one_per(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def judged_items(raw: DataFrame) -> DataFrame:
     """Typed lines, one per (order, line), with their reject reason or NULL."""
-    return ql.with_reason(_one_per(typed_items(raw), LINE_KEY), ql.item_reject_reason())
+    return ql.with_reason(one_per(typed_items(raw), LINE_KEY), ql.item_reject_reason())
 
 
 def clean_items(raw: DataFrame) -> DataFrame:
@@ -72,7 +74,7 @@ def judged_options(raw: DataFrame) -> DataFrame:
 
 
 def clean_options(raw: DataFrame) -> DataFrame:
-    return _one_per(ql.accepted(judged_options(raw)), OPTION_KEY)
+    return one_per(ql.accepted(judged_options(raw)), OPTION_KEY)
 
 
 def typed_dates(raw: DataFrame) -> DataFrame:
@@ -91,7 +93,7 @@ def clean_dates(raw: DataFrame) -> DataFrame:
     """Readable dates with year, week, month name and weekday repaired."""
     good = ql.accepted(judged_dates(raw))
 
-    def number_or(name: str, derived: F.Column) -> F.Column:
+    def number_or(name: str, derived: Column) -> Column:
         return F.coalesce(F.when(F.col(name).rlike(r"^\d+$"), cl.parse_int(name)), derived)
 
     numbered = F.col("month").rlike(r"^\d+$")
@@ -137,48 +139,50 @@ def seed(raw_items: DataFrame, raw_options: DataFrame, raw_dates: DataFrame) ->
     )
 
 
+ITEM_REASONS = [
+    "NULL_creation_time", "NULL_key", "item_category_too_long", "item_name_too_long",
+    "bad_price",
+]
+
+
 def loss_audit(
     raw_items: DataFrame, raw_options: DataFrame, raw_dates: DataFrame
 ) -> DataFrame:
-    """How many rows each cleansing step lost, as (metric, rows)."""
-    one = F.lit(1)
+    """How many rows each cleansing step lost, as (metric, rows).
+
+    Every table is counted in one pass into one row; the rows are stacked, and
+    the duplicates removed are the sum of a positive and a negative count.
+    """
+    total, reason = F.count(F.lit(1)), F.col("reason")
+    good, bad = F.count_if(reason.isNull()), F.count_if(reason.isNotNull())
     judged = judged_items(raw_items)
-    reason = F.col("reason")
-    items_raw = raw_items.agg(F.count(one).alias("n"))
-    items = judged.agg(
-        F.count(one).alias("kept"),
-        F.count_if(reason.isNull()).alias("items_clean"),
-        F.count_if(reason.isNotNull()).alias("items_rejected"),
-        *[F.count_if(reason == r).alias(f"items_rejected_{r}") for r in (
-            "NULL_creation_time", "NULL_key", "item_category_too_long",
-            "item_name_too_long", "bad_price")],
-    )
-    options = clean_options(raw_options)
-    parents = ql.accepted(judged).select(*LINE_KEY).withColumn("has_parent", F.lit(True))
-    marked = options.join(parents, LINE_KEY, "left").agg(
-        F.count(one).alias("opts_clean"),
-        F.count("has_parent").alias("opts_parented"),
-        F.count_if(F.col("has_parent").isNull()).alias("opts_orphans"),
-    )
-    dates = judged_dates(raw_dates).agg(
-        F.count(one).alias("date_dim_raw"),
-        F.count_if(reason.isNotNull()).alias("date_dim_bad"),
-        F.count_if(reason.isNull()).alias("date_dim_good"),
-    )
-    # Five one-row frames side by side, then turned into rows.
-    counts = (
-        items_raw.crossJoin(items)
-        .select(
-            F.col("n").alias("items_raw"),
-            F.col("n").alias("items_after_casts"),
-            (F.col("n") - F.col("kept")).alias("items_dupes_removed"),
-            *[c for c in items.columns if c != "kept"],
-        )
-        .crossJoin(raw_options.agg(F.count(one).alias("opts_raw")))
-        .crossJoin(marked)
-        .crossJoin(dates)
+    parents = ql.accepted(judged).select(*LINE_KEY, F.lit(True).alias("has_parent"))
+    counts = [
+        raw_items.agg(
+            total.alias("items_raw"),
+            total.alias("items_after_casts"),
+            total.alias("items_dupes_removed"),
+        ),
+        judged.agg(
+            (-total).alias("items_dupes_removed"),
+            good.alias("items_clean"),
+            bad.alias("items_rejected"),
+            *[F.count_if(reason == r).alias(f"items_rejected_{r}") for r in ITEM_REASONS],
+        ),
+        raw_options.agg(total.alias("opts_raw")),
+        join_to_unique(clean_options(raw_options), parents, LINE_KEY).agg(
+            total.alias("opts_clean"),
+            F.count("has_parent").alias("opts_parented"),
+            F.count_if(F.col("has_parent").isNull()).alias("opts_orphans"),
+        ),
+        judged_dates(raw_dates).agg(
+            total.alias("date_dim_raw"), bad.alias("date_dim_bad"), good.alias("date_dim_good")
+        ),
+    ]
+    stacked = [c.unpivot([], c.columns, "metric", "rows") for c in counts]
+    return reduce(DataFrame.unionByName, stacked).groupBy("metric").agg(
+        F.sum("rows").alias("rows")
     )
-    return counts.unpivot([], counts.columns, "metric", "rows")
 
 
 # --- bronze -----------------------------------------------------------------
@@ -199,12 +203,12 @@ def options_of_orders(options: DataFrame, items: DataFrame) -> DataFrame:
 
 def bronze_items(items: DataFrame) -> DataFrame:
     """One row per (order, line) of the extract."""
-    return _one_per(items, LINE_KEY)
+    return one_per(items, LINE_KEY)
 
 
 # --- silver -----------------------------------------------------------------
 
-def silver_items(bronze: DataFrame) -> DataFrame:
+def silver_items(bronze: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Typed lines with order_date and order_total, one per line content."""
     typed = bronze.withColumns({
         "item_price": F.col("item_price").cast(UNIT_PRICE),
@@ -217,16 +221,16 @@ def silver_items(bronze: DataFrame) -> DataFrame:
         "order_date": F.to_date("creation_time_utc"),
         "order_total": line_total("item_price", "item_quantity"),
     })
-    return dedupe_items(derived.select(*columns_of("silver_order_items")))
+    return dedupe_items(derived.select(*columns_of("silver_order_items")), within)
 
 
-def silver_options(bronze: DataFrame) -> DataFrame:
+def silver_options(bronze: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     typed = bronze.withColumns({
         "option_price": F.col("option_price").cast(UNIT_PRICE),
         "option_quantity": F.col("option_quantity").cast("int"),
         "ingestion_date": F.to_date("ingestion_date"),
     })
-    return dedupe_options(typed.select(*columns_of("silver_order_items_options")))
+    return dedupe_options(typed.select(*columns_of("silver_order_items_options")), within)
 
 
 # --- replay -----------------------------------------------------------------

@@ -9,11 +9,12 @@ OPTION_KEY = ["order_id", "lineitem_id", "option_name"]
 
 UNIT_PRICE = "decimal(10,2)"
 LINE_TOTAL = "decimal(12,2)"
-MART_MONEY = "decimal(14,2)"
-# Line and order sums before the mart cast, and roll-ups above the day grain,
-# need more room than a mart cell.
+# Sums are wider than the published (14,2): one store or one order may hold a
+# large part of a very large table.  All amounts have two decimals, so the values
+# are the same; 18 digits still fit in a long.
 ORDER_MONEY = "decimal(18,2)"
-FINE_MONEY = "decimal(18,4)"
+MART_MONEY = "decimal(18,2)"
+AVERAGE_MONEY = "decimal(20,4)"
 ROLLUP_MONEY = "decimal(22,2)"
 
 MAX_CATEGORY = 64
@@ -56,23 +57,23 @@ TABLES: dict[str, str] = {
     "silver_date_dim": """date_key date, year int, month int, day int, week int,
         day_of_week string, is_weekend boolean, is_holiday boolean,
         holiday_name string, ingestion_date date""",
-    "gold_daily_sales_by_store": """restaurant_id string, item_sales decimal(14,2),
-        option_sales decimal(14,2), gross_sales_total decimal(14,2), orders_count bigint,
-        items_count bigint, loyalty_sales decimal(14,2), loyalty_orders bigint,
-        non_loyalty_sales decimal(14,2), non_loyalty_orders bigint, order_date date""",
+    "gold_daily_sales_by_store": """restaurant_id string, item_sales decimal(18,2),
+        option_sales decimal(18,2), gross_sales_total decimal(18,2), orders_count bigint,
+        items_count bigint, loyalty_sales decimal(18,2), loyalty_orders bigint,
+        non_loyalty_sales decimal(18,2), non_loyalty_orders bigint, order_date date""",
     "gold_item_sales_by_day": """restaurant_id string, item_category string,
-        item_name string, units_sold bigint, item_sales_only decimal(14,2),
-        attached_options_sales decimal(14,2), sales_total decimal(14,2), order_date date""",
+        item_name string, units_sold bigint, item_sales_only decimal(18,2),
+        attached_options_sales decimal(18,2), sales_total decimal(18,2), order_date date""",
     "gold_customer_facts": """user_id string, first_order_date date, last_order_date date,
-        lifetime_orders bigint, lifetime_gross_sales decimal(14,2),
-        avg_order_value decimal(14,2), loyalty_orders bigint, non_loyalty_orders bigint,
-        last_90d_orders_count bigint, last_90d_sales decimal(14,2),
-        prev_90d_sales decimal(14,2), delta_90d_pct double, days_since_last_order int,
+        lifetime_orders bigint, lifetime_gross_sales decimal(18,2),
+        avg_order_value decimal(18,2), loyalty_orders bigint, non_loyalty_orders bigint,
+        last_90d_orders_count bigint, last_90d_sales decimal(18,2),
+        prev_90d_sales decimal(18,2), delta_90d_pct double, days_since_last_order int,
         avg_interorder_gap_days double, recency_score int, frequency_score int,
         monetary_score int, clv_band string, segment_label string, snapshot_date date""",
     "gold_discounts_by_day": """restaurant_id string, orders_count bigint,
-        discounted_orders bigint, count_discounts bigint, discount_amount_abs decimal(14,2),
-        pre_discount_sales decimal(14,2), net_sales_after_discounts decimal(14,2),
+        discounted_orders bigint, count_discounts bigint, discount_amount_abs decimal(18,2),
+        pre_discount_sales decimal(18,2), net_sales_after_discounts decimal(18,2),
         pct_orders_discounted double, pct_sales_discounted double, order_date date""",
 }
 

@@ -19,7 +19,7 @@ from dinerlake.operators.dedupe import current_items, current_options
 from dinerlake.operators.lines import enrich_lines, options_of_lines
 from dinerlake.plans import marts
 from dinerlake.plans import silver as sv
-from dinerlake.schemas import columns_of
+from dinerlake.schemas import LINE_KEY, columns_of
 from dinerlake.sources.lakehouse import Lakehouse
 
 DAY_MARTS = {
@@ -40,41 +40,43 @@ def extract(
 ) -> bool:
     """Copy the lines created on these days, and their orders' options, to bronze.
 
-    The partition is the creation day.  Returns False when there was nothing to
+    The partition is the creation day.  The source of the lines is read once;
+    the order ids come from the copy.  Returns False when there was nothing to
     copy, which is a success.
     """
     created = F.to_date("creation_time_utc").cast("string")
-    chosen = sv.items_of_days(items, start, end)
-    if chosen.isEmpty():
-        return False
+    chosen = sv.items_of_days(items, start, end).withColumn("ingestion_date", created)
     lake.replace_partitions(
-        "bronze_order_items", sv.bronze_items(chosen).withColumn("ingestion_date", created)
+        "bronze_order_items", sv.one_per(chosen, ["ingestion_date", *LINE_KEY])
+    )
+    written = lake.days("bronze_order_items", str(start), str(end))
+    if written is None:
+        return False
+    ql.assert_has_columns(
+        written, ["order_id", "lineitem_id", "item_price", "item_quantity", "ingestion_date"]
     )
     # An order may have lines on several of the days; its options go with each.
-    order_days = chosen.select("order_id", created.alias("ingestion_date")).distinct()
+    order_days = written.select("order_id", "ingestion_date").distinct()
     wanted = options.select(
         *[c for c in columns_of("bronze_order_items_options") if c != "ingestion_date"]
     )
     lake.replace_partitions(
         "bronze_order_items_options", wanted.join(order_days, "order_id")
     )
-    written = lake.days("bronze_order_items", str(start), str(end))
-    ql.assert_has_columns(
-        written, ["order_id", "lineitem_id", "item_price", "item_quantity", "ingestion_date"]
-    )
     return True
 
 
 # --- silver -----------------------------------------------------------------
 
 def refine(lake: Lakehouse, start: dt.date, end: dt.date) -> bool:
-    """Type and dedupe these ingestion days into silver."""
+    """Type and dedupe these ingestion days into silver, each day on its own."""
     items = lake.days("bronze_order_items", str(start), str(end))
     options = lake.days("bronze_order_items_options", str(start), str(end))
+    day = ["ingestion_date"]
     if items is not None:
-        lake.replace_partitions("silver_order_items", sv.silver_items(items))
+        lake.replace_partitions("silver_order_items", sv.silver_items(items, day))
     if options is not None:
-        lake.replace_partitions("silver_order_items_options", sv.silver_options(options))
+        lake.replace_partitions("silver_order_items_options", sv.silver_options(options, day))
     return items is not None
 
 
@@ -104,69 +106,61 @@ def rewrite_bronze_dates(lake: Lakehouse, days: DataFrame) -> None:
 
 # --- gold -------------------------------------------------------------------
 
-def _touched_dates(lake: Lakehouse, start: dt.date, end: dt.date) -> DataFrame | None:
-    """Order dates that occur in these ingestion days."""
-    ingested = lake.days("silver_order_items", start, end)
-    return None if ingested is None else ingested.select("order_date").distinct()
-
+def _silver(lake: Lakehouse) -> tuple[DataFrame, DataFrame]:
+    return lake.read("silver_order_items"), lake.read("silver_order_items_options")
 
-def _current_lines(lake: Lakehouse, order_dates: DataFrame | None) -> DataFrame:
-    """Newest version of each line, of the given order dates or of all.
 
-    A corrected line may have moved to another date, so versions are compared
-    before the dates are chosen: the keys seen on these dates select the rows.
-    """
-    items = lake.read("silver_order_items")
-    if order_dates is None:
-        return current_items(items)
-    first, last = order_dates.agg(F.min("order_date"), F.max("order_date")).first()
-    on_dates = items.filter(F.col("order_date").between(F.lit(first), F.lit(last))).join(
-        order_dates, "order_date", "left_semi"
-    )
-    versions = items.join(
-        on_dates.select("order_id", "lineitem_id").distinct(),
-        ["order_id", "lineitem_id"], "left_semi",
-    )
-    return current_items(versions).join(order_dates, "order_date", "left_semi")
+def _enrich(items: DataFrame, options: DataFrame) -> DataFrame:
+    """Newest version of each line of an order date, with its newest options."""
+    lines = current_items(items, within=["order_date"])
+    return enrich_lines(lines, current_options(options), unique_lines=True)
 
 
 def build_day_marts(lake: Lakehouse, start: dt.date, end: dt.date) -> bool:
-    """Rebuild the store-day and item-day marts of every touched order date."""
-    order_dates = _touched_dates(lake, start, end)
-    if order_dates is None:
-        return False
-    _write_day_marts(lake, order_dates)
-    return True
+    """Rebuild the day marts of every order date in these ingestion days.
 
-
-def _write_day_marts(lake: Lakehouse, order_dates: DataFrame | None) -> None:
-    lines = _current_lines(lake, order_dates)
-    options = lake.read("silver_order_items_options")
-    if order_dates is not None:
-        options = options_of_lines(options, lines)
-    enriched = enrich_lines(lines, current_options(options), unique_lines=True)
-    # Three marts read the same lines; lost blocks are computed again.
+    A line is never ingested before it was created, so only ingestion partitions
+    from the first touched order date on are read.
+    """
+    ingested = lake.days("silver_order_items", start, end)
+    if ingested is None:
+        return False
+    touched = ingested.select("order_date").distinct()
+    first, last = touched.agg(F.min("order_date"), F.max("order_date")).first()
+    since = F.col("ingestion_date") >= F.lit(first)
+    items, options = (table.filter(since) for table in _silver(lake))
+    lines = items.filter(F.col("order_date").between(F.lit(first), F.lit(last))).join(
+        touched, "order_date", "left_semi"
+    )
+    enriched = _enrich(lines, options_of_lines(options, lines))
+    # Three marts read the lines of the run; lost blocks are computed again.
     enriched.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for table, build in DAY_MARTS.items():
-            lake.replace_partitions(table, build(enriched))
+        _write_day_marts(lake, enriched)
     finally:
         enriched.unpersist()
     for table in DAY_MARTS:
-        ql.assert_nonempty(lake.read(table), table)
-    ql.assert_no_nulls(lake.read("gold_daily_sales_by_store"), ["order_date", "restaurant_id"])
+        written = lake.days(table, first, last)
+        if written is None:
+            raise ql.QualityError(f"{table} has no rows from {first} to {last}")
+        ql.assert_no_nulls(written, ["order_date", "restaurant_id"])
+    return True
+
+
+def _write_day_marts(lake: Lakehouse, enriched: DataFrame) -> None:
+    for table, build in DAY_MARTS.items():
+        lake.replace_partitions(table, build(enriched))
 
 
 def build_snapshot(lake: Lakehouse, snapshot: dt.date | None = None) -> dt.date:
     """Write the customer facts of one snapshot date, by default the newest order date."""
-    lines = current_items(lake.read("silver_order_items"))
+    items, options = _silver(lake)
     if snapshot is None:
-        snapshot = lake.read("silver_order_items").agg(F.max("order_date")).first()[0]
+        snapshot = items.agg(F.max("order_date")).first()[0]
         if snapshot is None:
             raise ql.QualityError("silver_order_items has no rows to take a snapshot of")
-    options = current_options(lake.read("silver_order_items_options"))
-    enriched = enrich_lines(lines, options, unique_lines=True)
-    lake.replace_partitions("gold_customer_facts", marts.customer_facts(enriched, snapshot))
+    facts = marts.customer_facts(_enrich(items, options), snapshot)
+    lake.replace_partitions("gold_customer_facts", facts)
     written = lake.days("gold_customer_facts", snapshot)
     if written is None:
         raise ql.QualityError(f"no customer facts for {snapshot}")
@@ -207,8 +201,12 @@ def run_day(
 
 
 def full_refresh(lake: Lakehouse) -> None:
-    """Rebuild all marts from the whole of silver."""
-    _write_day_marts(lake, None)
+    """Rebuild all marts from the whole of silver.
+
+    Nothing is persisted here: the lines of all days are too many to keep, and
+    each mart reads only the columns it needs.
+    """
+    _write_day_marts(lake, _enrich(*_silver(lake)))
     build_snapshot(lake)
 
 
