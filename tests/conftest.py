@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(checkpoints),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "5000",
         },
     )
     yield session
