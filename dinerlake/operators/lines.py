@@ -29,8 +29,8 @@ def options_split_per_line(options: DataFrame) -> DataFrame:
     A discount is counted by its price, but its amount is split by the sign of
     price times quantity; the two differ when the quantity is not positive.
     """
-    amount = extended_price()
-    return options.groupBy(*LINE_KEY).agg(
+    amount = F.col("extended")
+    return options.withColumn("extended", extended_price()).groupBy(*LINE_KEY).agg(
         F.sum(F.when(amount >= 0, amount).otherwise(zero(ORDER_MONEY)))
         .cast(ORDER_MONEY).alias("options_regular_total"),
         F.sum(F.when(amount < 0, amount).otherwise(zero(ORDER_MONEY)))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from dinerlake.functions.numeric import line_total
 from dinerlake.operators.calendar import date_dim
 from dinerlake.schemas import UNIT_PRICE, columns_of
+from dinerlake.sources.files import spread
 
 # Month, day and name of the sample holidays.
 HOLIDAYS = [
@@ -33,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver-shaped order lines; repeated (order, line) keys are kept."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     parts = table(spark, sf_dir, "part")
@@ -92,13 +93,13 @@ def _with_options(lines: DataFrame, *extra: Column) -> DataFrame:
 
 def options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Option rows; one scan of the lines, no join."""
-    return _with_options(table(spark, sf_dir, "lineitem"))
+    return _with_options(spread(table(spark, sf_dir, "lineitem")))
 
 
 def options_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Option rows with the ingestion date of their order, silver columns only."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem")).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
     day = F.date_add(F.to_date("o_orderdate"), 1).alias("ingestion_date")
@@ -141,7 +142,7 @@ def _price_text(selector: Column, amount: Column) -> Column:
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All order lines as raw text, with faults spread over them by key."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     parts = table(spark, sf_dir, "part")
@@ -180,7 +181,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All options as raw text, with faults spread over them by key."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     order, line = F.col("l_orderkey"), F.col("l_linenumber")
     mix = order * 7 + line
     tax = F.col("l_tax").cast("decimal(4,2)") * 100

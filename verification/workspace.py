@@ -1,7 +1,7 @@
 """Derived tables that several registered queries read.
 
-Silver lines, options and the marts are computed by Spark from the sample tables
-once per application and written to the shared folder, as the daily run does.
+Raw text, silver lines, options and the marts are computed by Spark from the sample
+tables once per application and written to the shared folder, as the daily run does.
 """
 
 from __future__ import annotations
@@ -67,13 +67,13 @@ class Workspace:
 
     # raw text
     def raw_items(self) -> DataFrame:
-        return st.raw_order_items(self.spark, self.sf_dir)
+        return self._copy("raw_items", lambda: st.raw_order_items(self.spark, self.sf_dir))
 
     def raw_options(self) -> DataFrame:
-        return st.raw_options(self.spark, self.sf_dir)
+        return self._copy("raw_options", lambda: st.raw_options(self.spark, self.sf_dir))
 
     def raw_dates(self) -> DataFrame:
-        return st.raw_dates(self.spark, self.sf_dir)
+        return self._copy("raw_dates", lambda: st.raw_dates(self.spark, self.sf_dir))
 
     # gold
     def g1(self) -> DataFrame:
