@@ -14,16 +14,18 @@ def join_to_unique(
     """Join ``left`` to a side that was aggregated to one row per key.
 
     Such an aggregate is already distributed by the key columns, so a plain join
-    reuses that layout and the adaptive skew join cannot act: it splits a hot
-    partition only where both sides have a shuffle of their own.  Joining on one
-    struct of the keys gives them that.  The extra shuffle moves the aggregated
-    side only, and a key that holds a large part of ``left`` is then split over
-    many tasks.  NULL keys match nothing, as in a plain join.
+    reuses that layout and the adaptive planner can neither split a hot partition
+    nor switch to a hash join: both need a shuffle directly below each side.  A
+    hash of the keys as an extra leading key gives the sides shuffles of their
+    own.  The extra shuffle moves the aggregated side only, and a key that holds
+    a large part of ``left`` is then split over many tasks.  NULL keys match
+    nothing, as in a plain join.
     """
-    key = F.struct(*[F.col(c) for c in keys])
-    payload = [c for c in unique.columns if c not in keys]
-    right = unique.dropna(subset=list(keys)).select(key.alias("_key"), *payload)
-    return left.withColumn("_key", key).join(right, "_key", how).drop("_key")
+    key_hash = F.xxhash64(*keys)
+    right = unique.withColumn("_key_hash", key_hash)
+    joined = left.withColumn("_key_hash", key_hash).join(right, ["_key_hash", *keys], how)
+    payload = [c for c in joined.columns if c not in ("_key_hash", *left.columns)]
+    return joined.select(*left.columns, *payload)
 
 
 def keep_matching(left: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,14 +6,18 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The first two decide results.  The third lets the adaptive planner replace a
+# sort-merge join by a hash join once every partition of one side is known to be
+# small; larger sides keep the sort-merge join.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that results depend on; sizing is left to the cluster."""
+    """Apply the settings this library relies on; sizing is left to the cluster."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark

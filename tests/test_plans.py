@@ -87,10 +87,12 @@ def hot_tables(spark, n=120_000):
 def test_hot_line_is_split_over_tasks(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     try:
