@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from dinerlake.functions.numeric import change, ratio_or_zero, zero
 from dinerlake.operators.lines import orders_by_store, orders_by_user, orders_discount
+from dinerlake.operators.quantiles import exact_quantiles
 from dinerlake.schemas import AVERAGE_MONEY, MART_MONEY, ORDER_MONEY, columns_of
 from dinerlake.session import cut_lineage
 
-# Samples kept by the quantile sketch: rank error at most one in this many.
-QUANTILE_ACCURACY = 10_000
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
 
@@ -136,17 +135,19 @@ def customer_features(enriched: DataFrame, snapshot: dt.date) -> DataFrame:
 
 
 def cohort_thresholds(features: DataFrame) -> DataFrame:
-    """One row with the quantiles of the whole cohort (mergeable sketches)."""
-
-    def quantiles(column: str, shares: list[float]) -> Column:
-        return F.percentile_approx(column, shares, QUANTILE_ACCURACY)
-
-    return features.agg(
-        quantiles("days_since_last_order", QUINTILES).alias("recency_q"),
-        quantiles("last_90d_orders_count", QUINTILES).alias("frequency_q"),
-        quantiles("last_90d_sales", QUINTILES).alias("monetary_q"),
-        quantiles("lifetime_gross_sales", [0.2, 0.8]).alias("clv_q"),
-    )
+    """One row with the exact quantiles of the whole cohort."""
+    cuts = exact_quantiles(features, {
+        "days_since_last_order": QUINTILES,
+        "last_90d_orders_count": QUINTILES,
+        "last_90d_sales": QUINTILES,
+        "lifetime_gross_sales": [0.2, 0.8],
+    })
+    return cuts.withColumnsRenamed({
+        "days_since_last_order": "recency_q",
+        "last_90d_orders_count": "frequency_q",
+        "last_90d_sales": "monetary_q",
+        "lifetime_gross_sales": "clv_q",
+    })
 
 
 def _quintile(value: str, cuts: str) -> Column:
@@ -186,8 +187,8 @@ def score_customers(features: DataFrame, thresholds: DataFrame) -> DataFrame:
 def rfm_scores(features: DataFrame) -> DataFrame:
     """Scored cohort.
 
-    The features are used twice, for the quantiles and for the scores, so they
-    are written once and both read that copy.
+    The features are used several times, for the quantiles and for the scores, so
+    they are written once and all read that copy.
     """
     once = cut_lineage(features)
     return score_customers(once, cohort_thresholds(once))
