@@ -25,11 +25,11 @@ HEADLINE = [
     "options_split_per_line", "orders_by_store", "orders_by_user",
     "g1_daily_sales_by_store", "g2_item_sales_by_day", "g3_customer_facts",
     "g4_discounts_by_day", "silver_dedupe_items", "silver_current_options",
-    "seed_clean_items", "options_orphans", "loss_audit",
+    "seed_clean_items", "options_orphans",
     "sales_trends_daily", "top_items_30d", "category_mix_monthly_12m",
     "holiday_uplift_12m", "location_actions_90d", "churn_risk_latest",
     "discount_orders_90d", "daily_sales_matrix", "churn_medians", "category_drift",
-    "report_discounted_vs_full_price", "report_month_weekday_sales",
+    "report_month_weekday_sales",
 ]
 
 
