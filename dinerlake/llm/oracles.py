@@ -51,10 +51,10 @@ from placed
 TOP_K = """
 with v as (
     select row_number() over () as rid, vec_id,
-           list_transform(embedding, x -> floor(256 * x::double)) as vec
+           list_transform(embedding, lambda x: floor(256 * x::double)) as vec
     from embeddings
     where embedding is not null
-      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
 scored as (
     select q.rid as query_rid, q.vec_id as query_id, c.vec_id, c.rid,
