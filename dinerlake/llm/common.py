@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,17 @@ from dinerlake.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Rows and bytes handed to a Python task at once; long texts would otherwise fill its memory.
-BATCH_ROWS, BATCH_BYTES = 400, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
+
+
+# Where this package lies, for the Python workers; where it is installed, this adds nothing.
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, paths)])
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dinerlake.llm.common import configure
+from dinerlake.llm import decontaminate, html_text, langid, toxicity
+from dinerlake.llm.common import configure, held_out
 from dinerlake.llm.mixing import mix
 from dinerlake.llm.topk import top_k
 
@@ -28,7 +29,42 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs)
+    found = docs.select("doc_id", "text").withColumn("found", langid.language(model))
+    return found.select(
+        "doc_id", held_out().alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score"
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    found = docs.withColumn("found", toxicity.toxicity(model))
+    return found.select(
+        "doc_id", held_out().alias("held_out"), "found.score",
+        (F.col("found.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.col("found.sentences").alias("sentences"),
+    )
+
+
+def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked_pairs(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = pages.select("page_id", "url", html_text.main_text().alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_top_k": op2_top_k,
+    "op5_language": op5_language,
+    "op7_toxicity": op7_toxicity,
+    "op8_leaks": op8_leaks,
+    "op9_main_text": op9_main_text,
 }
