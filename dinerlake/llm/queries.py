@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dinerlake.llm import decontaminate, html_text, langid, toxicity
 from dinerlake.llm.common import configure, held_out
 from dinerlake.llm.mixing import mix
+from dinerlake.llm.substrings import remove_repeats
 from dinerlake.llm.topk import top_k
 
 
@@ -60,6 +61,12 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.when(F.col("kept").isNull(), F.col("whole")).otherwise(F.sha2(F.col("kept").cast("binary"), 256))
+    return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_top_k": op2_top_k,
@@ -67,4 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_leaks": op8_leaks,
     "op9_main_text": op9_main_text,
+    "op10_repeats": op10_repeats,
 }

@@ -17,7 +17,8 @@ NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
-BASE = U(0x9E3779B97F4A7C15)
+# Odd multipliers of the two hash lanes.
+BASE, OTHER_BASE = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95)
 CHUNK_BYTES = 2 << 20
 
 
@@ -29,18 +30,18 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 @cache
-def powers(log_size: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(base: int, log_size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
-    size = 1 << log_size
-    base = np.full(size, BASE)
-    base[0] = U(1)
-    inverse = np.full(size, U(pow(int(BASE), -1, 1 << 64)))
-    inverse[0] = U(1)
-    return np.multiply.accumulate(base), np.multiply.accumulate(inverse)
+    both = []
+    for number in (base, pow(base, -1, 1 << 64)):
+        row = np.full(1 << log_size, U(number))
+        row[0] = U(1)
+        both.append(np.multiply.accumulate(row))
+    return both[0], both[1]
 
 
-def powers_for(size: int) -> tuple[np.ndarray, np.ndarray]:
-    forward, backward = powers(max(16, (max(size, 1) - 1).bit_length()))
+def powers_for(size: int, base: np.uint64 = BASE) -> tuple[np.ndarray, np.ndarray]:
+    forward, backward = powers(int(base), max(16, (max(size, 1) - 1).bit_length()))
     return forward[:size], backward[:size]
 
 
@@ -61,7 +62,8 @@ class Words:
         return slice(int(self.first[text]), int(self.first[text + 1]))
 
 
-def split(texts: list[str | None], inside: np.ndarray = NOT_SPACE, lower: bool = False) -> Words:
+def split(texts: list[str | None], inside: np.ndarray = NOT_SPACE, lower: bool = False,
+          base: np.uint64 = BASE) -> Words:
     """Hash the words of ``texts``; NULL has none."""
     parts = [
         (t.lower() if lower else t).encode("utf-8", "surrogatepass") if t else b"" for t in texts
@@ -72,9 +74,9 @@ def split(texts: list[str | None], inside: np.ndarray = NOT_SPACE, lower: bool =
     within = inside[data]
     edge = np.flatnonzero(np.diff(within, prepend=False, append=False))
     starts, ends = edge[::2], edge[1::2]
-    forward, backward = powers_for(len(data) + 1)
+    forward, backward = powers_for(len(data) + 1, base)
     sums = np.zeros(len(data) + 1, dtype=U)
-    np.cumsum(BYTE_CODES[data] * forward[:-1], out=sums[1:])
+    np.cumsum((BYTE_CODES ^ base)[data] * forward[:-1], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * backward[starts]
     first = np.searchsorted(starts, offsets)
     return Words(mixed(hashes), starts, ends, first, raw)
