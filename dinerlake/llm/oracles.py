@@ -72,7 +72,70 @@ from (
 where rank <= 5
 """
 
+def span_list(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    """Spans of one kind: matches and the pieces between them, counted up from the start."""
+    return f"""
+    select row_id, {order} as place, '{kind}' as kind,
+           (len_until - match_len)::bigint as start, len_until::bigint as stop
+    from (
+        select row_id, pos, match_len, decisive,
+               sum(gap + match_len) over (partition by row_id order by pos) as len_until
+        from (
+            select row_id, unnest(range(len(m))) as pos,
+                   unnest(list_transform(m, lambda x: len(x))) as match_len,
+                   unnest(list_transform(g, lambda x: len(x))) as decisive,
+                   unnest(list_transform(p[1:len(m)], lambda x: len(x))) as gap
+            from (
+                select row_id, regexp_extract_all(text, '{pattern}') as m,
+                       regexp_extract_all(text, '{pattern}', {group}) as g,
+                       string_split_regex(text, '{pattern}') as p
+                from d where text <> ''
+            )
+            where len(m) > 0
+        )
+    )
+    where decisive >= {least}
+    """
+
+
+def either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+ASSIGNED = "|".join(
+    either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key")
+)
+KINDS = [
+    ("assign", f"""({ASSIGNED})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("slack", "xox[abeprs]-[A-Za-z0-9-]+", 0, 20),
+    ("google", "AIza[A-Za-z0-9_-]+", 0, 39),
+    ("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 40),
+    ("private_key", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+]
+SECRETS = f"""
+with d as (
+    select row_number() over () as row_id, doc_id, coalesce(text, '') as text from documents
+),
+spans as ({" union all ".join(span_list(k, i, p, g, n) for i, (k, p, g, n) in enumerate(KINDS))}),
+listed as (
+    select row_id, count(*) filter (place = 0) as n_assign, count(*) filter (place = 1) as n_access,
+           count(*) filter (place = 2) as n_hex,
+           string_agg(kind || ':' || start || ':' || stop, ',' order by start, place)
+               filter (place < 3) as base,
+           string_agg(kind || ':' || start || ':' || stop, ',' order by start, place) as spans
+    from spans group by row_id
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+       coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+       coalesce(spans, '') as spans
+from d left join listed using (row_id)
+"""
+
 SQL = {
     "op1_mix_sources": MIX,
     "op2_top_k": TOP_K,
+    "op4_secrets": SECRETS,
 }
