@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dinerlake.llm import decontaminate, html_text, langid, secrets, toxicity
+from dinerlake.llm.bagminhash import near_copies
 from dinerlake.llm.common import configure, held_out
 from dinerlake.llm.mixing import mix
 from dinerlake.llm.substrings import remove_repeats
@@ -30,6 +31,10 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_top_k": op2_top_k,
+    "op3_near_copies": op3_near_copies,
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
     "op7_toxicity": op7_toxicity,

@@ -19,7 +19,7 @@ ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 
 # Odd multipliers of the two hash lanes.
 BASE, OTHER_BASE = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES, CHUNK_TEXTS = 2 << 20, 2_000
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -83,12 +83,12 @@ def split(texts: list[str | None], inside: np.ndarray = NOT_SPACE, lower: bool =
 
 
 def chunks(texts: list[str | None], size: int = CHUNK_BYTES) -> Iterator[tuple[int, list]]:
-    """``texts`` in runs of about ``size`` characters, with the place of the first; a longer
-    text is a run of its own."""
+    """``texts`` in runs of about ``size`` characters and at most ``CHUNK_TEXTS`` texts, with the place
+    of the first; a longer text is a run of its own."""
     begin, total = 0, 0
     for i, text in enumerate(texts):
         length = len(text) if text else 0
-        if total and total + length > size:
+        if i > begin and (total + length > size or i - begin == CHUNK_TEXTS):
             yield begin, texts[begin:i]
             begin, total = i, 0
         total += length + 1
