@@ -264,20 +264,21 @@ def item_blocks(benchmark: DataFrame, size: int) -> Iterator[Items]:
         yield Items([c[0] for c in chosen], [c[1] for c in chosen])
 
 
-def mark_leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks",
-               block: int = BLOCK_ITEMS) -> DataFrame:
-    """``docs`` with an array of leaked items: item_id, start (word), words, edits.
+def leaks_column(benchmark: DataFrame, text: str = "text", block: int = BLOCK_ITEMS) -> Column:
+    """Array of leaked items of a text: item_id, start (word), words, edits.
 
     NULL and empty texts, and an empty benchmark, give empty arrays; items without a word or
-    with a NULL id or text are left out.  Equal items are all reported.  Repeated rows each get
-    their own result; other columns are kept as they are.
+    with a NULL id or text are left out.  Equal items are all reported.
     """
-    found = [leak_column(items, "text") for items in item_blocks(benchmark, block)]
-    return docs.withColumn(column, F.concat(*found) if len(found) > 1 else found[0])
+    found = [leak_column(items, text) for items in item_blocks(benchmark, block)]
+    return F.concat(*found) if len(found) > 1 else found[0]
 
 
 def leaked_pairs(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
-    """One row per document and leaked item: doc_id, item_id, start, words, edits."""
-    marked = mark_leaks(docs.select("doc_id", "text"), benchmark, "leaks", block)
+    """One row per document and leaked item: doc_id, item_id, start, words, edits.
+
+    Repeated rows each get their result; other columns are ignored.
+    """
+    marked = docs.select("doc_id", "text").withColumn("leaks", leaks_column(benchmark, block=block))
     rows = marked.select("doc_id", F.explode("leaks").alias("leak"))
     return rows.select("doc_id", "leak.*")
