@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from dinerlake.llm import decontaminate, html_text, langid, secrets, toxicity
 from dinerlake.llm.bagminhash import near_copies
 from dinerlake.llm.common import configure, held_out
+from dinerlake.llm.licenses import license_scan
 from dinerlake.llm.mixing import mix
 from dinerlake.llm.substrings import remove_repeats
 from dinerlake.llm.topk import top_k
@@ -48,6 +49,18 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no path; they are filed by block of 50 ids and source, and the first of a block is its
+    LICENSE file."""
+    block = F.expr("doc_id div 50").cast("string")
+    path = F.when(F.col("doc_id") % 50 == 0, F.concat(block, F.lit("/LICENSE"))).otherwise(
+        F.concat_ws("/", block, F.coalesce("source", F.lit("none")),
+                    F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+    docs = table(spark, sf_dir, "documents").select(path.alias("path"), "text")
+    found = license_scan(docs)
+    return found.select("path", "license", "score", "origin", "directory")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -82,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_copies": op3_near_copies,
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
+    "op6_licenses": op6_licenses,
     "op7_toxicity": op7_toxicity,
     "op8_leaks": op8_leaks,
     "op9_main_text": op9_main_text,
