@@ -30,6 +30,7 @@ MAX_EDITS = 0.2  # of an item's words
 REPEATS, SAMPLED = 24, 3
 STEPS = 3  # steps of the walk per word
 BLOCK_ITEMS = 2_000
+CHUNK_BYTES = 2 << 20  # characters per walk; longer runs share the cost of its steps
 CLASS_RATIO = 1.15  # window sizes of one class differ by this factor at most
 
 LEAKS = "array<struct<item_id:long,start:int,words:int,edits:int>>"
@@ -247,7 +248,7 @@ def leak_column(items: Items, text: str) -> Column:
     @F.pandas_udf(LEAKS)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            found = [x for _, some in chunks(texts.tolist()) for x in leaks(some, items)]
+            found = [x for _, some in chunks(texts.tolist(), CHUNK_BYTES) for x in leaks(some, items)]
             yield pd.Series(found, dtype=object)
 
     return run(F.col(text))

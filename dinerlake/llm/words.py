@@ -19,7 +19,7 @@ ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = Tru
 
 # Odd multipliers of the two hash lanes.
 BASE, OTHER_BASE = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95)
-CHUNK_BYTES, CHUNK_TEXTS = 2 << 20, 2_000
+CHUNK_BYTES, CHUNK_TEXTS = 1 << 19, 2_000
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
