@@ -72,10 +72,12 @@ LABELLED = (
     # in neither
     (90, 0, 8, 0, 60, 0, 0, 0, 1), (45, 3, 90, 0, 70, 0, 0, 0, 1), (22, 0, 60, 0, 40, 0, 0, 0, 1),
     (18, 0, 40, 5, 30, 0, 0, 0, 1), (150, 6, 2, 100, 3, 100, 0, 0, 1), (9, 0, 70, 0, 60, 0, 0, 0, 1),
+    (60, 0, 70, 0, 1, 100, 0, 0, 1), (80, 0, 60, 0, 2, 100, 0, 0, 1), (30, 0, 2, 100, 90, 0, 0, 0, 1),
     (7, 0, 1, 100, 80, 0, 0, 1, 1), (5, 0, 40, 0, 60, 0, 0, 1, 1), (12, 0, 35, 0, 25, 0, 0, 0, 1),
     (1, 100, 1, 100, 1, 100, 0, 0, 0), (3, 100, 2, 100, 4, 100, 0, 0, 0), (6, 90, 40, 0, 5, 100, 0, 0, 0),
     (2, 0, 1, 100, 1, 100, 0, 0, 0), (4, 0, 2, 100, 3, 100, 0, 0, 0), (25, 80, 10, 90, 20, 85, 0, 0, 0),
     (6, 0, 3, 100, 2, 0, 0, 0, 0), (3, 0, 90, 0, 1, 100, 0, 0, 0), (8, 0, 2, 100, 0, 0, 0, 0, 0),
+    (2, 0, 3, 100, 90, 0, 0, 0, 0), (4, 0, 0, 0, 120, 0, 0, 0, 0), (3, 0, 60, 0, 45, 0, 0, 0, 0),
     (40, 70, 60, 60, 30, 75, 0, 0, 0), (3, 0, 2, 0, 1, 100, 0, 1, 0),
 )
 

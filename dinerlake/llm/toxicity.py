@@ -26,7 +26,7 @@ BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
 
 # Bounds of the fit: labelled documents, features, and the least evidence for a feature.
-MAX_DOCUMENTS, MAX_FEATURES, MIN_CHI2 = 8_000, 4_096, 10.0
+MAX_DOCUMENTS, MAX_FEATURES, MIN_CHI2 = 8_000, 4_096, 6.0
 
 RESULT = "score double, sentences array<struct<start:int,end:int,score:double>>"
 
@@ -73,7 +73,8 @@ def select_features(sample: DataFrame, most: int) -> list[str]:
         count_features, "feature string, toxic_docs long, clean_docs long"
     ).groupBy("feature").agg(F.sum("toxic_docs").alias("a"), F.sum("clean_docs").alias("b"))
     a, b, c, d = F.col("a"), F.col("b"), toxic - F.col("a"), clean - F.col("b")
-    chi2 = (toxic + clean) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * float(toxic * clean))
+    chi2 = (toxic + clean) * (a * d - b * c) ** 2 / (
+        (a + b) * F.greatest(c + d, F.lit(1)) * float(toxic * clean))
     ranked = counts.where(a + b >= 2).select("feature", chi2.alias("chi2"))
     top = ranked.where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "feature").limit(most)
     return [row.feature for row in top.collect()]
@@ -103,7 +104,7 @@ def softplus(z: np.ndarray) -> np.ndarray:
 
 
 def train(examples: list, n_features: int, rounds: int = 400, rate: float = 0.1,
-          penalty: float = 1e-4) -> tuple[float, np.ndarray]:
+          penalty: float = 1e-5) -> tuple[float, np.ndarray]:
     """Gradient descent (Adam) on the log-likelihood of the document labels."""
     label = np.array([e.toxic for e in examples], dtype=float)
     plain = np.array([e.plain for e in examples], dtype=float)
