@@ -2,7 +2,8 @@
 
 Sketch quantiles depend on how rows are spread over tasks, so a snapshot built
 twice could get different cuts.  Here the sketch only brackets each quantile; the
-rows inside the bracket, a few ten-thousandths of the table, decide exactly.
+rows below the bracket are counted, and those inside it, a few ten-thousandths of
+the table, decide exactly.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 # Rank error of the sketch is at most one in this many rows.
 SKETCH_ACCURACY = 10_000
-VALUE_TYPE = "decimal(24,4)"
+ALL = "_all"
 
 
 def _bracket_shares(shares: Sequence[float]) -> list[float]:
@@ -26,49 +27,78 @@ def _bracket_shares(shares: Sequence[float]) -> list[float]:
     return [edge for pair in zip(low, high) for edge in pair]
 
 
-def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
-    """One row with an array of quantiles per column of ``wanted``.
+def exact_quantiles(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], by: str | None = None
+) -> DataFrame:
+    """One row, or one per value of ``by``, with an array of quantiles per column of ``wanted``.
 
     The quantile of share p is the smallest value with at least p of the non-NULL
-    rows at or below it.  ``df`` is read twice, so pass a written table.
+    rows at or below it, in the column's own type.  ``df`` is read three times, so
+    pass a written table.  A bracket that misses its rank is an error.
     """
-    bounds = df.agg(
-        *[F.percentile_approx(c, _bracket_shares(shares), SKETCH_ACCURACY).alias(c)
+    group = by or ALL
+    if by is None:
+        df = df.withColumn(ALL, F.lit(0))
+    bounds = df.groupBy(group).agg(
+        *[F.percentile_approx(c, _bracket_shares(shares), SKETCH_ACCURACY).alias(f"_edges_{c}")
           for c, shares in wanted.items()],
-        *[F.count(c).alias(f"{c}_rows") for c in wanted],
+        *[F.count(c).alias(f"_rows_{c}") for c in wanted],
     )
-    edges = bounds.select(F.struct(*bounds.columns).alias("edges")).scalar()
+    bounds = bounds.withColumnRenamed(group, "_of")
     targets = [(c, i, p) for c, shares in wanted.items() for i, p in enumerate(shares)]
 
-    def entry(number: int, column: str, i: int, share: float) -> Column:
-        value, edge = F.col(column), F.col("_edges")[column]
-        rank = F.ceil(F.lit(Decimal(str(share))) * F.col("_edges")[f"{column}_rows"])
-        return F.struct(
-            F.lit(number).alias("target"),
-            F.greatest(rank.cast("bigint"), F.lit(1)).alias("rank"),
-            # Rows below the bracket only count; NULL stands for all of them.
-            F.when(value >= edge[2 * i], value.cast(VALUE_TYPE)).alias("value"),
-            (value <= edge[2 * i + 1]).alias("needed"),
-        )
-
-    entries = F.array(*[entry(n, c, i, p) for n, (c, i, p) in enumerate(targets)])
+    def edge(column: str, i: int) -> Column:
+        return F.col(f"_edges_{column}")[i]
+
+    # As many rows as groups: the planner broadcasts them when they are few.
+    bounded = df.join(bounds, F.col(group).eqNullSafe(F.col("_of"))).drop("_of")
+    below = bounded.groupBy(group).agg(*[
+        F.count_if(F.col(c) < edge(c, 2 * i)).alias(f"_below_{n}")
+        for n, (c, i, _) in enumerate(targets)
+    ], *[F.any_value(f"_rows_{c}").alias(f"_rows_{c}") for c in wanted])
+
+    def entry(number: int, column: str, i: int) -> Column:
+        inside = F.col(column).between(edge(column, 2 * i), edge(column, 2 * i + 1))
+        values = [
+            (F.col(c) if c == column else F.lit(None).cast(df.schema[c].dataType)).alias(f"_v_{c}")
+            for c in wanted
+        ]
+        return F.when(inside, F.struct(F.lit(number).alias("_target"), *values))
+
+    entries = F.array_compact(F.array(*[entry(n, c, i) for n, (c, i, _) in enumerate(targets)]))
+    values = [f"_v_{c}" for c in wanted]
     counted = (
-        df.withColumn("_edges", edges)
-        .select(F.inline(F.filter(entries, lambda e: e["needed"])))
-        .groupBy("target", "rank", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    upward = Window.partitionBy("target").orderBy(F.asc_nulls_first("value"))
-    reached = F.sum("n").over(upward.rowsBetween(Window.unboundedPreceding, 0))
-    found = (
-        counted.withColumn("reached", reached)
-        .filter((F.col("reached") >= F.col("rank")) & F.col("value").isNotNull())
-        .groupBy("target").agg(F.min("value").alias("value"))
+        bounded.where(F.size(entries) > 0).select(group, F.inline(entries))
+        .groupBy(group, "_target", *values).agg(F.count(F.lit(1)).alias("_n"))
     )
+    # One value column is filled per target, so the order is that of its values.
+    upward = Window.partitionBy(group, "_target").orderBy(*values)
+    reached = F.sum("_n").over(upward.rowsBetween(Window.unboundedPreceding, 0))
+    cumulated = counted.withColumn("_reached", reached).withColumnRenamed(group, "_of")
+
+    def rank(column: str, share: float) -> Column:
+        exact = F.ceil(F.lit(Decimal(str(share))) * F.col(f"_rows_{column}")).cast("bigint")
+        return F.greatest(exact, F.lit(1).cast("bigint"))
+
+    joined = below.join(cumulated, F.col(group).eqNullSafe(F.col("_of")), "left").drop("_of")
+
+    def found(number: int, column: str, share: float) -> Column:
+        below_it = F.col(f"_below_{number}")
+        hit = (F.col("_target") == number) & (below_it + F.col("_reached") >= rank(column, share))
+        value = F.min(F.when(hit & (below_it < rank(column, share)), F.col(f"_v_{column}")))
+        rows = F.any_value(f"_rows_{column}")
+        return F.coalesce(value, F.when(
+            rows > 0, F.raise_error(F.lit(f"no rank {share} of {column} inside its bracket"))))
+
     arrays = [
-        F.array(*[
-            F.max(F.when(F.col("target") == n, F.col("value")))
-            for n, (c, _, _) in enumerate(targets) if c == column
-        ]).alias(column)
+        F.array(*[found(n, c, p) for n, (c, _, p) in enumerate(targets) if c == column]).alias(column)
         for column in wanted
     ]
-    return found.agg(*arrays)
+    result = joined.groupBy(group).agg(*arrays)
+    if by is not None:
+        return result
+    # One row even for an empty table, with NULLs.
+    return result.agg(*[
+        F.coalesce(F.any_value(c), F.array(*[F.lit(None).cast(df.schema[c].dataType)] * len(s))).alias(c)
+        for c, s in wanted.items()
+    ])

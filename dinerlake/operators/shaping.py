@@ -8,28 +8,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# More columns than this are no matrix to look at; the run fails instead of leaving some out.
+MAX_COLUMNS = 2_000
+NO_VALUE = "none"
+
+
+def column_values(df: DataFrame, column: str) -> list[str]:
+    """The distinct values of ``column`` as text, sorted; an error above ``MAX_COLUMNS``."""
+    found = [row[0] for row in df.select(column).distinct().limit(MAX_COLUMNS + 1).collect()]
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"{column} has more than {MAX_COLUMNS} values; make a selection first")
+    return sorted(found)
+
+
 def matrix(
     df: DataFrame,
     index: str,
     column: str,
-    values: Sequence[str],
     value: str,
+    values: Sequence[str] | None = None,
     fill: float | None = None,
     prefix: str = "",
 ) -> DataFrame:
-    """Mean of ``value`` by index row and one column per listed value.
+    """Mean of ``value`` by index row and one column per value of ``column``.
 
-    The values are always given, so no extra pass is needed to find them.
+    ``values`` is a reader's selection; without one every value gets its column,
+    a NULL that of ``NO_VALUE``.
     """
+    labelled = df.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit(NO_VALUE)))
+    listed = column_values(labelled, column) if values is None else [str(v) for v in values]
     wide = (
-        df.groupBy(index)
-        .pivot(column, list(values))
-        .agg(F.avg(F.col(value).cast("double")))
+        labelled.groupBy(index).pivot(column, listed).agg(F.avg(F.col(value).cast("double")))
+        if listed else labelled.select(index).distinct()
     )
-    if fill is not None:
-        wide = wide.fillna(fill, subset=[str(v) for v in values])
-    renamed = {str(v): f"{prefix}{v}" for v in values} if prefix else {}
-    return wide.withColumnsRenamed(renamed) if renamed else wide
+    if fill is not None and listed:
+        wide = wide.fillna(fill, subset=listed)
+    return wide.withColumnsRenamed({v: f"{prefix}{v}" for v in listed}) if prefix else wide
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:

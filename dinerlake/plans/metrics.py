@@ -16,13 +16,13 @@ from dinerlake.functions.numeric import (
     change, mean_money, per_cent, ratio, share_of, total_money,
 )
 from dinerlake.operators.dedupe import first_n_per_key, first_per_key
+from dinerlake.operators.quantiles import exact_quantiles
 from dinerlake.operators.shaping import matrix, only_stores, selection, top
 from dinerlake.plans.views import customer_facts_latest
 
 TOP_CUSTOMERS = 200
 TOP_SPENDERS = 500
 AT_RISK = 200
-MEDIAN_ACCURACY = 10_000
 TREND_PER_CENT = 5
 DRIFT_SHARE = 0.01
 
@@ -40,13 +40,13 @@ def store_list(trends: DataFrame) -> DataFrame:
 def store_day_matrix(
     view: DataFrame,
     value: str,
-    stores: Sequence[str],
+    stores: Sequence[str] | None = None,
     start: object = None,
     end: object = None,
 ) -> DataFrame:
-    """Dates down, one column per chosen store."""
+    """Dates down, one column per chosen store, by default per store of the view."""
     chosen = selection(view, stores, start, end)
-    return matrix(chosen, "order_date", "restaurant_id", stores, value, prefix="store_")
+    return matrix(chosen, "order_date", "restaurant_id", value, stores, prefix="store_")
 
 
 def latest_day_kpi(
@@ -173,16 +173,18 @@ def at_risk_customers(churn: DataFrame, n: int = AT_RISK) -> DataFrame:
 
 
 def churn_medians(churn: DataFrame) -> DataFrame:
-    def median(column: str) -> Column:
-        return F.percentile_approx(column, 0.5, MEDIAN_ACCURACY)
-
-    return churn.groupBy("risk_level").agg(
-        F.count(F.lit(1)).alias("customers"),
-        median("days_since_last_order").alias("p50_days_since_last"),
-        median("avg_interorder_gap_days").alias("p50_gap_days"),
-        median("last_90d_orders").alias("p50_orders_90d"),
-        median("last_90d_sales").alias("p50_sales_90d"),
-        median("delta_90d_pct").alias("p50_delta_90d"),
+    """Customers and exact medians per risk level, at any number of customers."""
+    columns = {
+        "days_since_last_order": "p50_days_since_last",
+        "avg_interorder_gap_days": "p50_gap_days",
+        "last_90d_orders": "p50_orders_90d",
+        "last_90d_sales": "p50_sales_90d",
+        "delta_90d_pct": "p50_delta_90d",
+    }
+    medians = exact_quantiles(churn, {c: [0.5] for c in columns}, by="risk_level")
+    sizes = churn.groupBy("risk_level").agg(F.count(F.lit(1)).alias("customers"))
+    return sizes.join(medians, "risk_level").select(
+        "risk_level", "customers", *[F.col(c)[0].alias(name) for c, name in columns.items()]
     )
 
 
@@ -254,11 +256,11 @@ def best_mover(monthly: DataFrame, stores: Sequence[str] | None = None) -> DataF
     )
 
 
-def weekday_matrix(dow: DataFrame, stores: Sequence[str]) -> DataFrame:
+def weekday_matrix(dow: DataFrame, stores: Sequence[str] | None = None) -> DataFrame:
     """Weekdays down from Monday, one column per store."""
     wide = matrix(
-        only_stores(dow, stores), "day_of_week", "restaurant_id", stores,
-        "avg_sales_dow", prefix="store_",
+        only_stores(dow, stores), "day_of_week", "restaurant_id", "avg_sales_dow", stores,
+        prefix="store_",
     )
     return wide.withColumn("day_no", weekday_number("day_of_week")).orderBy("day_no")
 
@@ -287,11 +289,13 @@ def category_mix(mix: DataFrame, stores: Sequence[str] | None = None) -> DataFra
 
 
 def category_mix_matrix(
-    mix: DataFrame, categories: Sequence[str], stores: Sequence[str] | None = None
+    mix: DataFrame,
+    categories: Sequence[str] | None = None,
+    stores: Sequence[str] | None = None,
 ) -> DataFrame:
     return matrix(
-        category_mix(mix, stores), "month", "item_category", categories,
-        "sales_share", fill=0.0, prefix="share_",
+        category_mix(mix, stores), "month", "item_category", "sales_share", categories,
+        fill=0.0, prefix="share_",
     )
 
 

@@ -25,16 +25,6 @@ def read_table(
     return reader.parquet(path)
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Deal the rows of a scan over all cores when it has fewer splits than cores.
-
-    A small file with a single row group is otherwise read and processed by one
-    task.  Large tables have more splits than cores and pass through unchanged.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def read_if_present(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:

@@ -21,7 +21,6 @@ from verification.workspace import Workspace
 Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Callable[[Workspace], DataFrame]] = {}
-CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 DIGITS = 6
 
 
@@ -454,13 +453,13 @@ def store_list(w):
 @query
 def daily_sales_matrix(w):
     trends = views.sales_trends_daily(w.g1())
-    return metrics.store_day_matrix(trends, "gross_sales_total", st.STORES)
+    return metrics.store_day_matrix(trends, "gross_sales_total")
 
 
 @query
 def daily_orders_matrix(w):
     trends = views.sales_trends_daily(w.g1())
-    return metrics.store_day_matrix(trends, "orders_count", st.STORES)
+    return metrics.store_day_matrix(trends, "orders_count")
 
 
 @query
@@ -476,13 +475,13 @@ def top_items_by_store(w):
 @query
 def loyalty_share_matrix(w):
     mix = views.loyalty_mix_daily(w.g1())
-    return metrics.store_day_matrix(mix, "loyalty_orders_pct", st.STORES)
+    return metrics.store_day_matrix(mix, "loyalty_orders_pct")
 
 
 @query
 def discount_share_matrix(w):
     discounts = views.discounts_daily(w.g4())
-    return metrics.store_day_matrix(discounts, "pct_sales_discounted", st.STORES)
+    return metrics.store_day_matrix(discounts, "pct_sales_discounted")
 
 
 @query
@@ -578,7 +577,7 @@ def _dow(w):
 
 @query
 def weekday_matrix(w):
-    return metrics.weekday_matrix(_dow(w), st.STORES)
+    return metrics.weekday_matrix(_dow(w))
 
 
 @query
@@ -597,7 +596,8 @@ def category_mix(w):
 
 @query
 def category_mix_matrix(w):
-    return metrics.category_mix_matrix(_mix(w), CATEGORIES)
+    wide = metrics.category_mix_matrix(_mix(w))
+    return wide.withColumns({c: F.round(c, DIGITS) for c in wide.columns if c != "month"})
 
 
 @query
@@ -691,7 +691,6 @@ ROUNDED: dict[str, list[str]] = {
     "best_mover": ["avg_mom_last3"],
     "weekday_profile": ["mean_sales"],
     "category_mix": ["sales_share"],
-    "category_mix_matrix": [f"share_{c}" for c in CATEGORIES],
     "category_drift": ["avg_share", "first3_share", "last3_share", "share_change"],
     "holiday_uplift_12m": ["uplift_pct"],
     "holiday_uplift_12m_literal": ["uplift_pct"],
