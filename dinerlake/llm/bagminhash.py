@@ -12,7 +12,7 @@ similarity.  Only points before the time at which all components are filled are
 Search.  Signatures are cut into bands; texts that share a band are candidates.  In every band bucket all
 members are checked exactly against one centre.  What the centre leaves undecided is checked too: members
 of different components that share a bucket, unless the triangle inequality of the distance 1 - J through
-the centre rules the pair out.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
+the centre, or the elements that a bag shares with no other, rule the pair out.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
 """
 
 from __future__ import annotations
@@ -187,15 +187,29 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", similarity("a_set", "b_set").alias("similarity"))
 
 
+def shareable(sets: DataFrame) -> DataFrame:
+    """Per bag its size, and how many of its elements (``common``) occur in another bag as well."""
+    each = sets.select("bag", F.explode("elements").alias("element"))
+    alone = each.groupBy("element").agg(F.count("*").alias("n"), F.any_value("bag").alias("bag")).where("n = 1")
+    single = alone.groupBy("bag").agg(F.count("*").alias("single"))
+    return sets.select("bag", F.size("elements").alias("size")).join(single, "bag", "left").select(
+        "bag", "size", (F.col("size") - F.coalesce("single", F.lit(0))).alias("common"))
+
+
 def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
     """All links (a, b) between bags that share a band slot and are similar enough, up to
     links inside a component that other links already make.  ``slots``: slot, bag."""
+    shared = written(slots.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    crowd = written(slots.join(shared, "slot"), "crowd")
+    # The member that meets most others over all its slots is the centre: in a group of edited
+    # copies that is the text they come from, or the copy nearest to it.
+    weight = written(crowd.groupBy("bag").agg(F.sum("n").alias("weight")), "weight")
     centres = written(
-        slots.groupBy("slot").agg(F.min("bag").alias("centre"), F.count("*").alias("n"))
-        .where("n > 1").select("slot", "centre"),
+        crowd.select("slot", "bag").join(weight, "bag").groupBy("slot")
+        .agg(F.max_by("bag", F.struct("weight", "bag")).alias("centre")),
         "centres",
     )
-    members = written(slots.join(centres, "slot"), "members")
+    members = written(crowd.select("slot", "bag").join(centres, "slot"), "members")
     spokes = members.where("bag <> centre").select(
         F.col("centre").alias("a"), F.col("bag").alias("b")).distinct()
     sets = sets_of(members.select("bag").distinct())
@@ -217,15 +231,23 @@ def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts"))
     open_slots = written(main.where("parts > 1").select("slot", "main"), "open")
     rest = written(placed.where("bag <> centre").join(open_slots, "slot"), "rest")
+    sizes = written(shareable(sets.join(rest.select("bag").distinct(), "bag")), "sizes")
+    # Nothing else can come near a bag that keeps too little after its own elements.
+    rest = rest.join(sizes, "bag").where(F.col("common") >= least * F.col("size") - 1e-9)
     minor = rest.where("root <> main").select(
         "slot", F.col("bag").alias("a"), F.col("root").alias("a_root"),
-        F.col("distance").alias("a_distance"))
+        F.col("distance").alias("a_distance"), F.col("size").alias("a_size"),
+        F.col("common").alias("a_common"))
     others = rest.select("slot", F.col("bag").alias("b"), F.col("root").alias("b_root"),
-                         F.col("distance").alias("b_distance"), (F.col("root") == F.col("main")).alias("in_main"))
+                         F.col("distance").alias("b_distance"), F.col("size").alias("b_size"),
+                         F.col("common").alias("b_common"), (F.col("root") == F.col("main")).alias("in_main"))
     near = F.abs(F.col("a_distance") - F.col("b_distance")) <= 1 - least + 1e-9
+    overlap = least / (1 + least) * (F.col("a_size") + F.col("b_size")) - 1e-9
+    possible = F.least("a_common", "b_common") >= overlap
     left_over = (
         minor.join(others, "slot")
-        .where((F.col("a_root") != F.col("b_root")) & near & (F.col("in_main") | (F.col("a") < F.col("b"))))
+        .where((F.col("a_root") != F.col("b_root")) & near & possible
+               & (F.col("in_main") | (F.col("a") < F.col("b"))))
         .select("a", "b").distinct()
     )
     second = checked(left_over, sets).where(F.col("similarity") >= least).select("a", "b")
