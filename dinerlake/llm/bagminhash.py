@@ -12,19 +12,21 @@ similarity.  Only points before the time at which all components are filled are
 Search.  Signatures are cut into bands; texts that share a band are candidates.  In every band bucket all
 members are checked exactly against one centre.  What the centre leaves undecided is checked too: members
 of different components that share a bucket, unless the triangle inequality of the distance 1 - J through
-the centre, or the elements that a bag shares with no other, rule the pair out.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
+the centre, or the elements that a bag shares with no other, rule the pair out; some rounds of chance
+meetings in a bucket join most components first.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dinerlake.llm.common import written
+from dinerlake.llm.common import numbered, written
 from dinerlake.llm.components import components
 from dinerlake.llm.substrings import lists, rolling
 from dinerlake.llm.words import U, chunks, mixed, split
@@ -32,6 +34,8 @@ from dinerlake.llm.words import U, chunks, mixed, split
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 4
 COMPONENTS = BANDS * ROWS
+# Rounds of chance meetings before the pairs that are left are listed, and the size of a meeting.
+ROUNDS, PART = 3, 32
 DOC_BITS = 12
 SHINGLE_MASK = U((1 << (64 - DOC_BITS)) - 1)
 ODD = U(0x9E3779B97F4A7C15)
@@ -140,7 +144,7 @@ def bag_digests(hashes: np.ndarray, owner: np.ndarray, n: int) -> list[bytes]:
 
 PROFILE = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("bag", pa.binary()),
                      ("bands", pa.list_(pa.int64()))])
-BAG = pa.schema([("bag", pa.binary()), ("elements", pa.list_(pa.int64()))])
+BAG = pa.schema([("bag", pa.int64()), ("elements", pa.list_(pa.int64()))])
 
 
 def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,11 +184,11 @@ def similarity(left: str, right: str) -> Column:
 
 
 def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their exact similarity."""
+    """``pairs`` (a, b and others) with their exact similarity."""
     left = sets.select(F.col("bag").alias("a"), F.col("elements").alias("a_set"))
     right = sets.select(F.col("bag").alias("b"), F.col("elements").alias("b_set"))
     both = pairs.join(right, "b").join(left, "a")
-    return both.select("a", "b", similarity("a_set", "b_set").alias("similarity"))
+    return both.select(*pairs.columns, similarity("a_set", "b_set").alias("similarity"))
 
 
 def shareable(sets: DataFrame) -> DataFrame:
@@ -217,45 +221,75 @@ def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
     strong = first.where(F.col("similarity") >= least).select("a", "b")
     roots = written(components(strong), "roots")
 
-    # Buckets whose members are still in several components.
     placed = (
-        members.join(roots.withColumnRenamed("node", "bag"), "bag", "left")
+        members.where("bag <> centre")
+        .join(roots.withColumnRenamed("node", "bag"), "bag", "left")
         .join(first.select(F.col("a").alias("centre"), F.col("b").alias("bag"), "similarity"),
-              ["centre", "bag"], "left")
-        .select("slot", "bag", "centre", F.coalesce("root", "bag").alias("root"),
-                (1 - F.coalesce("similarity", F.lit(1.0))).alias("distance"))
+              ["centre", "bag"])
+        .select("slot", "bag", F.coalesce("root", "bag").alias("root"),
+                (1 - F.col("similarity")).alias("distance"))
     )
-    placed = written(placed, "placed")
-    sizes = placed.groupBy("slot", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("slot").agg(
-        F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("parts"))
-    open_slots = written(main.where("parts > 1").select("slot", "main"), "open")
-    rest = written(placed.where("bag <> centre").join(open_slots, "slot"), "rest")
+    rest = undecided(written(placed, "placed"))
     sizes = written(shareable(sets.join(rest.select("bag").distinct(), "bag")), "sizes")
     # Nothing else can come near a bag that keeps too little after its own elements.
     rest = rest.join(sizes, "bag").where(F.col("common") >= least * F.col("size") - 1e-9)
-    minor = rest.where("root <> main").select(
-        "slot", F.col("bag").alias("a"), F.col("root").alias("a_root"),
-        F.col("distance").alias("a_distance"), F.col("size").alias("a_size"),
-        F.col("common").alias("a_common"))
-    others = rest.select("slot", F.col("bag").alias("b"), F.col("root").alias("b_root"),
-                         F.col("distance").alias("b_distance"), F.col("size").alias("b_size"),
-                         F.col("common").alias("b_common"), (F.col("root") == F.col("main")).alias("in_main"))
+
+    found = [roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))]
+    for number in range(ROUNDS):
+        rest = undecided(written(rest, "rest"))
+        tried = written(checked(met(rest, number, least), sets), "tried")
+        edges = tried.where(F.col("similarity") >= least).select(
+            F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+        found.append(edges)
+        joined = written(components(edges), "joined")
+        rest = rest.join(joined.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
+        rest = rest.withColumn("root", F.coalesce("new", "root")).drop("new")
+
+    rest = undecided(written(rest, "rest"))
+    sides = rest.groupBy("slot", "root").agg(F.count("*").alias("n"))
+    main = sides.groupBy("slot").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    rest = written(rest.join(main, "slot"), "sides")
+    pairs = sided(rest.where("root <> main"), "a").join(sided(rest, "b"), "slot").where(
+        possible(least) & ((F.col("b_root") == F.col("b_main")) | (F.col("a") < F.col("b"))))
+    last = checked(pairs.select("a", "b").distinct(), sets).where(F.col("similarity") >= least)
+    return written(reduce(DataFrame.union, [*found, last.select("a", "b")]), "links")
+
+
+def undecided(rows: DataFrame) -> DataFrame:
+    """The rows of the slots whose members are still in several components."""
+    several = rows.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "low < high").select("slot")
+    return rows.join(written(several, "open"), "slot", "left_semi")
+
+
+def sided(rows: DataFrame, side: str) -> DataFrame:
+    """Every column but the slot under the name of its side of a pair."""
+    return rows.select("slot", *[
+        F.col(c).alias(side if c == "bag" else f"{side}_{c}") for c in rows.columns if c != "slot"])
+
+
+def possible(least: float) -> Column:
+    """Pairs of different components that no bound rules out: the triangle inequality through the
+    slot's centre, and the elements that both can share."""
     near = F.abs(F.col("a_distance") - F.col("b_distance")) <= 1 - least + 1e-9
     overlap = least / (1 + least) * (F.col("a_size") + F.col("b_size")) - 1e-9
-    possible = F.least("a_common", "b_common") >= overlap
-    left_over = (
-        minor.join(others, "slot")
-        .where((F.col("a_root") != F.col("b_root")) & near & possible
-               & (F.col("in_main") | (F.col("a") < F.col("b"))))
-        .select("a", "b").distinct()
-    )
-    second = checked(left_over, sets).where(F.col("similarity") >= least).select("a", "b")
-    # Components so far stand for their members.
-    return written(
-        second.union(roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))),
-        "links",
-    )
+    return (F.col("a_root") != F.col("b_root")) & near & (F.least("a_common", "b_common") >= overlap)
+
+
+def met(rows: DataFrame, number: int, least: float) -> DataFrame:
+    """Pairs (a, b and their roots): the members of a slot are dealt anew into parts of about
+    ``PART``, and all of a part meet one of them."""
+    counts = rows.groupBy("slot").agg(F.count("*").alias("n"))
+    dealt = rows.join(counts, "slot").withColumn(
+        "part", F.pmod(F.xxhash64("bag", F.lit(number)), F.ceil(F.col("n") / PART))).drop("n")
+    dealt = written(dealt, "dealt")
+    one = dealt.groupBy("slot", "part").agg(F.max_by(
+        F.struct("bag", "root", "distance", "size", "common"), F.xxhash64("bag", F.lit(number), F.lit("one"))
+    ).alias("one")).select("slot", "part", "one.*")
+    a = sided(written(one, "one"), "a").withColumnRenamed("a_part", "part")
+    b = sided(dealt, "b").withColumnRenamed("b_part", "part")
+    pairs = b.join(a, ["slot", "part"]).where(possible(least))
+    return pairs.select("a", "b", "a_root", "b_root").distinct()
 
 
 def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMILARITY) -> DataFrame:
@@ -270,12 +304,13 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMIL
     source = docs.select(F.col(id_column).cast("long").alias("id"), "text", digest.alias("digest"))
     every = written(
         source.mapInArrow(profile, "id long, digest binary, bag binary, bands array<long>"), "bags")
-    distinct = written(
+    # One row per bag, under a number of its own: shorter to send than the digest.
+    distinct = numbered(
         every.where(F.col("bag").isNotNull()).groupBy("bag").agg(
             F.min("id").alias("least_id"), F.count("*").alias("copies"),
             F.min(F.struct("id", "digest")).alias("keeper"), F.any_value("bands").alias("bands")),
         "distinct",
-    )
+    ).withColumnRenamed("bag", "bag_digest").withColumnRenamed("rid", "bag")
     slots = distinct.select(F.explode("bands").alias("slot"), "bag")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -285,17 +320,18 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMIL
             "keepers",
         )
         texts = source.join(keepers, "digest").where(F.col("id").eqNullSafe(F.col("keeper_id")))
-        found = texts.select("bag", "text").mapInArrow(elements, "bag binary, elements array<long>")
+        found = texts.select("bag", "text").mapInArrow(elements, "bag long, elements array<long>")
         return written(found.dropDuplicates(["bag"]), "sets")
 
     roots = components(links(slots, sets_of, least))
-    rooted = distinct.select("bag", "least_id", "copies").join(
+    rooted = distinct.select("bag", "bag_digest", "least_id", "copies").join(
         roots.withColumnRenamed("node", "bag"), "bag", "left"
-    ).select("bag", "least_id", "copies", F.coalesce("root", "bag").alias("root"))
+    ).select("bag_digest", "least_id", "copies", F.coalesce("root", "bag").alias("root"))
     rooted = written(rooted, "rooted")
     classes = written(
         rooted.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
-        .join(rooted.select("root", "bag"), "root").select("bag", "class_id", "class_size"),
+        .join(rooted.select("root", F.col("bag_digest").alias("bag")), "root")
+        .select("bag", "class_id", "class_size"),
         "classes",
     )
     return every.select("id", "bag").join(classes, "bag", "left").select(
