@@ -201,25 +201,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
         ),
         "profiles",
     )
-    # Equal texts once, with their number; the one with the least id stands for them.
-    texts = written(
-        every.where(F.col("n_words") >= window).groupBy("digest").agg(
-            F.count("*").alias("copies"), F.min("doc_id").alias("keeper"),
-            F.any_value("anchors").alias("anchors"), F.any_value("places").alias("places"),
-        ),
-        "texts",
-    )
-    pairs = texts.select(
-        "digest", "copies", F.inline(F.arrays_zip(F.col("anchors").alias("anchor"),
-                                                  F.col("places").alias("place"))),
-    ).toDF("digest", "copies", "anchor", "place")
+    long = every.where(F.col("n_words") >= window)
+    pairs = long.select(
+        "digest", F.inline(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("places").alias("place"))),
+    ).toDF("digest", "anchor", "place")
     often = written(
-        pairs.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor"),
+        pairs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"),
         "anchors",
     )
+    # Equal texts once, with their number; the one with the least id stands for them.
     marked = written(
-        pairs.join(often, "anchor").groupBy("digest").agg(F.collect_list("place").alias("places"))
-        .join(texts.select("digest", "copies", "keeper"), "digest"),
+        pairs.join(often, "anchor").groupBy("digest").agg(F.collect_set("place").alias("places"))
+        .join(long.groupBy("digest").agg(
+            F.count("*").alias("copies"), F.min("doc_id").alias("keeper")), "digest"),
         "marked",
     )
     chosen = (
