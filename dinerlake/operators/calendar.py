@@ -53,15 +53,19 @@ def date_dim(
 
 
 def join_dates(facts: DataFrame, dates: DataFrame, days: int | None = None) -> DataFrame:
-    """Facts with the calendar columns of their order_date (inner join).
+    """Facts with the calendar columns of their order_date; a day without a calendar row
+    is an error, for its sales would be lost.
 
     ``days`` is the known number of calendar rows; only a checked small
     calendar is broadcast, else Spark chooses from run-time sizes.
     """
-    calendar_side = dates.withColumnRenamed("date_key", "order_date")
+    side = dates.withColumnRenamed("date_key", "order_date").withColumn("_listed", F.lit(True))
     if days is not None and days <= BROADCAST_DAYS:
-        calendar_side = F.broadcast(calendar_side)
-    return facts.join(calendar_side, "order_date")
+        side = F.broadcast(side)
+    missing = F.raise_error(F.concat(F.lit("no calendar row for "), F.col("order_date").cast("string")))
+    listed = F.when(F.col("_listed").isNull() & F.col("order_date").isNotNull(),
+                    missing.cast("boolean")).otherwise(F.col("_listed").isNotNull())
+    return facts.join(side, "order_date", "left").where(listed).drop("_listed")
 
 
 def upsert_dates(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -18,23 +18,32 @@ class QualityError(RuntimeError):
 
 # --- reject rules -----------------------------------------------------------
 
-def item_reject_reason() -> Column:
-    """First rule that a line breaks, NULL for a good line.
+# The published labels and limits, in the order in which they are tried.
+# Category and name may be NULL: an unknown length breaks no rule.
+ITEM_RULES = [
+    ("NULL_creation_time", "creation_time_utc is null"),
+    ("NULL_key", "order_id is null or lineitem_id is null"),
+    ("item_category_too_long", f"length(item_category) > {MAX_CATEGORY}"),
+    ("item_name_too_long", f"length(item_name) > {MAX_NAME}"),
+    ("bad_price", "item_price is null"),
+]
+OPTION_RULES = [
+    ("NULL_key", " or ".join(f"{c} is null" for c in OPTION_KEY)),
+    ("bad_price", "option_price is null"),
+]
+
+
+def first_broken(rules: Sequence[tuple[str, str]]) -> Column:
+    """Label of the first rule that a row breaks, NULL for a good row."""
+    return F.coalesce(*[F.when(F.expr(broken), label) for label, broken in rules])
 
-    Category and name may be NULL: an unknown length breaks no rule.
-    """
-    return (
-        F.when(F.col("creation_time_utc").isNull(), "NULL_creation_time")
-        .when(F.col("order_id").isNull() | F.col("lineitem_id").isNull(), "NULL_key")
-        .when(F.length("item_category") > MAX_CATEGORY, "item_category_too_long")
-        .when(F.length("item_name") > MAX_NAME, "item_name_too_long")
-        .when(F.col("item_price").isNull(), "bad_price")
-    )
+
+def item_reject_reason() -> Column:
+    return first_broken(ITEM_RULES)
 
 
 def option_reject_reason() -> Column:
-    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in OPTION_KEY])
-    return F.when(missing, "NULL_key").when(F.col("option_price").isNull(), "bad_price")
+    return first_broken(OPTION_RULES)
 
 
 def date_reject_reason() -> Column:

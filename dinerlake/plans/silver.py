@@ -48,9 +48,15 @@ def one_per(df: DataFrame, keys: list[str]) -> DataFrame:
     return first_per_key(df, keys, rest)
 
 
+def one_per_full_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; rows with a NULL in the key are no copies of each other and all stay."""
+    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+    return one_per(df.filter(full), keys).unionByName(df.filter(~full))
+
+
 def judged_items(raw: DataFrame) -> DataFrame:
-    """Typed lines, one per (order, line), with their reject reason or NULL."""
-    return ql.with_reason(one_per(typed_items(raw), LINE_KEY), ql.item_reject_reason())
+    """Typed lines with their reject reason or NULL; one per (order, line) where both are known."""
+    return ql.with_reason(one_per_full_key(typed_items(raw), LINE_KEY), ql.item_reject_reason())
 
 
 def clean_items(raw: DataFrame) -> DataFrame:
@@ -77,9 +83,16 @@ def clean_options(raw: DataFrame) -> DataFrame:
     return one_per(ql.accepted(judged_options(raw)), OPTION_KEY)
 
 
+def rejected_options(raw: DataFrame) -> DataFrame:
+    """Options without a key or a readable price, with the reason."""
+    return ql.rejected(judged_options(raw))
+
+
 def typed_dates(raw: DataFrame) -> DataFrame:
+    """Parsed dates; ``date_key_str`` keeps the text as it came."""
     return (
-        raw.withColumn("date_key", cl.parse_date(F.trim("date_key")))
+        raw.withColumn("date_key_str", F.col("date_key"))
+        .withColumn("date_key", cl.parse_date(F.trim("date_key")))
         .withColumn("is_weekend", cl.parse_bool("is_weekend"))
         .withColumn("is_holiday", cl.parse_bool("is_holiday"))
     )
@@ -91,8 +104,10 @@ def judged_dates(raw: DataFrame) -> DataFrame:
 
 def clean_dates(raw: DataFrame) -> DataFrame:
     """Readable dates with year, week, month name and weekday repaired."""
-    good = ql.accepted(judged_dates(raw))
+    return repaired_dates(ql.accepted(judged_dates(raw)))
+
 
+def repaired_dates(good: DataFrame) -> DataFrame:
     def number_or(name: str, derived: Column) -> Column:
         return F.coalesce(F.when(F.col(name).rlike(r"^\d+$"), cl.parse_int(name)), derived)
 
@@ -121,28 +136,30 @@ class Seed:
     options: DataFrame
     dates: DataFrame
     rejected_items: DataFrame
+    rejected_options: DataFrame
     orphan_options: DataFrame
     rejected_dates: DataFrame
 
 
-def seed(raw_items: DataFrame, raw_options: DataFrame, raw_dates: DataFrame) -> Seed:
-    judged = judged_items(raw_items)
-    items = ql.accepted(judged)
-    options = clean_options(raw_options)
+def split_judged(items: DataFrame, options: DataFrame, dates: DataFrame) -> Seed:
+    """Clean tables and rejects from the judged ones; pass written tables, they are read
+    several times."""
+    good = ql.accepted(items)
+    typed = one_per(ql.accepted(options), OPTION_KEY)
     return Seed(
-        items=items,
-        options=ql.parented_options(options, items),
-        dates=clean_dates(raw_dates),
-        rejected_items=ql.rejected(judged),
-        orphan_options=ql.orphan_options(options, items),
-        rejected_dates=ql.rejected(judged_dates(raw_dates)),
+        items=good,
+        options=ql.parented_options(typed, good),
+        dates=repaired_dates(ql.accepted(dates)),
+        rejected_items=ql.rejected(items),
+        rejected_options=ql.rejected(options),
+        orphan_options=ql.orphan_options(typed, good),
+        rejected_dates=ql.rejected(dates),
     )
 
 
-ITEM_REASONS = [
-    "NULL_creation_time", "NULL_key", "item_category_too_long", "item_name_too_long",
-    "bad_price",
-]
+def seed(raw_items: DataFrame, raw_options: DataFrame, raw_dates: DataFrame) -> Seed:
+    return split_judged(
+        judged_items(raw_items), judged_options(raw_options), judged_dates(raw_dates))
 
 
 def loss_audit(
@@ -167,11 +184,17 @@ def loss_audit(
             (-total).alias("items_dupes_removed"),
             good.alias("items_clean"),
             bad.alias("items_rejected"),
-            *[F.count_if(reason == r).alias(f"items_rejected_{r}") for r in ITEM_REASONS],
+            *[F.count_if(reason == r).alias(f"items_rejected_{r}") for r, _ in ql.ITEM_RULES],
+        ),
+        judged_options(raw_options).agg(
+            total.alias("opts_raw"),
+            bad.alias("opts_rejected"),
+            *[F.count_if(reason == r).alias(f"opts_rejected_{r}") for r, _ in ql.OPTION_RULES],
+            good.alias("opts_dupes_removed"),
         ),
-        raw_options.agg(total.alias("opts_raw")),
         join_to_unique(clean_options(raw_options), parents, LINE_KEY).agg(
             total.alias("opts_clean"),
+            (-total).alias("opts_dupes_removed"),
             F.count("has_parent").alias("opts_parented"),
             F.count_if(F.col("has_parent").isNull()).alias("opts_orphans"),
         ),
@@ -241,16 +264,27 @@ def replayed_items(
     """Up to ``limit`` lines of the source day, moved to the target day.
 
     The sample is the first lines by key, so a second replay takes the same ones.
+    A replayed order is an order of its own: its id gets the target day as a suffix, or
+    its lines would count as new versions of the lines that they copy.
     """
     sampled = items_of_days(items, source, source).orderBy(
         *LINE_KEY, *[c for c in items.columns if c not in LINE_KEY]
     ).limit(limit)
     moved = shift_days("creation_time_utc", (target - source).days)
     return sampled.withColumns({
+        "order_id": replayed_id(target),
         "creation_time_utc": moved,
         "ingestion_date": F.lit(ingested),
     })
 
 
-def replayed_options(options: DataFrame, items: DataFrame, ingested: dt.date) -> DataFrame:
-    return options_of_orders(options, items).withColumn("ingestion_date", F.lit(ingested))
+def replayed_id(target: dt.date) -> Column:
+    return F.concat("order_id", F.lit(f"@{target}"))
+
+
+def replayed_options(
+    options: DataFrame, items: DataFrame, target: dt.date, ingested: dt.date
+) -> DataFrame:
+    """Options of the replayed ``items``, under the ids of the replay."""
+    renamed = options.withColumn("order_id", replayed_id(target))
+    return options_of_orders(renamed, items).withColumn("ingestion_date", F.lit(ingested))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,12 @@ from pyspark.sql import types as T
 # --- sources ----------------------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, read as text columns; no inference pass."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header as text columns, taken by their header names in any order."""
+    found = spark.read.option("header", True).csv(path)
+    missing = [c for c in schema.fieldNames() if c not in found.columns]
+    if missing:
+        raise ValueError(f"{path} has no columns {missing}")
+    return found.select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
 
 
 def read_table(
@@ -64,12 +69,17 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 
 # --- sinks ------------------------------------------------------------------
 
-def overwrite_partitions(df: DataFrame, path: str, column: str) -> None:
-    """Replace exactly the partitions that occur in ``df``.
+def overwrite_partitions(
+    df: DataFrame, path: str, column: str, values: Sequence[object] | None = None
+) -> None:
+    """Replace the partitions that occur in ``df``, and with ``values`` exactly those.
 
-    The rebalance hint brings the rows of a partition together and lets the
+    A listed partition that still has its old files after the write got no rows and is
+    removed.  The rebalance hint brings the rows of a partition together and lets the
     adaptive planner split a large one over several tasks and files.
     """
+    spark, listed = df.sparkSession, [str(v) for v in values or ()]
+    before = {v: partition_files(spark, path, column, v) for v in listed}
     (
         df.hint("rebalance", F.col(column))
         .write.mode("overwrite")
@@ -78,18 +88,35 @@ def overwrite_partitions(df: DataFrame, path: str, column: str) -> None:
         .partitionBy(column)
         .parquet(path)
     )
+    stale = [
+        v for v in listed
+        if before[v] and partition_files(spark, path, column, v) == before[v]
+    ]
+    drop_partitions(spark, path, column, stale)
 
 
-def overwrite_one_partition(df: DataFrame, path: str, column: str, value: str) -> None:
-    """Write all rows as the partition ``column=value``, replacing only that one."""
-    tagged = df.withColumn(column, F.lit(value))
-    (
-        tagged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(column)
-        .parquet(path)
-    )
+def partition_files(spark: SparkSession, path: str, column: str, value: str) -> set[str]:
+    """Names of the files of one partition; each write names its files anew."""
+    folder, fs = _folder(spark, f"{path}/{column}={value}")
+    if not fs.exists(folder):
+        return set()
+    return {status.getPath().getName() for status in fs.listStatus(folder)}
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Remove the folders of these partitions, where there are any."""
+    for value in values:
+        folder, fs = _folder(spark, f"{path}/{column}={value}")
+        if fs.exists(folder):
+            fs.delete(folder, True)
+    if values:
+        spark.catalog.refreshByPath(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def append_partitions(df: DataFrame, path: str, column: str) -> None:
@@ -118,28 +145,26 @@ def write_rejects(rejects: DataFrame, path: str, run: dt.datetime) -> bool:
 def swap_write(df: DataFrame, path: str, partition: str | None = None) -> None:
     """Overwrite the place ``df`` may itself be read from.
 
-    The rows go to a new folder beside the table first.  The old folder is moved
-    aside only when the new one is complete, and is removed last, so a failure
-    never leaves the table without its data.
+    The rows are written to a new folder beside the table first, so a failure of
+    ``df`` leaves the table as it was.  The table is then rewritten from that
+    complete copy, partition by partition, and partitions without rows are removed.
     """
     spark = df.sparkSession
-    tag = uuid.uuid4().hex[:8]
-    fresh, old = f"{path}__new_{tag}", f"{path}__old_{tag}"
-    writer = df.write.mode("errorifexists").option("compression", "snappy")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(fresh)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop_path = jvm.org.apache.hadoop.fs.Path
-    fs = hadoop_path(path).getFileSystem(conf)
-    had_table = fs.exists(hadoop_path(path))
-    if had_table and not fs.rename(hadoop_path(path), hadoop_path(old)):
-        raise RuntimeError(f"could not move {path} aside")
-    if not fs.rename(hadoop_path(fresh), hadoop_path(path)):
-        if had_table:
-            fs.rename(hadoop_path(old), hadoop_path(path))
-        raise RuntimeError(f"could not move the new {path} into place")
-    if had_table:
-        fs.delete(hadoop_path(old), True)
+    fresh = f"{path}__new_{uuid.uuid4().hex[:8]}"
+    if partition is None:
+        df.write.mode("errorifexists").option("compression", "snappy").parquet(fresh)
+        write_plain(spark.read.schema(df.schema).parquet(fresh), path)
+    else:
+        overwrite_partitions(df, fresh, partition)
+        copy = read_if_present(spark, fresh, df.schema)
+        before = read_if_present(spark, path, df.schema)
+        # One value per partition folder, as many as the table has days.
+        had = [] if before is None else [
+            r[0] for r in before.select(F.col(partition).cast("string")).distinct().collect()]
+        if copy is not None:
+            overwrite_partitions(copy, path, partition, had)
+        else:
+            drop_partitions(spark, path, partition, had)
+    folder, fs = _folder(spark, fresh)
+    fs.delete(folder, True)
     spark.catalog.refreshByPath(path)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dinerlake.operators.quality import QualityError
 from dinerlake.schemas import PARTITION_COLUMN, columns_of, schema_of
@@ -36,12 +38,23 @@ class Lakehouse:
             self.spark, self.path(table), PARTITION_COLUMN[table], first, last, schema_of(table)
         )
 
-    def replace_partitions(self, table: str, df: DataFrame) -> None:
-        """Dynamic overwrite: partitions that ``df`` does not touch stay."""
+    def replace_partitions(
+        self, table: str, df: DataFrame, values: Sequence[object] | None = None
+    ) -> None:
+        """Dynamic overwrite: partitions that ``df`` does not touch stay, unless they are
+        among ``values``; those are emptied."""
         files.overwrite_partitions(
-            df.select(*columns_of(table)), self.path(table), PARTITION_COLUMN[table]
+            df.select(*columns_of(table)), self.path(table), PARTITION_COLUMN[table], values
         )
 
+    def range(self, table: str, first: object, last: object) -> DataFrame:
+        """Rows of a range of partitions; none when the table was never written."""
+        column = PARTITION_COLUMN[table]
+        found = self.find(table)
+        if found is None:
+            return self.spark.createDataFrame([], schema_of(table))
+        return found.filter(F.col(column).between(F.lit(first), F.lit(last)))
+
     def append(self, table: str, df: DataFrame) -> None:
         files.append_partitions(
             df.select(*columns_of(table)), self.path(table), PARTITION_COLUMN[table]

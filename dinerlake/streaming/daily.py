@@ -1,25 +1,31 @@
 """Day runs over a lakehouse.
 
-Every step replaces whole partitions, so a day can be run again at any time and
-days can be run in any order.  A range of days is one set of Spark jobs, not a
+Every step replaces exactly the partitions of its days, also those that end up empty,
+so a day can be run again at any time and days can be run in any order.  A line is
+(order, line item); of several versions the newest counts, in the marts, in the
+snapshot and in compaction alike.  A range of days is one set of Spark jobs, not a
 loop over days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dinerlake.operators import quality as ql
 from dinerlake.operators.calendar import date_dim, upsert_dates
 from dinerlake.operators.dedupe import current_items, current_options
+from dinerlake.operators.joins import keep_matching
 from dinerlake.operators.lines import enrich_lines, options_of_lines
 from dinerlake.plans import marts
 from dinerlake.plans import silver as sv
 from dinerlake.schemas import LINE_KEY, columns_of
+from dinerlake.session import cut_lineage
+from dinerlake.sources import files
 from dinerlake.sources.lakehouse import Lakehouse
 
 DAY_MARTS = {
@@ -35,6 +41,10 @@ def yesterday() -> dt.date:
 
 # --- bronze -----------------------------------------------------------------
 
+def days_of(start: dt.date, end: dt.date) -> list[dt.date]:
+    return [start + dt.timedelta(days=n) for n in range((end - start).days + 1)]
+
+
 def extract(
     lake: Lakehouse, items: DataFrame, options: DataFrame, start: dt.date, end: dt.date
 ) -> bool:
@@ -42,15 +52,17 @@ def extract(
 
     The partition is the creation day.  The source of the lines is read once;
     the order ids come from the copy.  Returns False when there was nothing to
-    copy, which is a success.
+    copy and nothing to remove, which is a success.
     """
+    had = lake.days("bronze_order_items", str(start), str(end)) is not None
     created = F.to_date("creation_time_utc").cast("string")
     chosen = sv.items_of_days(items, start, end).withColumn("ingestion_date", created)
+    days = days_of(start, end)
     lake.replace_partitions(
-        "bronze_order_items", sv.one_per(chosen, ["ingestion_date", *LINE_KEY])
+        "bronze_order_items", sv.one_per(chosen, ["ingestion_date", *LINE_KEY]), days
     )
-    written = lake.days("bronze_order_items", str(start), str(end))
-    if written is None:
+    written = lake.range("bronze_order_items", str(start), str(end))
+    if not had and written.isEmpty():
         return False
     ql.assert_has_columns(
         written, ["order_id", "lineitem_id", "item_price", "item_quantity", "ingestion_date"]
@@ -61,23 +73,30 @@ def extract(
         *[c for c in columns_of("bronze_order_items_options") if c != "ingestion_date"]
     )
     lake.replace_partitions(
-        "bronze_order_items_options", wanted.join(order_days, "order_id")
+        "bronze_order_items_options", wanted.join(order_days, "order_id"), days
     )
     return True
 
 
 # --- silver -----------------------------------------------------------------
 
-def refine(lake: Lakehouse, start: dt.date, end: dt.date) -> bool:
-    """Type and dedupe these ingestion days into silver, each day on its own."""
-    items = lake.days("bronze_order_items", str(start), str(end))
-    options = lake.days("bronze_order_items_options", str(start), str(end))
-    day = ["ingestion_date"]
-    if items is not None:
-        lake.replace_partitions("silver_order_items", sv.silver_items(items, day))
-    if options is not None:
-        lake.replace_partitions("silver_order_items_options", sv.silver_options(options, day))
-    return items is not None
+def line_keys(lake: Lakehouse, start: dt.date, end: dt.date) -> DataFrame:
+    """Keys and order dates of the silver lines in these ingestion days."""
+    return lake.range("silver_order_items", start, end).select(*LINE_KEY, "order_date").distinct()
+
+
+def refine(lake: Lakehouse, start: dt.date, end: dt.date) -> DataFrame:
+    """Type and dedupe these ingestion days into silver, each day on its own.
+
+    Returns the keys and order dates of the lines that were there before.
+    """
+    before = cut_lineage(line_keys(lake, start, end))
+    days, day = days_of(start, end), ["ingestion_date"]
+    items = lake.range("bronze_order_items", str(start), str(end))
+    options = lake.range("bronze_order_items_options", str(start), str(end))
+    lake.replace_partitions("silver_order_items", sv.silver_items(items, day), days)
+    lake.replace_partitions("silver_order_items_options", sv.silver_options(options, day), days)
+    return before
 
 
 def compact(lake: Lakehouse) -> None:
@@ -89,12 +108,24 @@ def compact(lake: Lakehouse) -> None:
 
 
 def refresh_dates(
-    lake: Lakehouse, start: dt.date, end: dt.date, holidays: DataFrame, on: list[str]
+    lake: Lakehouse, start: dt.date, end: dt.date, holidays: DataFrame | None = None,
+    on: Sequence[str] = ("date_key",),
 ) -> None:
-    """Replace these days in the date dimension and keep all others."""
-    new = date_dim(lake.spark, start, end, holidays, on)
+    """Replace these days in the date dimension and keep all others.
+
+    Without ``holidays`` only days that are not there yet are added.
+    """
     existing = lake.find("silver_date_dim")
-    merged = new if existing is None else upsert_dates(existing, new)
+    known = holidays
+    if known is None:
+        known, on = lake.spark.createDataFrame([], "date_key date, holiday_name string"), ["date_key"]
+    new = date_dim(lake.spark, start, end, known, on)
+    if existing is None:
+        merged = new
+    elif holidays is None:
+        merged = upsert_dates(new, existing)
+    else:
+        merged = upsert_dates(existing, new)
     lake.swap("silver_date_dim", merged)
 
 
@@ -111,61 +142,77 @@ def _silver(lake: Lakehouse) -> tuple[DataFrame, DataFrame]:
 
 
 def _enrich(items: DataFrame, options: DataFrame) -> DataFrame:
-    """Newest version of each line of an order date, with its newest options."""
-    lines = current_items(items, within=["order_date"])
-    return enrich_lines(lines, current_options(options), unique_lines=True)
+    """Newest version of each line, with its newest options."""
+    return enrich_lines(current_items(items), current_options(options), unique_lines=True)
 
 
-def build_day_marts(lake: Lakehouse, start: dt.date, end: dt.date) -> bool:
-    """Rebuild the day marts of every order date in these ingestion days.
+def build_day_marts(
+    lake: Lakehouse, start: dt.date, end: dt.date, before: DataFrame | None = None
+) -> bool:
+    """Rebuild the day marts of every order date that these ingestion days touch.
 
-    A line is never ingested before it was created, so only ingestion partitions
-    from the first touched order date on are read.
+    ``before`` holds the lines that a re-run replaced.  A line that came with another date
+    before, or does so no more, touches both dates.  All versions of the lines of the touched
+    dates are read, so that each line counts once, on the date of its newest version.
     """
-    ingested = lake.days("silver_order_items", start, end)
-    if ingested is None:
+    changed = line_keys(lake, start, end)
+    if before is not None:
+        changed = changed.unionByName(before).distinct()
+    changed = cut_lineage(changed)
+    if changed.isEmpty():
         return False
-    touched = ingested.select("order_date").distinct()
-    first, last = touched.agg(F.min("order_date"), F.max("order_date")).first()
-    since = F.col("ingestion_date") >= F.lit(first)
-    items, options = (table.filter(since) for table in _silver(lake))
-    lines = items.filter(F.col("order_date").between(F.lit(first), F.lit(last))).join(
-        touched, "order_date", "left_semi"
-    )
-    enriched = _enrich(lines, options_of_lines(options, lines))
-    # Three marts read the lines of the run; lost blocks are computed again.
-    enriched.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _write_day_marts(lake, enriched)
-    finally:
-        enriched.unpersist()
+    items, options = _silver(lake)
+    versions = keep_matching(items, changed, LINE_KEY).select("order_date")
+    # One value per day of the calendar.
+    touched = sorted({
+        r[0] for r in versions.union(changed.select("order_date")).distinct().collect()})
+    same_days = items.filter(F.col("order_date").isin(touched))
+    all_versions = keep_matching(items, same_days, LINE_KEY)
+    current = current_items(all_versions).filter(F.col("order_date").isin(touched))
+    enriched = written_once(
+        lake, enrich_lines(
+            current, current_options(options_of_lines(options, current)), unique_lines=True))
+    _write_day_marts(lake, enriched, touched)
     for table in DAY_MARTS:
-        written = lake.days(table, first, last)
-        if written is None:
-            raise ql.QualityError(f"{table} has no rows from {first} to {last}")
-        ql.assert_no_nulls(written, ["order_date", "restaurant_id"])
+        ql.assert_no_nulls(
+            lake.range(table, touched[0], touched[-1]), ["order_date", "restaurant_id"])
     return True
 
 
-def _write_day_marts(lake: Lakehouse, enriched: DataFrame) -> None:
+def written_once(lake: Lakehouse, df: DataFrame) -> DataFrame:
+    """A plain copy of ``df`` beside the tables of the lake, read by everything that follows."""
+    path = f"{lake.root.rstrip('/')}/work/{uuid.uuid4().hex}"
+    files.write_plain(df, path)
+    return files.read_table(lake.spark, path, df.schema)
+
+
+def _write_day_marts(
+    lake: Lakehouse, enriched: DataFrame, days: Sequence[dt.date] | None = None
+) -> None:
     for table, build in DAY_MARTS.items():
-        lake.replace_partitions(table, build(enriched))
+        lake.replace_partitions(table, build(enriched), days)
 
 
-def build_snapshot(lake: Lakehouse, snapshot: dt.date | None = None) -> dt.date:
+def build_snapshot(
+    lake: Lakehouse, snapshot: dt.date | None = None, enriched: DataFrame | None = None
+) -> dt.date:
     """Write the customer facts of one snapshot date, by default the newest order date."""
     items, options = _silver(lake)
-    if snapshot is None:
-        snapshot = items.agg(F.max("order_date")).first()[0]
-        if snapshot is None:
-            raise ql.QualityError("silver_order_items has no rows to take a snapshot of")
-    facts = marts.customer_facts(_enrich(items, options), snapshot)
-    lake.replace_partitions("gold_customer_facts", facts)
-    written = lake.days("gold_customer_facts", snapshot)
+    newest = items.agg(F.max("order_date")).first()[0]
+    if newest is None:
+        raise ql.QualityError("silver_order_items has no rows to take a snapshot of")
+    chosen = snapshot or newest
+    facts = marts.customer_facts(_enrich(items, options) if enriched is None else enriched, chosen)
+    lake.replace_partitions("gold_customer_facts", facts, [chosen])
+    written = lake.days("gold_customer_facts", chosen)
     if written is None:
-        raise ql.QualityError(f"no customer facts for {snapshot}")
+        raise ql.QualityError(f"no customer facts for {chosen}")
     ql.assert_no_nulls(written, ["snapshot_date", "user_id"])
-    return snapshot
+    if snapshot is None:
+        # Snapshots of later days stay when the newest orders are withdrawn.
+        upto = lake.read("gold_customer_facts").filter(F.col("snapshot_date") <= F.lit(chosen))
+        ql.assert_latest(upto, "snapshot_date", chosen)
+    return chosen
 
 
 # --- whole runs -------------------------------------------------------------
@@ -177,13 +224,15 @@ def run_days(
     start: dt.date,
     end: dt.date,
     snapshot: bool = True,
+    holidays: DataFrame | None = None,
 ) -> bool:
-    """Bronze, silver and gold for the days from ``start`` to ``end``."""
+    """Bronze, silver, calendar and gold for the days from ``start`` to ``end``."""
     if not extract(lake, items, options, start, end):
         return False
-    refine(lake, start, end)
-    build_day_marts(lake, start, end)
-    if snapshot:
+    before = refine(lake, start, end)
+    refresh_dates(lake, start, end, holidays)
+    build_day_marts(lake, start, end, before)
+    if snapshot and not lake.read("silver_order_items").isEmpty():
         build_snapshot(lake)
     return True
 
@@ -203,23 +252,26 @@ def run_day(
 def full_refresh(lake: Lakehouse) -> None:
     """Rebuild all marts from the whole of silver.
 
-    Nothing is persisted here: the lines of all days are too many to keep, and
-    each mart reads only the columns it needs.
+    The lines are enriched and written once; the marts and the snapshot each read only the
+    columns they need of that copy.  Days without lines disappear from the marts.
     """
-    _write_day_marts(lake, _enrich(*_silver(lake)))
-    build_snapshot(lake)
+    enriched = written_once(lake, _enrich(*_silver(lake)))
+    for table, build in DAY_MARTS.items():
+        lake.swap(table, build(enriched))
+    build_snapshot(lake, enriched=enriched)
 
 
 def replay_day(
     lake: Lakehouse, source: dt.date, target: dt.date, limit: int, ingested: dt.date
 ) -> None:
     """Append a sample of the source day to bronze as if it came on the target day."""
-    items = lake.read("bronze_order_items").drop("ingestion_date")
-    options = lake.read("bronze_order_items_options").drop("ingestion_date").distinct()
-    sampled = sv.replayed_items(items, source, target, limit, ingested)
+    day = str(source)  # the partition is the creation day
+    items = lake.range("bronze_order_items", day, day).drop("ingestion_date")
+    options = lake.range("bronze_order_items_options", day, day).drop("ingestion_date").distinct()
+    sampled = cut_lineage(sv.replayed_items(items, source, target, limit, ingested))
     text = F.col("ingestion_date").cast("string")
     lake.append("bronze_order_items", sampled.withColumn("ingestion_date", text))
     lake.append(
         "bronze_order_items_options",
-        sv.replayed_options(options, sampled, ingested).withColumn("ingestion_date", text),
+        sv.replayed_options(options, sampled, target, ingested).withColumn("ingestion_date", text),
     )

@@ -64,9 +64,26 @@ def test_reject_reasons(raw_items):
     }
 
 
+def raw_options_of(df):
+    from dinerlake.schemas import RAW_OPTIONS
+
+    return df.sparkSession.createDataFrame([], RAW_OPTIONS)
+
+
+def raw_dates_of(df):
+    from dinerlake.schemas import RAW_DATES
+
+    return df.sparkSession.createDataFrame([], RAW_DATES)
+
+
 def test_no_row_is_lost(raw_items):
     judged = sv.judged_items(raw_items)
     assert ql.accepted(judged).count() + ql.rejected(judged).count() == judged.count() == 9
+    more = raw_items.unionByName(raw_items.filter("ORDER_ID is null"))
+    keyless = sv.judged_items(more).filter("order_id is null or lineitem_id is null").count()
+    assert keyless == more.filter("ORDER_ID is null or LINEITEM_ID is null").count() == 2
+    audit = dict(rows(sv.loss_audit(more, raw_options_of(more), raw_dates_of(more))))
+    assert audit["items_clean"] + audit["items_rejected"] + audit["items_dupes_removed"] == more.count()
 
 
 def test_null_category_is_kept(raw_items):
@@ -104,6 +121,11 @@ def test_loss_audit(raw_items, raw_options, raw_dates):
     assert audit["items_clean"] + audit["items_rejected"] + audit["items_dupes_removed"] == 10
     assert audit["opts_parented"] + audit["opts_orphans"] == audit["opts_clean"] == 4
     assert (audit["date_dim_good"], audit["date_dim_bad"]) == (2, 1)
+    assert audit["opts_raw"] == raw_options.count() == (
+        audit["opts_clean"] + audit["opts_rejected"] + audit["opts_dupes_removed"])
+    assert audit["opts_rejected"] == sv.rejected_options(raw_options).count()
+    bad = sv.seed(raw_items, raw_options, raw_dates).rejected_dates.first()
+    assert bad.date_key is None and bad.date_key_str
     assert audit["items_rejected_bad_price"] == 1
 
 

@@ -11,6 +11,7 @@ from dinerlake.functions import cleansing as cl
 from dinerlake.operators import dedupe, lines, quality
 from dinerlake.operators.calendar import upsert_dates
 from dinerlake.plans import marts, metrics, reports, silver, views
+from dinerlake.schemas import RAW_ITEMS
 from dinerlake.sources import files
 from dinerlake.sources import jdbc
 from dinerlake.sources import sample_tables as st
@@ -161,6 +162,26 @@ def seed_rejected_items(w):
     return quality.rejected(silver.judged_items(w.raw_items()))
 
 
+@query
+def seed_rejected_options(w):
+    return silver.rejected_options(w.raw_options())
+
+
+@query
+def seed_rejected_dates(w):
+    return quality.rejected(silver.judged_dates(w.raw_dates())).select(
+        "date_key_str", "year", "month", "week", "reason")
+
+
+@query
+def csv_round_trip(w):
+    """The raw lines written as CSV with their columns in another order, and read by name."""
+    path, raw = f"{w.root}/csv_items", w.raw_items()
+    raw.select(*sorted(raw.columns, reverse=True)).write.mode("overwrite").options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return files.read_csv(w.spark, path, RAW_ITEMS)
+
+
 @query
 def seed_clean_dates(w):
     return silver.clean_dates(w.raw_dates())
@@ -285,14 +306,13 @@ def cap_names(w):
 
 @query
 def write_read_dynamic_overwrite(w):
-    """Write the mart by year, then replace every year with itself once more."""
+    """Write the mart by year, then replace the newest year alone by changed rows."""
     path = f"{w.root}/dynamic_overwrite"
-    mart = marts.daily_sales_by_store(w.enriched())
-    yearly = mart.withColumn("order_year", F.year("order_date"))
+    yearly = w.g1().withColumn("order_year", F.year("order_date"))
     files.overwrite_partitions(yearly, path, "order_year")
-    files.overwrite_partitions(
-        w.g1().withColumn("order_year", F.year("order_date")), path, "order_year"
-    )
+    changed = yearly.filter(F.col("order_year") == w.snapshot().year).withColumn(
+        "orders_count", F.col("orders_count") + 1)
+    files.overwrite_partitions(changed, path, "order_year")
     return files.read_table(w.spark, path).drop("order_year")
 
 
@@ -315,6 +335,56 @@ def run_day_twice(w):
     return lake.read("gold_daily_sales_by_store")
 
 
+def _rerun(w, name, again_items=None, again_options=None):
+    """The newest day run with everything, then again with a changed source."""
+    lake = Lakehouse(w.spark, f"{w.root}/{name}")
+    lines_, options_ = _source_items(w), _source_options(w)
+    daily.run_day(lake, lines_, options_, w.snapshot(), snapshot=False)
+    daily.run_day(
+        lake, lines_ if again_items is None else again_items,
+        options_ if again_options is None else again_options, w.snapshot(), snapshot=False)
+    return lake.read("gold_daily_sales_by_store")
+
+
+@query
+def rerun_removed_rows(w):
+    even = F.col("order_id").cast("bigint") % 2 == 0
+    return _rerun(w, "rerun_rows", again_items=_source_items(w).filter(even))
+
+
+@query
+def rerun_removed_options(w):
+    kept = _source_options(w).filter("option_name <> 'promo'")
+    return _rerun(w, "rerun_options", again_options=kept)
+
+
+def _with_moved_lines(w, name):
+    """Two days; on the second a third of the first day's orders come again with its date."""
+    lake, last = Lakehouse(w.spark, f"{w.root}/{name}"), w.snapshot()
+    first = last - daily.dt.timedelta(days=1)
+    lines_, options_ = _source_items(w), _source_options(w)
+    daily.run_day(lake, lines_, options_, first, snapshot=False)
+    moved = silver.items_of_days(lines_, first, first).filter(
+        F.col("order_id").cast("bigint") % 3 == 0
+    ).withColumn("creation_time_utc", F.col("creation_time_utc") + F.expr("interval 1 day"))
+    both = silver.items_of_days(lines_, last, last).unionByName(moved)
+    daily.run_day(lake, both, options_, last, snapshot=False)
+    return lake
+
+
+@query
+def moved_line_counts_once(w):
+    return _with_moved_lines(w, "moved").read("gold_daily_sales_by_store")
+
+
+@query
+def compact_keeps_marts(w):
+    lake = _with_moved_lines(w, "compacted")
+    daily.compact(lake)
+    daily.full_refresh(lake)
+    return lake.read("gold_daily_sales_by_store")
+
+
 # --- views ------------------------------------------------------------------
 
 @query
@@ -456,6 +526,15 @@ def daily_sales_matrix(w):
     return metrics.store_day_matrix(trends, "gross_sales_total")
 
 
+@query
+def daily_sales_matrix_selection(w):
+    """Two stores, the 29 days before the newest."""
+    day = daily.dt.timedelta(days=1)
+    return metrics.store_day_matrix(
+        views.sales_trends_daily(w.g1()), "gross_sales_total", ["1", "7"],
+        w.snapshot() - 29 * day, w.snapshot() - day)
+
+
 @query
 def daily_orders_matrix(w):
     trends = views.sales_trends_daily(w.g1())
