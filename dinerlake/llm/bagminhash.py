@@ -12,8 +12,8 @@ similarity.  Only points before the time at which all components are filled are
 Search.  Signatures are cut into bands; texts that share a band are candidates.  In every band bucket all
 members are checked exactly against one centre.  What the centre leaves undecided is checked too: members
 of different components that share a bucket, unless the triangle inequality of the distance 1 - J through
-the centre, or the elements that a bag shares with no other, rule the pair out; some rounds of chance
-meetings in a bucket join most components first.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
+the centre, or the elements that a bag shares with no other, rule the pair out; chance meetings in a
+bucket join components before that.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from dinerlake.llm.words import U, chunks, mixed, split
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 4
 COMPONENTS = BANDS * ROWS
-# Rounds of chance meetings before the pairs that are left are listed, and the size of a meeting.
-ROUNDS, PART = 3, 32
+# Chance meetings before the pairs that are left are listed, and the size of a meeting.
+ROUNDS, PART = 1, 32
 DOC_BITS = 12
 SHINGLE_MASK = U((1 << (64 - DOC_BITS)) - 1)
 ODD = U(0x9E3779B97F4A7C15)
