@@ -1,19 +1,23 @@
 """Licence scanning: TF-IDF cosine to templates, then inheritance along directories.
 
-Passages that may state a licence (lines with a licence word, comment blocks around them, whole licence
-files) become sparse term vectors, weighted by the inverse frequency of a term among all passages, and are
-compared with the templates.  A file without a licence of its own takes that of the nearest directory
+Passages that may state a licence (lines with a licence word, the lines and paragraphs around them, comment
+blocks, whole licence files) become sparse term vectors, weighted by the inverse frequency of a term among
+all passages, and are compared with the templates; whole licence files also with the full texts in
+``licence_texts``.  A file without a licence of its own takes that of the nearest directory
 above it that holds a licence file.  DataFrame operations only.
 """
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dinerlake.llm.common import numbered, written
 
 LEAST = 0.5
+LEAST_TEXT = 0.85  # of a full text: licences share much of their wording
 CUE = r"(?i)licen[cs]|copyright|spdx|copyleft|public domain|permission is hereby|redistribution and use"
 COMMENT = r"^\s*(?:#|//|/?\*|--|;|%)"
 LICENCE_FILE = r"(?i)(?:^|/)(?:un)?(?:licen[cs]e|copying|notice)[^/]*$"
@@ -35,18 +39,55 @@ TEMPLATES = (
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
      "General Public License as published by the Free Software Foundation, either version 3"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation; either version 2"),
+    ("GPL-1.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation; either version 1"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-1.0", "GNU General Public License Version 1, February 1989"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation, either version 3"),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation; either version 2.1"),
+    ("LGPL-2.0", "GNU Library General Public License Version 2, June 1991"),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "Library General Public License as published by the Free Software Foundation; either version 2"),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "Affero General Public License as published by the Free Software Foundation, either version 3"),
+    ("GFDL-1.3", "GNU Free Documentation License Version 1.3, 3 November 2008"),
+    ("GFDL-1.2", "GNU Free Documentation License Version 1.2, November 2002"),
+    ("Artistic-1.0-Perl", "Licensed under the Artistic License"),
+    ("MPL-1.1", "Mozilla Public License Version 1.1"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may "
+     "not use this file except in compliance with the License"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0 Creative Commons Attribution 4.0 International"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0 Creative Commons Attribution ShareAlike"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International Public License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal"),
     ("ISC", "Licensed under the ISC License"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """Licences and their full texts; a variant's file name has a suffix after the licence's name."""
+    found = resources.files("dinerlake.llm") / "licence_texts"
+    return [(f.name.removesuffix(".txt").removesuffix("-plain"), f.read_text("utf-8"))
+            for f in sorted(found.iterdir(), key=lambda f: f.name) if f.name.endswith(".txt")]
+
+
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
@@ -63,6 +104,11 @@ def passages(files: DataFrame) -> DataFrame:
     cue = F.col("line").rlike(CUE)
     single = lines.where(cue).select(
         "path", F.concat_ws(":", F.lit("line"), "rid", "pos").alias("passage"), F.col("line").alias("text"))
+    # A statement may run over several lines: the lines beside a cue, and its paragraph with the title above.
+    joined = (
+        around(cued, "near", r"\n", 1, 1).unionByName(around(cued, "paragraph", r"\n[ \t\r]*\n\s*", 0, 0))
+        .unionByName(around(cued, "titled", r"\n[ \t\r]*\n\s*", 1, 0))
+    )
     rank = F.row_number().over(Window.partitionBy("rid").orderBy("pos"))
     blocks = (
         lines.where(F.col("line").rlike(COMMENT)).withColumn("run", F.col("pos") - rank)
@@ -74,7 +120,18 @@ def passages(files: DataFrame) -> DataFrame:
     )
     whole = cued.where(F.col("path").rlike(LICENCE_FILE)).select(
         "path", F.concat_ws(":", F.lit("file"), "rid").alias("passage"), "text")
-    return single.unionByName(blocks).unionByName(whole)
+    return single.unionByName(joined).unionByName(blocks).unionByName(whole)
+
+
+def around(cued: DataFrame, kind: str, between: str, before: int, after: int) -> DataFrame:
+    """Pieces of a text that hold a cue, each joined with its neighbours; a text of one piece has none."""
+    at = F.posexplode(F.filter(F.sequence(F.lit(0), F.size("pieces") - 1),
+                               lambda i: F.col("pieces")[i].rlike(CUE))).alias("place", "at")
+    pieces = cued.select("path", "rid", F.split("text", between).alias("pieces")).where(F.size("pieces") > 1)
+    first = F.greatest(F.col("at") - before, F.lit(0))
+    return pieces.select("path", "rid", "pieces", at).select(
+        "path", F.concat_ws(":", F.lit(kind), "rid", "at").alias("passage"),
+        F.array_join(F.slice("pieces", first + 1, F.col("at") - first + 1 + after), " ").alias("text"))
 
 
 def weighted(counts: DataFrame, idf: DataFrame) -> DataFrame:
@@ -93,22 +150,27 @@ def own_licenses(files: DataFrame) -> DataFrame:
         "terms",
     )
     spark = files.sparkSession
+    known = [(*t, False) for t in TEMPLATES] + [(*t, True) for t in full_texts()]
     templates = spark.createDataFrame(
-        [(i, name, text) for i, (name, text) in enumerate(TEMPLATES)], "name int, license string, text string")
+        [(i, *t) for i, t in enumerate(known)], "name int, license string, text string, whole boolean")
     marks = templates.select("name", F.explode(terms(F.col("text"))).alias("term")).groupBy(
         "name", "term").agg(F.count("*").alias("n"))
-    total = found.agg(F.count("*")).first()[0] + len(TEMPLATES)
+    total = found.agg(F.count("*")).first()[0] + len(known)
     frequency = counts.select("term").unionByName(marks.select("term")).groupBy("term").agg(
         F.count("*").alias("df"))
     idf = written(
         frequency.select("term", (F.log(F.lit(1.0 + total) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
     left = weighted(counts.select("name", "term", "n"), idf)
-    right = weighted(marks, idf).select(F.col("name").alias("template"), "term", F.col("w").alias("v"))
-    # The templates are the fixed list above: a few hundred terms.
-    scores = left.join(F.broadcast(right), "term").groupBy("name", "template").agg(
+    right = weighted(marks, idf).join(templates.select("name", "whole"), "name").select(
+        F.col("name").alias("template"), "whole", "term", F.col("w").alias("v"))
+    # The templates are the fixed list above and the full texts: some ten thousand terms.  Full texts are
+    # compared with whole licence files only.
+    scores = left.withColumn("file", F.col("name").startswith("file:")).join(F.broadcast(right), "term").where(
+        F.col("file") | ~F.col("whole")).groupBy("name", "template").agg(
         F.sum(F.col("w") * F.col("v")).alias("score"))
-    best = scores.withColumn("score", F.round("score", 6)).where(F.col("score") >= LEAST).join(
-        F.broadcast(templates.select(F.col("name").alias("template"), "license")), "template")
+    best = scores.withColumn("score", F.round("score", 6)).join(
+        F.broadcast(templates.select(F.col("name").alias("template"), "license", "whole")), "template"
+    ).where(F.col("score") >= F.when(F.col("whole"), LEAST_TEXT).otherwise(LEAST))
     paths = counts.select("path", "name").distinct()
     return written(
         paths.join(best, "name").groupBy("path").agg(
