@@ -7,7 +7,9 @@ aside by counting, which loses none.
 The others go through the CGK embedding: a pointer walks over the words, and at each step outputs the
 word and moves on or stays by a random bit of (step, word).  Two sequences with few edits give
 outputs with few differing positions, so a few sampled positions, repeated ``REPEATS`` times, bring near
-pairs together (the bit-sampling LSH).  Every candidate is then checked by its exact edit distance.
+pairs together (the bit-sampling LSH).  The walks drift apart with the number of edits, so an item of more than
+``PART_WORDS`` words is looked for by parts: at most 20% edits in all leave some part with at most 20% of its
+own.  Every candidate is then checked by its exact edit distance to the whole item.
 
 Documents are never shuffled: the items are a query set, handed out in blocks of bounded size.
 """
@@ -28,6 +30,7 @@ from dinerlake.llm.words import ALNUM, U, Words, chunks, mixed, split
 
 MAX_EDITS = 0.2  # of an item's words
 REPEATS, SAMPLED = 24, 3
+PART_WORDS = 24  # longest piece that is embedded; recall at the limit falls with its length
 STEPS = 3  # steps of the walk per word
 BLOCK_ITEMS = 2_000
 CHUNK_BYTES = 2 << 20  # characters per walk; longer runs share the cost of its steps
@@ -109,13 +112,13 @@ def pairs(hashes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class SizeClass:
-    """Items of like size."""
+    """Parts of items, of like size."""
 
-    span: int  # words that hold a leaked stretch of any of them
-    least: int  # word pairs (words, for items of one word) that must be known
+    span: int  # words that hold a stretch near any of them
+    least: int  # word pairs (words, for parts of one word) that must be known
     single: bool
     known: Known
-    # per repeat: sampled steps, words shown at them, sorted keys, the item of each key
+    # per repeat: sampled steps, words shown at them, sorted keys, the part of each key
     tables: list[tuple] = field(default_factory=list)
 
 
@@ -137,28 +140,35 @@ class Items:
                 self.ids.append([])
             self.ids[place].append(item)
         self.own_pairs = [np.unique(pairs(w)) for w in self.words]
+        # (item, first word, words) of each part that is embedded
+        self.parts = [
+            (i, int(p[0]), words[p[0] : p[-1] + 1]) for i, words in enumerate(self.words)
+            for p in np.array_split(np.arange(len(words)), -(-len(words) // PART_WORDS))
+        ]
         self.classes = [self.size_class(group) for group in self.by_size()]
 
     def by_size(self) -> list[list[int]]:
         groups: list[list[int]] = []
-        for i in sorted(range(len(self.words)), key=lambda i: len(self.words[i])):
-            if groups and len(self.words[i]) <= CLASS_RATIO * len(self.words[groups[-1][0]]):
+        sizes = [len(words) for _, _, words in self.parts]
+        for i in sorted(range(len(sizes)), key=lambda i: sizes[i]):
+            if groups and sizes[i] <= CLASS_RATIO * sizes[groups[-1][0]]:
                 groups[-1].append(i)
             else:
                 groups.append([i])
         return groups
 
     def size_class(self, group: list[int]) -> SizeClass:
-        sizes = np.array([len(self.words[i]) for i in group])
+        parts = [self.parts[i][2] for i in group]
+        sizes = np.array([len(p) for p in parts])
         shortest, longest = int(sizes.min()), int(sizes.max())
         single = shortest == 1
         least = 1 if single else min(int(n) - 1 - 2 * limit(int(n)) for n in sizes)
-        known = Known(np.concatenate([(self.words if single else self.own_pairs)[i] for i in group]))
+        known = Known(np.concatenate(parts if single else [pairs(p) for p in parts]))
         made = SizeClass(longest + limit(longest), least, single, known)
-        words = np.concatenate([*(self.words[i] for i in group), np.zeros(1, dtype=U)])
+        words = np.concatenate([*parts, np.zeros(1, dtype=U)])
         stop = np.cumsum(sizes)
         for repeat in range(REPEATS):
-            # Sampling stays where the walk is still inside the shortest item.
+            # Sampling stays where the walk is still inside the shortest part.
             steps = sampled_steps(max(1, int(0.6 * shortest)), repeat)
             key, _, outputs = embed(words, stop - sizes, stop, steps, repeat)
             order = np.argsort(key, kind="stable")
@@ -190,7 +200,7 @@ def nearest(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
 
 
 def candidates(words: Words, items: Items) -> dict[tuple[int, int], list[int]]:
-    """Window starts per (text, item) that the LSH brings together."""
+    """Where items would start, per (text, item) that the LSH brings together."""
     hashes = words.hashes
     if not items.words or not len(hashes):
         return {}
@@ -213,8 +223,9 @@ def candidates(words: Words, items: Items) -> dict[tuple[int, int], list[int]]:
             for at in np.flatnonzero(last > first):
                 start = int(starts[which[at]])
                 text = int(np.searchsorted(words.first, start, "right")) - 1
-                for owner in owners[first[at] : last[at]]:
-                    found.setdefault((text, int(owner)), set()).add(start)
+                for part in owners[first[at] : last[at]]:
+                    owner, offset, _ = items.parts[part]
+                    found.setdefault((text, owner), set()).add(start - offset)
     return {pair: sorted(at) for pair, at in found.items()}
 
 
@@ -227,10 +238,11 @@ def leaks(texts: list[str | None], items: Items) -> list[list[tuple[int, int, in
         n, most = len(item), limit(len(item))
         best, checked = None, -1
         for start in starts:
-            if start + n + most <= checked:
+            # The part may be out of its place by the edits before it, and the window by those in it.
+            if start + n + 2 * most <= checked:
                 continue  # the stretch checked last holds every match of this window
-            low, high = max(own.start, start - most), min(own.stop, start + 2 * n + most)
-            checked = high
+            checked = start + 2 * n + 2 * most
+            low, high = max(own.start, start - 2 * most), min(own.stop, checked)
             stretch = words.hashes[low:high]
             if n > 1 and np.isin(items.own_pairs[owner], pairs(stretch)).sum() < (
                 len(items.own_pairs[owner]) - 2 * most

@@ -75,3 +75,22 @@ def test_passage_in_a_very_long_text():
     item = " ".join(f"q{i}" for i in range(30))
     text = " ".join(f"w{i % 977}" for i in range(150_000)) + " " + item + " " + "tail " * 50_000
     assert D.leaks([text], D.Items([7], [item])) == [[(7, 150_000, 30, 0)]]
+
+
+def test_recall_at_the_limit_by_length():
+    rng = random.Random(11)
+    pool = [f"w{i}x" for i in range(3_000)]
+    for n, trials in ((5, 60), (15, 60), (30, 60), (59, 60), (120, 40), (250, 30), (500, 15)):
+        items = [[rng.choice(pool) for _ in range(n)] for _ in range(trials)]
+        known = D.Items(list(range(trials)), [" ".join(i) for i in items])
+        for ops in ("sid", "s", "i", "d"):
+            texts = []
+            for item in items:
+                words = list(item)
+                for _ in range(D.limit(n)):
+                    at, op = rng.randrange(len(words)), rng.choice(ops)
+                    words[at : at + (op != "i")] = [rng.choice(pool)] if op != "d" else []
+                around = [" ".join(rng.choice(pool) for _ in range(40)) for _ in range(2)]
+                texts.append(f"{around[0]} {' '.join(words)} {around[1]}")
+            found = sum(i in {g[0] for g in got} for i, got in enumerate(D.leaks(texts, known)))
+            assert found >= 0.97 * trials - 1, (n, ops, found, trials)
