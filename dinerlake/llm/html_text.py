@@ -27,9 +27,12 @@ TOKEN = re.compile(
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN_ATTRIBUTE = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 
-# Fixed values of HTML: elements whose content is no text, void elements, those inside a line of text.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp", "noembed"}
-UNREAD = {"head", "select", "button", "svg", "math", "object", "audio", "video", "canvas", "datalist"}
+# Fixed values of HTML: elements that hold anything up to their end tag, elements whose content is no text,
+# void elements, those inside a line of text.
+RAW = {"script", "style", "textarea", "title", "iframe", "xmp", "noembed"}
+UNREAD = {
+    "select", "button", "svg", "math", "object", "audio", "video", "canvas", "datalist", "noscript", "template",
+}
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
     "track", "wbr",
@@ -42,6 +45,12 @@ INLINE = {
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 FURNITURE = {"nav", "footer", "aside", "form", "header", "menu", "dialog", "fieldset"}
 MAIN = {"article", "main"}
+# What ends an unread element that is never closed.
+BLOCK = HEADINGS | FURNITURE | MAIN | {
+    "html", "body", "p", "div", "section", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "thead", "tbody",
+    "tfoot", "tr", "td", "th", "pre", "blockquote", "figure", "figcaption", "address", "hr", "center", "details",
+    "summary", "hgroup",
+}
 # Names of page furniture in class, id and role.
 FURNITURE_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|adbox|banner|sponsor(?:ed|s)?|promo(?:tion|s)?"
@@ -82,6 +91,37 @@ LABELLED = (
 )
 
 
+@dataclass
+class Tag:
+    start: int
+    end: int  # of a raw element: of its end tag
+    name: str  # empty for comments and the like
+    closing: bool
+    attributes: str
+    partner: int = -1  # of a start tag: the place of its end tag
+
+
+def tags(source: str) -> list[Tag]:
+    """The tags of a page in order.  Only raw elements are skipped up to the end of the page if not closed."""
+    found: list[Tag] = []
+    opened: dict[str, list[int]] = {}
+    at = 0
+    while (match := TOKEN.search(source, at)) is not None:
+        at = match.end()
+        name = (match[2] or match[5] or "").lower()
+        tag = Tag(match.start(), at, name, bool(match[1] or match[4]), match[3] or match[6] or "")
+        if tag.closing:
+            if opened.get(name):
+                found[opened[name].pop()].partner = len(found)
+        elif name in RAW:
+            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+            tag.end = at = end.end() if end else len(source)
+        elif name not in ("svg", "math") or not tag.attributes.endswith("/"):
+            opened.setdefault(name, []).append(len(found))
+        found.append(tag)
+    return found
+
+
 @dataclass
 class Block:
     text: str
@@ -125,24 +165,28 @@ class Page:
             self.linked.append(piece)
 
     def read(self, source: str) -> None:
-        at = 0
-        while (match := TOKEN.search(source, at)) is not None:
-            if match.start() > at:
-                self.text(source[at : match.start()])
-            at = match.end()
-            name = (match[2] or match[5] or "").lower()
-            if not name:
-                continue
-            if match[1] or match[4]:
-                self.close(name)
-            elif name in RAW or name in UNREAD:
-                if name not in INLINE:
-                    self.text(" ")
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                at = end.end() if end else len(source)
-            else:
-                self.start(name, match[3] or match[6] or "")
-        if at < len(source):
+        found = tags(source)
+        at = i = 0
+        unread = False  # within an unread element that is never closed
+        while i < len(found):
+            tag = found[i]
+            if tag.start > at and not unread:
+                self.text(source[at : tag.start])
+            at = tag.end
+            unread = unread and tag.name not in BLOCK
+            if tag.closing:
+                self.close(tag.name)
+            elif tag.name in RAW or tag.name in UNREAD:
+                self.text(" ")
+                if tag.partner > i:
+                    i = tag.partner
+                    at = found[i].end
+                elif tag.name in UNREAD and not (tag.name in ("svg", "math") and tag.attributes.endswith("/")):
+                    unread = True
+            elif tag.name:
+                self.start(tag.name, tag.attributes)
+            i += 1
+        if at < len(source) and not unread:
             self.text(source[at:])
 
     def start(self, name: str, attributes: str) -> None:

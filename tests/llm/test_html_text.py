@@ -35,6 +35,20 @@ def test_hidden_notices_and_main(spark):
     assert extract(page) == "Body text"
 
 
+def test_only_raw_elements_swallow_the_rest():
+    body = "<article><p>One two three</p><p>Four five</p></article>"
+    want = "One two three\nFour five"
+    assert extract("<html><head><meta charset=utf-8><title>No</title><style>p{}</style><body>" + body) == want
+    assert extract("<head><title>No</title><link href=x>" + body) == want
+    for mark in ("<svg width=1 />", "<math/>", "<svg/><svg><text>no</text></svg>", "<button>Go", "<select><option>a<option>b",
+                 "<object data=x>", "<canvas>", "<button>Go</button>", "<video><p>no video</p></video>", "<noscript><p>no</p></noscript>",
+                 "<svg><path d=x><g>", "<template>"):
+        page = f"<article><p>One two three</p>{mark}<p>Four five</p></article>"
+        assert extract(page) == want, mark
+        assert extract(page + "<div class=ad><button>x</button><svg><text>y</text></svg></div>") == want, mark
+    assert extract("<article><p>One two three</p><script>never closed<p>Four five</p></article>") == "One two three"
+
+
 def test_column_with_nulls_long_and_repeated_pages(spark):
     long = "<article>" + "<p>some words in a row</p>" * 20_000 + "</article>"
     rows = [(1, None), (1, ""), (2, "   "), (3, ARTICLE), (3, ARTICLE), (None, long)]
