@@ -51,15 +51,24 @@ BLOCK = HEADINGS | FURNITURE | MAIN | {
     "tfoot", "tr", "td", "th", "pre", "blockquote", "figure", "figcaption", "address", "hr", "center", "details",
     "summary", "hgroup",
 }
-# Names of page furniture in class, id and role.
-FURNITURE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|adbox|banner|sponsor(?:ed|s)?|promo(?:tion|s)?"
-    r"|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|header|masthead|footer|foot|sidebar|sidenav"
-    r"|aside|widgets?|related|recommended|share|sharing|social|comments?|commentlist|replies|reply|respond"
-    r"|disqus|cookies?|consent|gdpr|notice|notices|alert|newsletter|subscribe|signup|popup|modal|overlay"
-    r"|login|search|searchform|toolbar|copyright|legal|disclaimer|contentinfo|complementary)(?:$|[\s_-])",
-    re.I,
+# Words for page furniture in class, id and role.  A name counts if it consists of such words and FILLER only:
+# "sidebar-right" does, "has-sidebar" and "content-sidebar-wrap" do not.
+FURNITURE_WORDS = set(
+    "ad ads advert adverts advertisement advertising adsense adbox banner sponsor sponsored sponsors promo promotion"
+    " promotions nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead footer foot sidebar"
+    " sidenav aside widget widgets related recommended share sharing social comment comments commentlist replies reply"
+    " respond disqus cookie cookies consent gdpr notice notices alert newsletter subscribe signup popup modal overlay"
+    " login search searchform toolbar copyright legal disclaimer contentinfo complementary".split()
 )
+FILLER = set(
+    "site main global top bottom left right primary secondary first last inner outer wrapper wrap container"
+    " box block area section group panel bar row col column list item items link links button buttons icon icons form"
+    " field message text body title slot unit leaderboard google media this the id next prev previous post posts entry"
+    " article articles stories page".split()
+)
+TOPS = {"header", "masthead", "title"}  # of a page: furniture; of a text: its heading
+OF_TEXT = {"post", "posts", "entry", "article", "articles", "page", "section"}
+
 
 FEATURES = (
     "words", "links", "words_before", "links_before", "words_after", "links_after", "place", "heading",
@@ -131,6 +140,39 @@ class Block:
     heading: bool
 
 
+def furniture_name(named: str, within: bool) -> bool:
+    """Whether a class, id or role names page furniture; ``within``: inside an article."""
+    for name in named.lower().split():
+        parts = {x for x in re.split(r"[-_]+", name) if x and not x.isdigit()}
+        heading = parts & TOPS and (within or parts & OF_TEXT) and not parts & FURNITURE_WORDS - TOPS
+        if parts & FURNITURE_WORDS and parts <= FURNITURE_WORDS | FILLER and not heading:
+            return True
+    return False
+
+
+def unlinked(source: str, found: list[Tag]) -> list[int]:
+    """Running count of the words outside links, within articles if the page has any such; entry i counts
+    those before tag i."""
+    every, inside = [0], [0]
+    at = depth = skip = 0
+    linked = False
+    for i, tag in enumerate(found):
+        n = 0 if linked or i < skip else len(source[at : tag.start].split())
+        every.append(every[-1] + n)
+        inside.append(inside[-1] + (n if depth else 0))
+        at = tag.end
+        if tag.name == "a":
+            linked = not tag.closing
+        elif tag.name in UNREAD and tag.partner > i:
+            skip = max(skip, tag.partner + 1)
+        elif tag.name in MAIN:
+            depth = max(0, depth + (-1 if tag.closing else 1))
+    n = 0 if linked else len(source[at:].split())
+    every.append(every[-1] + n)
+    inside.append(inside[-1] + (n if depth else 0))
+    return (inside if inside[-1] else every)[1:]
+
+
 def squeeze(text: str) -> str:
     return " ".join(text.split())
 
@@ -166,6 +208,7 @@ class Page:
 
     def read(self, source: str) -> None:
         found = tags(source)
+        counts: list[int] = []
         at = i = 0
         unread = False  # within an unread element that is never closed
         while i < len(found):
@@ -184,12 +227,21 @@ class Page:
                 elif tag.name in UNREAD and not (tag.name in ("svg", "math") and tag.attributes.endswith("/")):
                     unread = True
             elif tag.name:
-                self.start(tag.name, tag.attributes)
+                named = ""
+                if tag.name not in INLINE and tag.name not in ("body", "html"):
+                    named = " ".join("".join(x) for x in NAMED.findall(tag.attributes))
+                if named and furniture_name(named, any(side == 1 for _, side in self.open)):
+                    # What holds most of the text is no furniture, whatever its name.
+                    counts = counts or unlinked(source, found)
+                    own = counts[tag.partner] - counts[i] if tag.partner > i else counts[-1] - counts[i]
+                    self.start(tag.name, tag.attributes, 2 * own < max(1, counts[-1]))
+                else:
+                    self.start(tag.name, tag.attributes)
             i += 1
         if at < len(source) and not unread:
             self.text(source[at:])
 
-    def start(self, name: str, attributes: str) -> None:
+    def start(self, name: str, attributes: str, named: bool = False) -> None:
         if name == "a":
             self.in_link = True
         if name == "br":
@@ -202,11 +254,8 @@ class Page:
             self.heading = True
         if name in VOID or attributes.endswith("/") and name not in MAIN | FURNITURE:
             return
-        named = " ".join("".join(found) for found in NAMED.findall(attributes))
         within = any(side == 1 for _, side in self.open)
-        if (named and name not in ("body", "html") and FURNITURE_NAME.search(named)) or (
-            HIDDEN_ATTRIBUTE.search(attributes)
-        ):
+        if named or HIDDEN_ATTRIBUTE.search(attributes):
             side = -1
         elif name in MAIN:
             side = 1

@@ -35,6 +35,29 @@ def test_hidden_notices_and_main(spark):
     assert extract(page) == "Body text"
 
 
+def test_layout_names_keep_the_article():
+    story = "<h1>A head line</h1><p>" + "word " * 40 + "end</p>"
+    want = "A head line\n" + "word " * 40 + "end"
+    for name in ("content-sidebar-wrap", "has-sidebar", "no-sidebar", "layout-two-col sidebar-right", "sidebar-right",
+                 "post comments-open", "page-header", "legal-news", "header"):
+        assert extract(f"<body><div class='{name}'><main>{story}</main></div>") == want, name
+        assert extract(f"<body><div id='{name}'><div><article>{story}</article></div></div>") == want, name
+        assert extract(f"<body><article class='{name}'>{story}</article>") == want, name
+        assert extract(f"<body><main><div class='{name}'>{story}</div></main>") == want, name
+    head = "<article><div class='entry-header'><h1>A head line</h1></div><p>" + "word " * 40 + "end</p></article>"
+    assert extract(head) == extract(head.replace("entry-header", "header")) == want
+
+
+def test_furniture_names_still_drop():
+    story = "<p>" + "word " * 80 + "end</p>"
+    for name in ("ad", "ad-slot", "sidebar-right", "site-footer", "widget-area", "comment-list", "share-buttons", "related-posts",
+                 "newsletter-signup", "cookie-notice", "post-comments", "nav-links", "comments"):
+        drop = f"<div class='{name}'><p>Some words that do not belong to the story at all</p></div>"
+        assert extract(f"<body>{drop}<article>{story}{drop}</article>{drop}") == "word " * 80 + "end", name
+    reply = "<article class='comment-body'><p>I like it a lot</p></article>"
+    assert extract(f"<main>{story}<div id=comments>{reply}{reply}</div></main>") == "word " * 80 + "end"
+
+
 def test_only_raw_elements_swallow_the_rest():
     body = "<article><p>One two three</p><p>Four five</p></article>"
     want = "One two three\nFour five"
