@@ -87,6 +87,27 @@ LABELLED = (
     (1, 0, 30, 0, 20, 0, 1, 0, 1), (2, 0, 1, 100, 0, 0, 1, 0, 1), (35, 40, 60, 0, 50, 0, 1, 0, 1),
     (15, 0, 25, 0, 12, 100, 1, 0, 1), (200, 8, 0, 0, 0, 0, 1, 0, 1), (6, 0, 5, 0, 9, 0, 1, 0, 1),
     (20, 60, 80, 0, 60, 0, 1, 0, 1), (3, 100, 60, 0, 50, 0, 1, 0, 1), (1, 100, 90, 0, 90, 0, 1, 0, 1),
+    (4, 100, 35, 0, 80, 0, 1, 0, 1), (6, 100, 45, 5, 40, 0, 1, 0, 1), (8, 90, 20, 0, 70, 0, 1, 0, 1),
+    (2, 100, 12, 0, 9, 0, 1, 0, 1), (5, 100, 8, 0, 30, 0, 1, 1, 1), (30, 0, 3, 100, 0, 0, 1, 0, 1),
+    (40, 0, 2, 100, 2, 100, 1, 0, 1), (3, 0, 4, 100, 5, 100, 1, 0, 1), (5, 0, 5, 100, 6, 100, 1, 1, 1),
+    (4, 100, 0, 0, 60, 0, 1, 0, 1), (6, 100, 0, 0, 0, 0, 1, 0, 1), (5, 20, 4, 100, 30, 0, 1, 0, 1),
+    (8, 0, 3, 100, 0, 0, 1, 0, 1), (15, 0, 5, 100, 2, 0, 1, 0, 1), (5, 0, 2, 100, 3, 0, 1, 0, 1),
+    (12, 0, 4, 100, 0, 0, 1, 0, 1), (3, 0, 6, 100, 0, 0, 1, 0, 1), (4, 100, 60, 0, 0, 0, 1, 0, 1),
+    (3, 100, 9, 0, 0, 0, 1, 0, 1), (7, 100, 30, 0, 2, 0, 1, 0, 1), (80, 8, 60, 0, 3, 100, 1, 0, 1),
+    (90, 4, 70, 0, 2, 100, 1, 0, 1), (40, 12, 50, 0, 4, 100, 1, 0, 1), (25, 30, 60, 0, 5, 100, 1, 0, 1),
+    (3, 0, 40, 0, 4, 100, 1, 0, 1), (1, 0, 20, 0, 3, 100, 1, 0, 1), (2, 0, 60, 0, 5, 100, 1, 0, 1),
+    (6, 0, 30, 0, 2, 100, 1, 0, 1), (4, 0, 0, 0, 3, 100, 1, 0, 1), (2, 0, 5, 100, 6, 100, 1, 0, 1),
+    (5, 0, 1, 0, 4, 100, 1, 0, 1), (1, 0, 0, 0, 1, 0, 1, 0, 1), (2, 0, 1, 0, 3, 0, 1, 0, 1),
+    (3, 0, 2, 0, 0, 0, 1, 0, 1), (1, 0, 1, 100, 1, 0, 1, 0, 1), (4, 0, 3, 0, 2, 0, 1, 0, 1),
+    (7, 0, 4, 100, 1, 0, 1, 0, 1), (2, 0, 2, 100, 3, 100, 1, 0, 1), (5, 0, 0, 0, 0, 0, 1, 0, 1),
+    (1, 0, 0, 0, 0, 0, 1, 0, 1), (6, 0, 3, 0, 2, 100, 1, 0, 1), (3, 0, 1, 0, 1, 0, 1, 0, 1),
+    # lists of links inside an article
+    (5, 100, 6, 100, 7, 100, 1, 0, 0), (2, 100, 2, 100, 1, 100, 1, 0, 0), (8, 100, 9, 100, 8, 100, 1, 0, 0),
+    (1, 100, 1, 100, 1, 100, 1, 0, 0), (12, 95, 10, 100, 11, 100, 1, 0, 0), (6, 100, 5, 100, 4, 100, 1, 0, 0),
+    (4, 100, 5, 100, 0, 0, 1, 0, 0), (7, 100, 8, 100, 0, 0, 1, 0, 0), (2, 100, 1, 100, 0, 0, 1, 0, 0),
+    (5, 100, 4, 100, 40, 0, 1, 0, 0), (3, 100, 3, 100, 60, 0, 1, 0, 0), (9, 90, 7, 100, 25, 0, 1, 0, 0),
+    (6, 100, 50, 0, 5, 100, 1, 0, 0), (3, 100, 70, 0, 4, 100, 1, 0, 0), (8, 100, 2, 0, 9, 100, 1, 0, 0),
+    (4, 100, 0, 0, 5, 100, 1, 0, 0), (10, 85, 30, 0, 12, 90, 1, 0, 0), (2, 100, 4, 0, 3, 100, 1, 0, 0),
     # in neither
     (90, 0, 8, 0, 60, 0, 0, 0, 1), (45, 3, 90, 0, 70, 0, 0, 0, 1), (22, 0, 60, 0, 40, 0, 0, 0, 1),
     (18, 0, 40, 5, 30, 0, 0, 0, 1), (150, 6, 2, 100, 3, 100, 0, 0, 1), (9, 0, 70, 0, 60, 0, 0, 0, 1),
@@ -95,8 +116,48 @@ LABELLED = (
     (1, 100, 1, 100, 1, 100, 0, 0, 0), (3, 100, 2, 100, 4, 100, 0, 0, 0), (6, 90, 40, 0, 5, 100, 0, 0, 0),
     (2, 0, 1, 100, 1, 100, 0, 0, 0), (4, 0, 2, 100, 3, 100, 0, 0, 0), (25, 80, 10, 90, 20, 85, 0, 0, 0),
     (6, 0, 3, 100, 2, 0, 0, 0, 0), (3, 0, 90, 0, 1, 100, 0, 0, 0), (8, 0, 2, 100, 0, 0, 0, 0, 0),
-    (2, 0, 3, 100, 90, 0, 0, 0, 0), (4, 0, 0, 0, 120, 0, 0, 0, 0), (3, 0, 60, 0, 45, 0, 0, 0, 0),
+    (2, 0, 3, 100, 90, 0, 0, 0, 0), (4, 0, 0, 0, 120, 0, 0, 0, 0), (3, 0, 60, 0, 45, 0, 0, 0, 1),
     (40, 70, 60, 60, 30, 75, 0, 0, 0), (3, 0, 2, 0, 1, 100, 0, 1, 0),
+    # in neither, at the end or alone
+    (300, 0, 0, 0, 0, 0, 0, 0, 1), (60, 3, 0, 0, 0, 0, 0, 0, 1), (20, 0, 0, 0, 0, 0, 0, 0, 1),
+    (8, 0, 0, 0, 0, 0, 0, 0, 1), (120, 0, 80, 0, 0, 0, 0, 0, 1), (45, 5, 60, 0, 0, 0, 0, 0, 1),
+    (25, 0, 40, 0, 0, 0, 0, 0, 1), (14, 0, 70, 0, 0, 0, 0, 0, 1), (9, 0, 30, 0, 0, 0, 0, 0, 1),
+    (80, 0, 5, 0, 0, 0, 0, 0, 1), (150, 2, 2, 100, 0, 0, 0, 0, 1), (35, 0, 3, 100, 0, 0, 0, 0, 1),
+    (6, 0, 50, 0, 0, 0, 0, 0, 1), (3, 0, 60, 0, 0, 0, 0, 0, 1), (4, 0, 25, 0, 0, 0, 0, 0, 1),
+    (4, 0, 0, 0, 0, 0, 0, 0, 1), (5, 0, 8, 0, 0, 0, 0, 0, 1),
+    # in neither, short ones among text
+    (4, 0, 60, 0, 70, 0, 0, 0, 1), (2, 0, 45, 0, 30, 0, 0, 0, 1), (1, 0, 30, 0, 50, 0, 0, 0, 1),
+    (5, 0, 20, 0, 20, 0, 0, 0, 1), (3, 0, 25, 5, 90, 0, 0, 0, 1), (6, 0, 35, 0, 12, 0, 0, 0, 1),
+    (5, 0, 30, 0, 4, 0, 0, 0, 1), (4, 0, 5, 0, 4, 0, 0, 0, 1), (3, 0, 4, 0, 5, 0, 0, 0, 1),
+    (6, 0, 7, 0, 6, 0, 0, 0, 1), (4, 0, 6, 0, 50, 0, 0, 0, 1), (2, 0, 3, 0, 4, 0, 0, 0, 1),
+    (5, 0, 6, 0, 40, 0, 0, 0, 1), (3, 0, 60, 0, 5, 0, 0, 0, 1), (4, 0, 40, 0, 60, 0, 0, 1, 1),
+    (2, 0, 80, 0, 70, 0, 0, 1, 1), (3, 0, 20, 0, 35, 0, 0, 1, 1), (6, 0, 0, 0, 80, 0, 0, 1, 1),
+    (3, 0, 2, 100, 60, 0, 0, 1, 1), (4, 0, 1, 100, 90, 0, 0, 1, 1), (2, 0, 3, 100, 40, 0, 0, 1, 1),
+    (5, 0, 4, 100, 20, 0, 0, 1, 1), (3, 0, 0, 0, 60, 0, 0, 1, 1), (8, 0, 3, 100, 6, 0, 0, 0, 1),
+    (9, 0, 2, 100, 40, 0, 0, 0, 1), (12, 0, 3, 100, 25, 0, 0, 0, 1),
+    (9, 0, 70, 0, 1, 100, 0, 0, 1), (12, 0, 50, 0, 2, 100, 0, 0, 1), (10, 0, 30, 0, 3, 100, 0, 0, 1),
+    (11, 0, 5, 0, 2, 100, 0, 0, 1), (60, 10, 40, 0, 5, 100, 0, 0, 1), (35, 25, 60, 0, 3, 100, 0, 0, 1),
+    (25, 15, 3, 100, 2, 100, 0, 0, 1),
+    (1, 0, 0, 0, 0, 0, 0, 0, 1), (2, 0, 0, 0, 0, 0, 0, 0, 1), (6, 0, 0, 0, 0, 0, 0, 0, 1),
+    (2, 0, 3, 0, 2, 0, 0, 0, 1), (1, 0, 2, 0, 1, 0, 0, 0, 1), (3, 0, 1, 0, 2, 0, 0, 0, 1), (4, 0, 2, 0, 0, 0, 0, 0, 1),
+    (7, 0, 3, 0, 0, 0, 0, 0, 1), (3, 0, 0, 0, 30, 0, 0, 0, 1), (2, 0, 0, 0, 5, 0, 0, 0, 1),
+    (300, 0, 2, 100, 0, 0, 0, 0, 1), (60, 0, 3, 100, 0, 0, 0, 0, 1), (90, 3, 1, 100, 3, 0, 0, 0, 1),
+    (20, 0, 4, 100, 0, 0, 0, 0, 1), (40, 0, 5, 100, 2, 0, 0, 0, 1), (15, 0, 2, 100, 0, 0, 0, 0, 1),
+    (200, 1, 3, 100, 1, 0, 0, 0, 1), (25, 0, 6, 100, 4, 0, 0, 0, 1),
+    # in neither, linked among text, and lists of links
+    (5, 60, 60, 0, 70, 0, 0, 0, 1), (15, 50, 40, 0, 60, 0, 0, 0, 1), (25, 45, 70, 0, 50, 0, 0, 0, 1),
+    (2, 100, 3, 100, 0, 0, 0, 0, 0), (4, 100, 5, 100, 2, 100, 0, 0, 0), (5, 100, 50, 0, 4, 100, 0, 0, 0),
+    (7, 100, 6, 100, 60, 0, 0, 0, 0), (3, 100, 0, 0, 2, 100, 0, 0, 0), (1, 100, 60, 0, 0, 0, 0, 0, 0),
+    (4, 100, 80, 0, 0, 0, 0, 0, 0), (8, 100, 7, 100, 9, 100, 0, 0, 0), (2, 100, 2, 0, 3, 100, 0, 0, 0),
+    (6, 100, 8, 0, 5, 100, 0, 0, 0), (10, 80, 9, 90, 0, 0, 0, 0, 0),
+    (1, 100, 0, 0, 21, 0, 0, 0, 0), (2, 100, 0, 0, 60, 0, 0, 0, 0), (3, 100, 0, 0, 120, 0, 0, 0, 0),
+    (2, 100, 80, 0, 5, 0, 0, 0, 0), (4, 100, 60, 0, 70, 0, 0, 0, 0), (6, 100, 0, 0, 0, 0, 0, 0, 0),
+    (5, 100, 30, 0, 40, 0, 0, 0, 0), (3, 100, 12, 0, 90, 0, 0, 0, 0), (8, 85, 3, 0, 4, 0, 0, 0, 0),
+    # in neither, labels of lists of links and notes below them
+    (2, 0, 4, 100, 3, 100, 0, 0, 0), (1, 0, 60, 0, 2, 100, 0, 0, 0), (3, 0, 5, 100, 6, 100, 0, 1, 0),
+    (2, 0, 50, 0, 4, 100, 0, 1, 0), (4, 0, 30, 0, 5, 100, 0, 1, 0), (3, 0, 2, 100, 0, 0, 0, 0, 0),
+    (5, 0, 1, 100, 0, 0, 0, 0, 0), (6, 0, 3, 100, 0, 0, 0, 0, 0), (7, 0, 2, 100, 0, 0, 0, 0, 0),
+    (4, 0, 90, 0, 2, 100, 0, 0, 0), (5, 0, 4, 100, 2, 100, 0, 0, 0), (2, 0, 0, 0, 1, 100, 0, 0, 0),
 )
 
 
@@ -272,6 +333,7 @@ class Page:
     def close(self, name: str) -> None:
         if name == "a":
             self.in_link = False
+            self.linked.append(" ")  # links side by side are words of their own
         if name in INLINE:
             return
         self.flush()
@@ -293,6 +355,9 @@ def matrix(blocks: list[Block]) -> np.ndarray:
     ])
 
 
+LEAF = 3  # rows that a split leaves on each side at least
+
+
 @dataclass(frozen=True)
 class Node:
     label: int
@@ -308,7 +373,7 @@ def gini(labels: np.ndarray) -> float:
 
 
 def grow(rows: np.ndarray, labels: np.ndarray, depth: int) -> Node:
-    """The binary split with the least impurity, again on both sides."""
+    """The binary split with the least impurity that leaves ``LEAF`` rows on each side, again on both sides."""
     label = int(labels.mean() >= 0.5)
     if depth == 0 or gini(labels) == 0:
         return Node(label)
@@ -317,6 +382,8 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int) -> Node:
         values = np.unique(rows[:, feature])
         for cut in (values[:-1] + values[1:]) / 2:
             low = rows[:, feature] <= cut
+            if min(low.sum(), (~low).sum()) < LEAF:
+                continue
             found = min(found, (gini(labels[low]) + gini(labels[~low]), feature, cut),
                         key=lambda x: x[0])
     if found[1] < 0:
@@ -327,7 +394,7 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int) -> Node:
 
 
 @cache
-def tree(depth: int = 6) -> Node:
+def tree(depth: int = 8) -> Node:
     table = np.array(LABELLED, dtype=float)
     return grow(table[:, :-1], table[:, -1], depth)
 

@@ -1,3 +1,6 @@
+import numpy as np
+
+from dinerlake.llm import html_text
 from dinerlake.llm.html_text import extract, main_text
 
 ARTICLE = (
@@ -35,6 +38,43 @@ def test_hidden_notices_and_main(spark):
     assert extract(page) == "Body text"
 
 
+def test_text_at_the_end_and_short_blocks_without_an_article():
+    long, other = " ".join(["word"] * 300), " ".join(["text"] * 60)
+    nav = "<div><a href=1>Home page</a></div><div><a href=2>About us</a></div>"
+    assert extract(f"<body><p>{long}</p></body>") == long
+    assert extract(f"<body>{nav}<p>{long}</p></body>") == long
+    assert extract(f"<body>{nav}<h1>Head line here</h1><p>{other}</p><p>{long}</p>") == f"Head line here\n{other}\n{long}"
+    assert extract(f"<p>{other}</p><p>He left.</p><h2>A part</h2><p>{long}</p><p>That is all.</p>") == (
+        f"{other}\nHe left.\nA part\n{long}\nThat is all.")
+    assert extract(f"<p>{other}</p><ul><li>one thing<li>two things<li>three</ul><p>{other}</p>") == (
+        f"{other}\none thing\ntwo things\nthree\n{other}")
+    assert extract(f"{nav}<p>{long}</p>{nav}<div>All rights reserved</div>") == long
+    assert extract("<p>Just one short line of text</p>") == "Just one short line of text"
+
+
+def test_link_lists_inside_an_article_go():
+    text = " ".join(["word"] * 60)
+    links = "<ul>" + "".join(f"<li><a href={i}>Another story of interest</a></li>" for i in range(5)) + "</ul>"
+    for end in ("", f"<p>{text}</p>"):
+        got = extract(f"<article><h1>Title</h1><p>{text}</p><p>See <a href=x>this</a> too</p>{links}{end}</article>")
+        assert got == "\n".join(["Title", text, "See this too", *([text] if end else [])])
+    # a linked line among text stays
+    assert extract(f"<article><p>{text}</p><p><a href=x>The full report</a></p><p>{text}</p></article>") == (
+        f"{text}\nThe full report\n{text}")
+
+
+def test_no_leaf_rests_on_few_rows():
+    table = np.array(html_text.LABELLED, dtype=float)
+
+    def leaves(node, rows):
+        if node.feature < 0:
+            return [len(rows)]
+        low = rows[:, node.feature] <= node.cut
+        return leaves(node.low, rows[low]) + leaves(node.high, rows[~low])
+
+    assert min(leaves(html_text.tree(), table)) >= 3
+
+
 def test_layout_names_keep_the_article():
     story = "<h1>A head line</h1><p>" + "word " * 40 + "end</p>"
     want = "A head line\n" + "word " * 40 + "end"
