@@ -52,9 +52,12 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes: doc_id, source, size, source_size, target, taken."""
+    """The documents that the mix takes, with all their columns and size, source_size, target, taken."""
     configure(spark)
-    return mix(docs).where("taken > 0")
+    rows = numbered(docs.select(F.struct("*").alias("row")), "mixing")
+    mixed = mix(rows.select("rid", "row.doc_id", "row.source", "row.text"), keep=("rid",)).where("taken > 0")
+    return rows.join(mixed.drop("doc_id", "source"), "rid").select(
+        "row.*", "size", "source_size", "target", "taken")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -83,17 +83,17 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], share: float,
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
-        passes: int = 2, seed: str = "mix") -> DataFrame:
+        passes: int = 2, seed: str = "mix", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken.
 
     ``taken`` counts the words that the mix takes, repeats included; the document at the cut is
     taken in part, so a source gets exactly ``floor(target)`` words.  A NULL text has size 0 and
     is never taken.  A NULL source is a source of its own, the last.  Repeated rows share a key and
     are ordered by id and size, so the result as a set of rows does not depend on the run.  An empty
-    table gives no rows.  Other columns are ignored.
+    table gives no rows.  Of the other columns, those named in ``keep`` come along.
     """
     rows = written(
-        docs.select("doc_id", "source", n_words().alias("size"), mix_key(seed).alias("key"))
+        docs.select(*keep, "doc_id", "source", n_words().alias("size"), mix_key(seed).alias("key"))
         .withColumn("range", F.substring("key", 1, RANGE_DIGITS)),
         "mix",
     )
@@ -118,7 +118,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
               & (F.col("d.range") == F.col("r.range")))
         .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
         .select(
-            "doc_id", "d.source", "size", "source_size", "target",
+            *keep, "doc_id", "d.source", "size", "source_size", "target",
             (F.col("before_range") + F.col("inside")).alias("before"),
             F.floor("target").cast("long").alias("budget"),
         )
@@ -129,5 +129,5 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
         cut.withColumn("whole", F.when(size > 0, F.expr("budget div source_size")).otherwise(0))
         .withColumn("taken", whole * F.col("size") + F.greatest(
             F.lit(0).cast("long"), F.least(F.col("size"), rest)))
-        .select("doc_id", "source", "size", "source_size", "target", "taken")
+        .select(*keep, "doc_id", "source", "size", "source_size", "target", "taken")
     )

@@ -74,3 +74,14 @@ def test_run_and_odd_rows(spark, tmp_path):
     assert all(r.taken > 0 for r in got) and {r["size"] for r in got} <= {2, 5}
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_result_holds_the_redacted_documents(spark, stages):
+    assert stages[5].columns == [*stages[4].columns, "size", "source_size", "target", "taken"]
+    texts = {r.doc_id: r.text for r in stages[4].collect()}
+    got = stages[5].collect()
+    assert got and all(r.text == texts[r.doc_id] for r in got)
+    rows = [(None, "two words", "a"), (None, "three more words", "a"), (1, "one", "a"), (1, "other text here now", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
+    assert taken and all((r.doc_id, r.text, r.source) in rows and r["size"] == len(r.text.split()) for r in taken)
