@@ -41,8 +41,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    leaks = decontaminate.leaks_column(table(spark, sf_dir, "benchmark"))
-    return docs.where(F.size(leaks) == 0)
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

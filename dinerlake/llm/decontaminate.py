@@ -18,13 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dinerlake.llm.common import written
 from dinerlake.llm.words import ALNUM, U, Words, chunks, mixed, split
 
 
@@ -267,7 +268,7 @@ def leak_column(items: Items, text: str) -> Column:
 
 
 def item_blocks(benchmark: DataFrame, size: int) -> Iterator[Items]:
-    """The items in blocks of about ``size``, so that no task or the driver holds more at once."""
+    """The items in blocks of about ``size``, one at a time: neither a task nor the driver holds more."""
     rows = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
         "item_id", "text")
     count = max(1, -(-rows.count() // size))
@@ -277,21 +278,24 @@ def item_blocks(benchmark: DataFrame, size: int) -> Iterator[Items]:
         yield Items([c[0] for c in chosen], [c[1] for c in chosen])
 
 
-def leaks_column(benchmark: DataFrame, text: str = "text", block: int = BLOCK_ITEMS) -> Column:
-    """Array of leaked items of a text: item_id, start (word), words, edits.
-
-    NULL and empty texts, and an empty benchmark, give empty arrays; items without a word or
-    with a NULL id or text are left out.  Equal items are all reported.
-    """
-    found = [leak_column(items, text) for items in item_blocks(benchmark, block)]
-    return F.concat(*found) if len(found) > 1 else found[0]
+def without_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
+    """The documents that hold no item, also none of those with a NULL id."""
+    benchmark = benchmark.select(F.coalesce("item_id", F.lit(-1).cast("long")).alias("item_id"), "text")
+    for items in item_blocks(benchmark, block):
+        docs = written(docs.where(F.size(leak_column(items, "text")) == 0), "leakless")
+    return docs
 
 
 def leaked_pairs(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document and leaked item: doc_id, item_id, start, words, edits.
 
-    Repeated rows each get their result; other columns are ignored.
+    NULL and empty texts have none; items without a word or with a NULL id or text are left out.  Equal
+    items are all reported.  Repeated rows each get their result; other columns are ignored.
     """
-    marked = docs.select("doc_id", "text").withColumn("leaks", leaks_column(benchmark, block=block))
-    rows = marked.select("doc_id", F.explode("leaks").alias("leak"))
-    return rows.select("doc_id", "leak.*")
+    def found(items: Items) -> DataFrame:
+        leak = F.explode(leak_column(items, "text")).alias("leak")
+        return docs.select("doc_id", leak).select("doc_id", "leak.*")
+
+    # A block's result is written before the next block is read.
+    return reduce(DataFrame.unionByName, (
+        written(found(items), "leaks") for items in item_blocks(benchmark, block)))

@@ -94,3 +94,26 @@ def test_recall_at_the_limit_by_length():
                 texts.append(f"{around[0]} {' '.join(words)} {around[1]}")
             found = sum(i in {g[0] for g in got} for i, got in enumerate(D.leaks(texts, known)))
             assert found >= 0.97 * trials - 1, (n, ops, found, trials)
+
+
+def test_items_without_an_id_remove_their_documents(spark):
+    docs = spark.createDataFrame(
+        [(1, "ein zwei drei vier"), (2, "solo"), (3, None), (4, ""), (5, "nothing of it"), (None, "and solo too")],
+        "doc_id long, text string")
+    items = spark.createDataFrame([(None, "zwei drei"), (7, "Solo"), (8, None)], "item_id long, text string")
+    for block in (1, 2, 100):
+        assert sorted(r.doc_id for r in D.without_leaks(docs, items, block).collect()) == [3, 4, 5]
+    assert D.without_leaks(docs, items.limit(0)).count() == 6
+
+
+def test_one_block_at_a_time(spark, monkeypatch):
+    """A block's result is written before the next block is embedded."""
+    events = []
+    monkeypatch.setattr(D, "written", lambda df, tag, f=D.written: (events.append("written"), f(df, tag))[1])
+    monkeypatch.setattr(D, "Items", lambda ids, texts, f=D.Items: (events.append("items"), f(ids, texts))[1])
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"one two {w}") for i, w in enumerate(("three", "six", "ten"))], "item_id long, text string")
+    D.without_leaks(docs, items, 1).count()
+    assert events == ["items", "written"] * 3
+    D.leaked_pairs(docs, items, 1).count()
+    assert events[6:] == ["items", "written"] * 3
