@@ -15,14 +15,14 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dinerlake.llm.common import fold
 
 GRAM_BITS, BATCH = 20, 64
-# Bounds of the fit: languages (the most frequent), landmarks, training texts and n-grams.
-MAX_LANGS, MAX_LANDMARKS, MAX_TEXTS, MAX_GRAMS = 200, 400, 8_000, 16_384
+# Bounds of the fit: landmarks, training texts and n-grams.  Every language has one landmark and text at least.
+MAX_LANDMARKS, MAX_TEXTS, MAX_GRAMS = 400, 8_000, 16_384
 RIDGE = 1e-3
 SPACE = 32
 
@@ -95,26 +95,31 @@ class Presence:
 
 
 def fit(docs: DataFrame, max_texts: int = MAX_TEXTS, max_landmarks: int = MAX_LANDMARKS,
-        max_langs: int = MAX_LANGS, max_grams: int = MAX_GRAMS) -> Model:
-    """Learn from about ``max_texts`` labelled texts outside the held-out fold, equally many for each
+        max_grams: int = MAX_GRAMS) -> Model:
+    """Learn every language from about ``max_texts`` labelled texts outside the held-out fold, equally many for each
     language, chosen by hash of the id.  Rows with NULL id, text or lang are not learned from.
     Without any, the model knows no language."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 2))
+    order = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(2**31))
+    labelled = labelled.select("doc_id", "lang", "text", order.alias("order"))
+    lettered = F.when(F.col("text").rlike(r"\p{L}"), F.col("order"))
     sizes = (
-        labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+        labelled.groupBy("lang").agg(F.count("*").alias("count"), F.min(lettered).alias("first"))
+        .where("first is not null").orderBy("lang").collect()
     )
     if not sizes:
         return Model([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros(0))
     spark = docs.sparkSession
     each = max(1, max_texts // len(sizes))
     cuts = spark.createDataFrame(
-        [(r["lang"], int(2**31 * min(1.0, each / r["count"]))) for r in sizes], "lang string, cut long"
+        [(r["lang"], max(r["first"] + 1, int(2**31 * min(1.0, each / r["count"])))) for r in sizes], "lang string, cut long"
     )
-    order = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(2**31))
+    # Many rows may share an id: at most twice the share of a language are taken, those with letters first.
+    within = Window.partitionBy("lang").orderBy(F.desc(F.col("text").rlike(r"\p{L}")), "order", F.xxhash64("text"))
     sample = (
-        labelled.select("doc_id", "lang", "text").join(F.broadcast(cuts), "lang")
-        .withColumn("order", order).where(F.col("order") < F.col("cut"))
-        .select("lang", "text", "order").limit(2 * max_texts + len(sizes))
+        labelled.join(F.broadcast(cuts), "lang").where(F.col("order") < F.col("cut"))
+        .withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= 2 * each + 1)
+        .select("lang", "text", "order")
     )
     rows = sample.mapInPandas(gram_sets, "lang string, order long, grams array<int>").collect()
     return solve(sorted(rows, key=lambda r: (r["lang"], r["order"], r["grams"])), max_landmarks,

@@ -80,3 +80,21 @@ def test_labels_with_gaps_and_repeats(spark, learned):
     docs, labels = learned
     odd = labels.union(spark.createDataFrame([(None, 1), (1, None), (2, 7)], "doc_id long, toxic int")).union(labels)
     assert toxicity.fit(docs, odd).weights.keys() == toxicity.fit(docs, labels).weights.keys()
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number of them; the last ones are rare."""
+    ids = iter(rows_outside_the_held_out_fold(spark, 1_000))
+    rows, texts = [], {}
+    for n in range(260):
+        a, b, c = (chr(0x4E00 + 3 * n + k) for k in range(3))
+        texts[f"l{n:03}"] = f"{a}{b}{c} {c}{a} {b}{b}{a} {a}{c}{b}"
+        rows += [(next(ids), texts[f"l{n:03}"], f"l{n:03}") for _ in range(4 if n < 230 else 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.langs == sorted(texts)
+    asked = spark.createDataFrame(list(texts.items()), "lang string, text string")
+    got = asked.select("lang", langid.language(model)["lang"].alias("found")).collect()
+    assert all(r.lang == r.found for r in got)
+    # few texts in all: still one of each
+    assert langid.fit(docs, max_texts=50).langs == sorted(texts)
