@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +34,40 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+_scope: ContextVar[list[tuple[str, bool]] | None] = ContextVar("scratch tables", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables ``written`` inside go when the block ends well, but for those with ``keep``, which go
+    with the block around it; after a failure they stay, to be looked at."""
+    outer, own = _scope.get(), []
+    token = _scope.set(own)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+    for path, keep in own:
+        if not keep:
+            remove(spark, path)
+        elif outer is not None:
+            outer.append((path, False))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes one scratch table."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def written(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and reread, so that later steps neither
     recompute it nor depend on the executors that made it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/dinerlake-llm/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scope.get() is not None:
+        _scope.get().append((path, keep))
     return spark.read.schema(df.schema).parquet(path)
 
 

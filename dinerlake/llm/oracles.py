@@ -134,8 +134,53 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
 from d left join listed using (row_id)
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TERM_LIST = (
+    f"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+SEARCH = f"""
+with d as (
+    select row_number() over () as rid, doc_id, coalesce({TERM_LIST}, []) as terms from documents
+),
+stats as (
+    select count(*) filter (len(terms) > 0)::bigint as docs, sum(len(terms))::bigint as words from d
+),
+i as (
+    select iid, item_id, term, count(*)::bigint as times
+    from (
+        select row_number() over () as iid, item_id, unnest({TERM_LIST}) as term from benchmark
+    )
+    group by iid, item_id, term
+),
+p as (
+    select rid, doc_id, len(terms)::bigint as n, term, count(*)::bigint as tf
+    from (select rid, doc_id, terms, unnest(terms) as term from d)
+    group by rid, doc_id, n, term
+),
+w as (
+    select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)))::bigint as w
+    from (select term, count(*)::bigint as df from p group by term), stats
+),
+scored as (
+    select i.iid, i.item_id, p.rid, p.doc_id,
+           sum(i.times * w.w * ((1000000000 * p.tf)
+               // (1000 * p.tf + 8 * (25 + ((75::hugeint * p.n * docs) // words)::bigint))))::bigint as score
+    from i join p using (term) join w using (term), stats
+    group by i.iid, i.item_id, p.rid, p.doc_id
+)
+select item_id, rank::int as rank, doc_id, score
+from (
+    select item_id, doc_id, score,
+           row_number() over (partition by iid order by score desc, doc_id nulls last) as rank
+    from scored where score > 0
+)
+where rank <= 10
+"""
+
 SQL = {
     "op1_mix_sources": MIX,
     "op2_top_k": TOP_K,
     "op4_secrets": SECRETS,
+    "op13_search": SEARCH,
 }

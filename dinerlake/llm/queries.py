@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dinerlake.llm import decontaminate, html_text, langid, secrets, toxicity
+from dinerlake.llm import decontaminate, html_text, langid, lexical, secrets, toxicity
 from dinerlake.llm.bagminhash import near_copies
 from dinerlake.llm.common import configure, held_out
 from dinerlake.llm.licenses import license_scan
@@ -89,6 +89,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_top_k": op2_top_k,
@@ -100,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_leaks": op8_leaks,
     "op9_main_text": op9_main_text,
     "op10_repeats": op10_repeats,
+    "op13_search": op13_search,
 }
