@@ -178,9 +178,147 @@ from (
 where rank <= 10
 """
 
+def crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes, byte by byte through ``table`` (see CRC_TABLE)."""
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
+    return (f"xor(list_reduce([4294967295::bigint] || {codes}, "
+            f"lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+CRC_TABLE = """
+    select list(c order by b) as crc_table
+    from (
+        select b, list_reduce([b::bigint] || [0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+                              lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) as c
+        from range(256) r(b)
+    )
+"""
+
+# A label of the table of cheapest edits: cost in ten digits, audit, a bar, and what was given out as
+# "k3;" (row 3 kept), "u3;", "a3;" (row 3 re-roled) or "U;", "A;" (inserted).  The least label is the best.
+STATES = ("start", "system", "user", "assistant")
+FOLLOWS = {"start": "user", "system": "user", "user": "assistant", "assistant": "user"}
+
+
+def edited(label: str, cost: str, letter: str, given: str) -> str:
+    return (
+        f"(lpad(({label}[1:10]::bigint + {cost})::varchar, 10, '0') || split_part({label}[11:], '|', 1) "
+        f"|| '{letter}|' || split_part({label}, '|', 2) || {given})"
+    )
+
+
+def least(options: list[str]) -> str:
+    return f"least({', '.join(options)}, null::varchar)"
+
+
+def inserted(labels: dict[str, str]) -> dict[str, str]:
+    """Labels after at most one insertion."""
+    found = {s: [labels[s]] for s in STATES}
+    for s, target in FOLLOWS.items():
+        found[target].append(edited(labels[s], "3", "I", f"'{target[0].upper()};'"))
+    return {s: least(options) for s, options in found.items()}
+
+
+def row_done(labels: dict[str, str]) -> dict[str, str]:
+    """Labels after the row that is joined as ``n``."""
+    more = "(case when n.fault = 3 then 3 else 0 end)"
+    found = {s: [edited(labels[s], "4", "D", "''")] for s in STATES}
+    for s, target in FOLLOWS.items():
+        kept = edited(labels[s], more, "K", "'k' || n.pos || ';'")
+        changed = edited(labels[s], f"(3 + {more})", "R", f"'{target[0]}' || n.pos || ';'")
+        found[target].append(
+            f"case when n.fault in (0, 3) then case when n.role[1:1] = '{target[0]}' then {kept} "
+            f"else {changed} end end")
+        if s == "start":
+            found["system"].append(f"case when n.fault in (0, 3) and n.role[1:1] = 's' then {kept} end")
+    return {s: least(options) for s, options in found.items()}
+
+
+def columns(labels: dict[str, str]) -> str:
+    return ", ".join(f"{x} as {s}" for s, x in labels.items())
+
+
+REPAIR = f"""
+with recursive damaged as (
+    select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+           case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g')
+                else text end as text,
+           unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy
+    from (
+        select conv_id, turn, case when coalesce(role, '') = '' then ' ' else role end as role,
+               coalesce(text, ' ') as text,
+               {crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind
+        from conversations, ({CRC_TABLE})
+    )
+),
+placed as (
+    select *, md5(length(role) || ':' || role || text) as digest,
+           row_number() over (partition by conv_id
+                              order by turn nulls first, role, md5(length(role) || ':' || role || text)) as pos
+    from damaged
+),
+faulty as (
+    select *, case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 1
+                   when row_number() over (partition by conv_id, role, digest order by pos) > 1 then 2
+                   when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') then 3 else 0 end as fault,
+           lead(role) over (partition by conv_id order by pos) as follower
+    from placed
+),
+sums as (
+    select conv_id, count(*) as n_rows,
+           coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+           count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate,
+           count(*) filter (fault = 3) as truncated,
+           count(*) filter (follower is not null
+                            and (role[1:1] || follower[1:1]) not in ('su', 'ua', 'au')) as illegal
+    from faulty group by conv_id
+),
+walk as (
+    select conv_id, 0::bigint as pos, '0000000000|' as start, null::varchar as system,
+           '0000000003I|U;' as user, null::varchar as assistant
+    from sums
+    union all
+    select conv_id, pos, {columns(inserted({s: s for s in STATES}))}
+    from (
+        select w.conv_id, n.pos, {columns(row_done({s: f"w.{s}" for s in STATES}))}
+        from walk w join faulty n on w.conv_id is not distinct from n.conv_id and n.pos = w.pos + 1
+    )
+),
+ended as (
+    select w.conv_id, least(w.start, w.assistant) as label
+    from walk w join sums s on w.conv_id is not distinct from s.conv_id and w.pos = s.n_rows
+),
+given as (
+    select e.conv_id, g.place, case g.code[1:1]
+               when 'k' then f.role || ':' || f.text when 'u' then 'user:' || f.text
+               when 'a' then 'assistant:' || f.text when 'U' then 'user:' else 'assistant:' end as line
+    from (
+        select conv_id, unnest(codes) as code, unnest(range(len(codes))) as place
+        from (select conv_id, list_filter(string_split(split_part(label, '|', 2), ';'), lambda x: x <> '') as codes
+              from ended)
+    ) g
+    join ended e on e.conv_id is not distinct from g.conv_id
+    left join faulty f on f.conv_id is not distinct from g.conv_id and g.code[1:1] in ('k', 'u', 'a')
+                      and f.pos = try_cast(g.code[2:] as bigint)
+),
+lines as (
+    select conv_id, string_agg(line, chr(10) order by place) as repaired from given group by conv_id
+)
+select c.conv_id, coalesce(s.gaps, 0) as gaps, coalesce(s.blank, 0) as blank,
+       coalesce(s.duplicate, 0) as duplicate, coalesce(s.truncated, 0) as truncated,
+       coalesce(s.illegal, 0) as illegal, coalesce(e.label[1:10]::bigint, 0) as cost,
+       coalesce(split_part(e.label[11:], '|', 1), '') as audit,
+       sha256(coalesce(l.repaired, '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join sums s on s.conv_id is not distinct from c.conv_id
+left join ended e on e.conv_id is not distinct from c.conv_id
+left join lines l on l.conv_id is not distinct from c.conv_id
+"""
+
 SQL = {
     "op1_mix_sources": MIX,
     "op2_top_k": TOP_K,
     "op4_secrets": SECRETS,
+    "op12_repair": REPAIR,
     "op13_search": SEARCH,
 }

@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dinerlake.llm import decontaminate, html_text, langid, lexical, secrets, toxicity
+from dinerlake.llm import decontaminate, html_text, langid, lexical, repair, secrets, toxicity
 from dinerlake.llm.bagminhash import near_copies
 from dinerlake.llm.common import configure, held_out
 from dinerlake.llm.licenses import license_scan
@@ -89,6 +89,29 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` with faults put in by a hash of their key; dropped ones are flagged."""
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat_ws(":", shown("conv_id"), shown("turn")).cast("binary")) % 20
+    text = (
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(shown("text"), "[.!?]", ""))
+        .otherwise(shown("text"))
+    )
+    copies = F.when(kind == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(shown("role")).alias("role"),
+        text.alias("text"), (kind == 0).alias("dropped"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+    )
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.mended(damaged(table(spark, sf_dir, "conversations")), F.col("dropped"))
+    return repair.reports(found)
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
@@ -104,5 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_leaks": op8_leaks,
     "op9_main_text": op9_main_text,
     "op10_repeats": op10_repeats,
+    "op12_repair": op12_repair,
     "op13_search": op13_search,
 }

@@ -84,11 +84,11 @@ def test_it_stops_early_and_keeps_ties():
     tfs = np.minimum(rng.zipf(1.5, (size, words)), 60)
     held = rng.random((size, words)) < 0.4
     held[:, 0] = True
-    held[:30], tfs[:30] = True, 40  # documents that stand high in every list
+    held[:30], tfs[:30] = True, 200  # documents that stand high in every list
     ids, sizes = list(range(size)), held.sum(1)
     terms = np.nonzero(held)[1]
-    n = (tfs * held).sum(1) + 300
-    n[:30] = 240
+    n = (tfs * held).sum(1) + 1_300
+    n[:30] = 1_200
     weights = np.array([900, 800, 700, 2000, 3000, 100])
     shard = lexical.Shard(ids, n, sizes, terms, tfs[held], weights, size, int(n.sum()))
     top = lexical.Top(10)
