@@ -315,10 +315,99 @@ left join ended e on e.conv_id is not distinct from c.conv_id
 left join lines l on l.conv_id is not distinct from c.conv_id
 """
 
+def place(value: str) -> str:
+    return f"('0x' || rpad(hex(encode({value}))[1:12], 12, '0'))::bigint"
+
+
+SHARDS = 40
+SPANS = {"source": place("source"), "lang": place("lang"), "size": "size", "id": "id"}
+
+
+def tree_level(level: int, nodes: list[tuple[int, int]]) -> str:
+    """One level of the k-d tree: from ``l<level>`` to the next."""
+    cuts = ", ".join(f"({at}, {at + n // 2}, {n // 2}::double / {n})" for at, n in nodes if n > 1)
+    ratio = [f"case when g.w_{d} > 0 then (max({x}) - min({x}))::double / g.w_{d} else 0 end" for d, x in SPANS.items()]
+    widest = " ".join(f"when w{i} = greatest(w0, w1, w2, w3) then '{d}'" for i, d in enumerate(SPANS))
+    return f"""
+n{level} as (
+    select node, tail, total, largest, case {widest} end as axis, round(total * share)::bigint as cut
+    from (
+        select l.node, c.tail, c.share, sum(size)::bigint as total, max(size) as largest,
+               {", ".join(f"{r} as w{i}" for i, r in enumerate(ratio))}
+        from l{level} l join (values {cuts}) c(node, tail, share) using (node), spans g
+        group by l.node, c.tail, c.share, g.w_source, g.w_lang, g.w_size, g.w_id
+    )
+),
+p{level} as (
+    select *, coalesce(sum(size) over (partition by node order by number, label, digest, doc_id nulls first, rid
+                                       rows between unbounded preceding and 1 preceding), 0)::bigint as before
+    from (
+        select l.*, tail, largest, cut,
+               case axis when 'size' then size when 'id' then id else 0 end as number,
+               case axis when 'source' then source when 'lang' then lang else '' end as label
+        from l{level} l join n{level} n using (node)
+    )
+),
+e{level} as (
+    select node, case when till - since > greatest(total / {SHARDS}::double / 64, largest) then cut
+                      when cut - since <= till - cut then since else till end as moved
+    from (
+        select p.node, p.cut, p.largest, g.total, min(p.before) as since, max(p.before + p.size) as till
+        from p{level} p
+        join p{level} c on p.node = c.node and p.number = c.number and p.label = c.label and p.digest = c.digest
+                        and c.before < c.cut and c.cut <= c.before + c.size, spans g
+        group by p.node, p.cut, p.largest, g.total
+    )
+),
+l{level + 1} as (
+    select rid, doc_id, size, text_crc32, digest, source, lang, id,
+           case when 2 * before + size > 2 * coalesce(moved, cut) then tail else node end as node
+    from p{level} left join e{level} using (node)
+    union all by name
+    select * from l{level} where node not in (select node from n{level})
+),"""
+
+
+def tree_levels() -> tuple[str, int]:
+    nodes, level, found = [(0, SHARDS)], 0, []
+    while any(n > 1 for _, n in nodes):
+        found.append(tree_level(level, nodes))
+        nodes = [p for at, n in nodes for p in ([(at, n // 2), (at + n // 2, n - n // 2)] if n > 1 else [(at, n)])]
+        level += 1
+    return "".join(found), level
+
+
+LEVELS, LAST = tree_levels()
+KD_SHARDS = f"""
+with d as (
+    select row_number() over () as rid, doc_id, octet_length(encode(coalesce(text, '')))::bigint + 16 as size,
+           {crc32("coalesce(text, '')")} as text_crc32,
+           case when text is null then '' else md5(text) end as digest,
+           coalesce(source, '') as source, coalesce(lang, '') as lang
+    from documents, ({CRC_TABLE})
+),
+l0 as (
+    select rid, doc_id, size, text_crc32, digest, first_value(source) over w as source,
+           first_value(lang) over w as lang, coalesce(first_value(doc_id) over w, 0)::bigint as id, 0 as node
+    from d
+    window w as (partition by digest order by doc_id nulls last, source, lang
+                 rows between unbounded preceding and unbounded following)
+),
+spans as (
+    select sum(size) as total, {", ".join(f"(max({x}) - min({x}))::double as w_{d}" for d, x in SPANS.items())} from l0
+),{LEVELS}
+placed as (select * from l{LAST})
+select doc_id, size, text_crc32, 'bytes' as law, node::int as shard,
+       row_number() over (partition by node order by digest, doc_id nulls first, rid) - 1 as slot,
+       null::int as grown_shard
+from placed
+"""
+
 SQL = {
     "op1_mix_sources": MIX,
     "op2_top_k": TOP_K,
     "op4_secrets": SECRETS,
+    "op11_shards": KD_SHARDS,
     "op12_repair": REPAIR,
     "op13_search": SEARCH,
 }

@@ -15,6 +15,7 @@ from dinerlake.llm.bagminhash import near_copies
 from dinerlake.llm.common import configure, held_out
 from dinerlake.llm.licenses import license_scan
 from dinerlake.llm.mixing import mix
+from dinerlake.llm.sharding import kd_shards
 from dinerlake.llm.substrings import remove_repeats
 from dinerlake.llm.topk import top_k
 
@@ -89,6 +90,14 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_shards(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """The rows of ``conversations`` with faults put in by a hash of their key; dropped ones are flagged."""
     def shown(name: str) -> Column:
@@ -127,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_leaks": op8_leaks,
     "op9_main_text": op9_main_text,
     "op10_repeats": op10_repeats,
+    "op11_shards": op11_shards,
     "op12_repair": op12_repair,
     "op13_search": op13_search,
 }
