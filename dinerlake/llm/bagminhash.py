@@ -10,23 +10,21 @@ component keeps its earliest point; two bags agree in a component with probabili
 similarity.  Only points before the time at which all components are filled are ever made.
 
 Search.  Signatures are cut into bands; texts that share a band are candidates.  In every band bucket all
-members are checked exactly against one centre.  What the centre leaves undecided is checked too: members
-of different components that share a bucket, unless the triangle inequality of the distance 1 - J through
-the centre, or the elements that a bag shares with no other, rule the pair out; chance meetings in a
-bucket join components before that.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
+members are checked exactly against one centre.  What the centre leaves undecided is checked too: chance
+meetings in a bucket join components, then prefix filtering (see ``crossing``) finds every link that is left
+between components of a bucket.  So no pair of a bucket is lost, and groups of copies need no all-pairs work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dinerlake.llm.common import numbered, written
+from dinerlake.llm.common import numbered, scratch, thinned, written
 from dinerlake.llm.components import components
 from dinerlake.llm.substrings import lists, rolling
 from dinerlake.llm.words import U, chunks, mixed, split
@@ -34,8 +32,7 @@ from dinerlake.llm.words import U, chunks, mixed, split
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 28, 4
 COMPONENTS = BANDS * ROWS
-# Chance meetings before the pairs that are left are listed, and the size of a meeting.
-ROUNDS, PART = 1, 32
+PART = 32  # size of a chance meeting
 DOC_BITS = 12
 SHINGLE_MASK = U((1 << (64 - DOC_BITS)) - 1)
 ODD = U(0x9E3779B97F4A7C15)
@@ -185,8 +182,9 @@ def similarity(left: str, right: str) -> Column:
 
 def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b and others) with their exact similarity."""
-    left = sets.select(F.col("bag").alias("a"), F.col("elements").alias("a_set"))
-    right = sets.select(F.col("bag").alias("b"), F.col("elements").alias("b_set"))
+    pairs = written(pairs, "pairs")
+    left = thinned(sets.select(F.col("bag").alias("a"), F.col("elements").alias("a_set")), "a", pairs)
+    right = thinned(sets.select(F.col("bag").alias("b"), F.col("elements").alias("b_set")), "b", pairs)
     both = pairs.join(right, "b").join(left, "a")
     return both.select(*pairs.columns, similarity("a_set", "b_set").alias("similarity"))
 
@@ -219,7 +217,7 @@ def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
     sets = sets_of(members.select("bag").distinct())
     first = written(checked(spokes, sets), "spokes")
     strong = first.where(F.col("similarity") >= least).select("a", "b")
-    roots = written(components(strong), "roots")
+    roots = components(strong)
 
     placed = (
         members.where("bag <> centre")
@@ -229,30 +227,57 @@ def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
         .select("slot", "bag", F.coalesce("root", "bag").alias("root"),
                 (1 - F.col("similarity")).alias("distance"))
     )
-    rest = undecided(written(placed, "placed"))
-    sizes = written(shareable(sets.join(rest.select("bag").distinct(), "bag")), "sizes")
+    rest = written(undecided(written(placed, "placed")), "open")
+    sizes = written(shareable(thinned(sets, "bag", rest).join(rest.select("bag").distinct(), "bag")), "sizes")
     # Nothing else can come near a bag that keeps too little after its own elements.
-    rest = rest.join(sizes, "bag").where(F.col("common") >= least * F.col("size") - 1e-9)
-
-    found = [roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))]
-    for number in range(ROUNDS):
-        rest = undecided(written(rest, "rest"))
-        tried = written(checked(met(rest, number, least), sets), "tried")
-        edges = tried.where(F.col("similarity") >= least).select(
-            F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-        found.append(edges)
-        joined = written(components(edges), "joined")
-        rest = rest.join(joined.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left")
-        rest = rest.withColumn("root", F.coalesce("new", "root")).drop("new")
-
-    rest = undecided(written(rest, "rest"))
+    rest = written(rest.join(sizes, "bag").where(F.col("common") >= least * F.col("size") - 1e-9), "rest")
+
+    # Chance meetings join what is plainly one group before the rest is searched.
+    tried = written(checked(met(rest, least), sets), "tried")
+    edges = tried.where(F.col("similarity") >= least).select(
+        F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+    joined = components(edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    rest = rest.join(joined, "root", "left").select("slot", "bag", F.coalesce("new", "root").alias("root"))
+
+    last = checked(crossing(rest, sets, least), sets).where(F.col("similarity") >= least)
+    direct = roots.where("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return written(direct.union(edges).union(last.select("a", "b")), "links", keep=True)
+
+
+def crossing(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of bags that may be links between components which still share a slot.
+
+    ``rest``: slot, bag, root.  The elements of these bags are ordered by the number of bags that hold them,
+    rarest first.  Bags of sizes m and n that are similar enough share t >= least / (1 + least) * (m + n)
+    elements, so the first one they share stands among the first m - t + 1 and n - t + 1 of either; only
+    such pairs meet, and of those only pairs with a member outside the largest component of a slot.  What a
+    group of edited copies has in common is common, so it brings no pairs.
+    """
     sides = rest.groupBy("slot", "root").agg(F.count("*").alias("n"))
-    main = sides.groupBy("slot").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    rest = written(rest.join(main, "slot"), "sides")
-    pairs = sided(rest.where("root <> main"), "a").join(sided(rest, "b"), "slot").where(
-        possible(least) & ((F.col("b_root") == F.col("b_main")) | (F.col("a") < F.col("b"))))
-    last = checked(pairs.select("a", "b").distinct(), sets).where(F.col("similarity") >= least)
-    return written(reduce(DataFrame.union, [*found, last.select("a", "b")]), "links")
+    main = sides.groupBy("slot").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    bags = written(rest.join(main, "slot").groupBy("bag").agg(
+        F.any_value("root").alias("root"), F.bool_or(F.col("root") != F.col("main")).alias("outside")), "outside")
+    chosen = written(thinned(sets, "bag", bags).join(bags, "bag"), "chosen")
+    each = chosen.select("bag", F.explode("elements").alias("element"))
+    counts = each.groupBy("element").agg(F.count("*").alias("n")).where("n > 1")
+    shared = each.join(counts, "element").groupBy("bag").agg(
+        F.array_sort(F.collect_list(F.struct("n", "element"))).alias("shared"))
+    # A bag's own elements come first; they meet nothing but take their places.
+    size, own = F.size("elements"), F.size("elements") - F.size("shared")
+    length = F.greatest(F.lit(0), size - F.ceil(least * size - 1e-9) + 1 - own).cast("int")
+    prefixes = written(chosen.join(shared, "bag").select(
+        "bag", "root", "outside", size.alias("size"), own.alias("own"),
+        F.posexplode(F.slice("shared", F.lit(1), length)).alias("place", "entry")
+    ).select("bag", "root", "outside", "size", (F.col("own") + F.col("place")).alias("place"),
+             F.col("entry.element").alias("element")), "prefixes")
+    a, b = prefixes.where("outside").alias("a"), prefixes.alias("b")
+    needed = least / (1 + least) * (F.col("a.size") + F.col("b.size")) - 1e-9
+    left = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
+    return a.join(b, F.col("a.element") == F.col("b.element")).where(
+        (F.col("a.root") != F.col("b.root")) & (left >= needed)
+        & (~F.col("b.outside") | (F.col("a.bag") < F.col("b.bag")))
+    ).select(F.col("a.bag").alias("a"), F.col("b.bag").alias("b")).distinct()
 
 
 def undecided(rows: DataFrame) -> DataFrame:
@@ -276,15 +301,15 @@ def possible(least: float) -> Column:
     return (F.col("a_root") != F.col("b_root")) & near & (F.least("a_common", "b_common") >= overlap)
 
 
-def met(rows: DataFrame, number: int, least: float) -> DataFrame:
-    """Pairs (a, b and their roots): the members of a slot are dealt anew into parts of about
-    ``PART``, and all of a part meet one of them."""
+def met(rows: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b and their roots): the members of a slot are dealt into parts of about ``PART``,
+    and all of a part meet one of them."""
     counts = rows.groupBy("slot").agg(F.count("*").alias("n"))
     dealt = rows.join(counts, "slot").withColumn(
-        "part", F.pmod(F.xxhash64("bag", F.lit(number)), F.ceil(F.col("n") / PART))).drop("n")
+        "part", F.pmod(F.xxhash64("bag"), F.ceil(F.col("n") / PART))).drop("n")
     dealt = written(dealt, "dealt")
     one = dealt.groupBy("slot", "part").agg(F.max_by(
-        F.struct("bag", "root", "distance", "size", "common"), F.xxhash64("bag", F.lit(number), F.lit("one"))
+        F.struct("bag", "root", "distance", "size", "common"), F.xxhash64("bag", F.lit("one"))
     ).alias("one")).select("slot", "part", "one.*")
     a = sided(written(one, "one"), "a").withColumnRenamed("a_part", "part")
     b = sided(dealt, "b").withColumnRenamed("b_part", "part")
@@ -300,40 +325,43 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMIL
     class whose ids are all NULL has a NULL class_id.  An empty table gives no rows; other columns are
     ignored.  A pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^28 < 1e-6.
     """
-    digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
-    source = docs.select(F.col(id_column).cast("long").alias("id"), "text", digest.alias("digest"))
-    every = written(
-        source.mapInArrow(profile, "id long, digest binary, bag binary, bands array<long>"), "bags")
-    # One row per bag, under a number of its own: shorter to send than the digest.
-    distinct = numbered(
-        every.where(F.col("bag").isNotNull()).groupBy("bag").agg(
-            F.min("id").alias("least_id"), F.count("*").alias("copies"),
-            F.min(F.struct("id", "digest")).alias("keeper"), F.any_value("bands").alias("bands")),
-        "distinct",
-    ).withColumnRenamed("bag", "bag_digest").withColumnRenamed("rid", "bag")
-    slots = distinct.select(F.explode("bands").alias("slot"), "bag")
-
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        keepers = written(
-            distinct.join(wanted, "bag").select(
-                "bag", F.col("keeper.id").alias("keeper_id"), F.col("keeper.digest").alias("digest")),
-            "keepers",
+    with scratch(docs.sparkSession):
+        digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+        source = docs.select(F.col(id_column).cast("long").alias("id"), "text", digest.alias("digest"))
+        every = written(
+            source.mapInArrow(profile, "id long, digest binary, bag binary, bands array<long>"), "bags",
+            keep=True)
+        # One row per bag, under a number of its own: shorter to send than the digest.
+        distinct = numbered(
+            every.where(F.col("bag").isNotNull()).groupBy("bag").agg(
+                F.min("id").alias("least_id"), F.count("*").alias("copies"),
+                F.min(F.struct("id", "digest")).alias("keeper"), F.any_value("bands").alias("bands")),
+            "distinct",
+        ).withColumnRenamed("bag", "bag_digest").withColumnRenamed("rid", "bag")
+        slots = distinct.select(F.explode("bands").alias("slot"), "bag")
+
+        def sets_of(wanted: DataFrame) -> DataFrame:
+            keepers = written(
+                distinct.join(wanted, "bag").select(
+                    "bag", F.col("keeper.id").alias("keeper_id"), F.col("keeper.digest").alias("digest")),
+                "keepers",
+            )
+            texts = thinned(source, "digest", keepers).join(keepers, "digest").where(
+                F.col("id").eqNullSafe(F.col("keeper_id"))).dropDuplicates(["digest"])
+            found = texts.select("bag", "text").mapInArrow(elements, "bag long, elements array<long>")
+            return written(found, "sets")
+
+        roots = components(links(slots, sets_of, least))
+        rooted = distinct.select("bag", "bag_digest", "least_id", "copies").join(
+            roots.withColumnRenamed("node", "bag"), "bag", "left"
+        ).select("bag_digest", "least_id", "copies", F.coalesce("root", "bag").alias("root"))
+        rooted = written(rooted, "rooted")
+        classes = written(
+            rooted.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
+            .join(rooted.select("root", F.col("bag_digest").alias("bag")), "root")
+            .select("bag", "class_id", "class_size"),
+            "classes", keep=True,
         )
-        texts = source.join(keepers, "digest").where(F.col("id").eqNullSafe(F.col("keeper_id")))
-        found = texts.select("bag", "text").mapInArrow(elements, "bag long, elements array<long>")
-        return written(found.dropDuplicates(["bag"]), "sets")
-
-    roots = components(links(slots, sets_of, least))
-    rooted = distinct.select("bag", "bag_digest", "least_id", "copies").join(
-        roots.withColumnRenamed("node", "bag"), "bag", "left"
-    ).select("bag_digest", "least_id", "copies", F.coalesce("root", "bag").alias("root"))
-    rooted = written(rooted, "rooted")
-    classes = written(
-        rooted.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
-        .join(rooted.select("root", F.col("bag_digest").alias("bag")), "root")
-        .select("bag", "class_id", "class_size"),
-        "classes",
-    )
     return every.select("id", "bag").join(classes, "bag", "left").select(
         F.col("id").alias(id_column),
         F.when(F.col("bag").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),

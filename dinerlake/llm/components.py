@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dinerlake.llm.common import written
+from dinerlake.llm.common import scratch, written
 
 
 def state(edges: DataFrame) -> tuple:
@@ -38,13 +38,17 @@ def components(edges: DataFrame) -> DataFrame:
     Isolated nodes are not listed.  The edges of each round are written, never collected; rounds
     grow with the logarithm of the longest chain.
     """
-    edges = written(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "edges")
-    before = state(edges)
-    while before[0]:
-        edges = written(starred(written(starred(edges, True), "edges"), False), "edges")
-        now = state(edges)
-        if now == before:
-            break
-        before = now
-    roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    spark = edges.sparkSession
+    with scratch(spark):
+        edges = written(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "edges")
+        before = state(edges)
+        while before[0]:
+            with scratch(spark):
+                edges = written(starred(written(starred(edges, True), "edges"), False), "edges", keep=True)
+            now = state(edges)
+            if now == before:
+                break
+            before = now
+        roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        roots = roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        return written(roots, "roots", keep=True)
