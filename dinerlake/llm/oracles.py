@@ -113,7 +113,7 @@ KINDS = [
     ("slack", "xox[abeprs]-[A-Za-z0-9-]+", 0, 20),
     ("google", "AIza[A-Za-z0-9_-]+", 0, 39),
     ("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 40),
-    ("private_key", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 ]
 SECRETS = f"""
 with d as (

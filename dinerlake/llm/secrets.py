@@ -37,7 +37,7 @@ RULES = (
     Rule("slack", r"xox[abeprs]-[A-Za-z0-9-]+", 0, 20),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 )
 
 

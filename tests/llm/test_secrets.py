@@ -91,3 +91,22 @@ def test_long_text(spark):
     assert got.n_assign == got.n_hex == 2_000
     want = ",".join(f"{k}:{s}:{e}" for s, _, k, e in base_secrets(text))
     assert got.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
+def test_no_text_breaks_a_rule(spark, rule):
+    """A megabyte of every rule's own beginning, and of what its repeated parts take."""
+    unit = {
+        "assign": "password=", "access": "AKIA", "hex": "0f", "github": "ghp_", "slack": "xoxb-", "google": "AIza",
+        "jwt": "eyJa.", "private_key": "-----BEGIN ",
+    }[rule.kind]
+    long = [unit * (1_000_000 // len(unit)), unit + "AB " * 330_000, unit + "a" * 1_000_000]
+    got = found(spark, [(i, t, "", 0) for i, t in enumerate(long)], (rule,)).collect()
+    assert len(got) == len(long)
+
+
+def test_private_key_headers(spark):
+    texts = ["-----BEGIN PRIVATE KEY-----", "-----BEGIN OPENSSH PRIVATE KEY-----", "-----BEGIN PUBLIC KEY-----",
+             "-----BEGIN rsa PRIVATE KEY-----"]
+    got = {r.doc_id: r.spans for r in found(spark, [(i, t, "", 0) for i, t in enumerate(texts)]).collect()}
+    assert [bool(got[i]) for i in range(4)] == [True, True, False, False]
