@@ -21,7 +21,8 @@ LEAST_TEXT = 0.85  # of a full text: licences share much of their wording
 CUE = r"(?i)licen[cs]|copyright|spdx|copyleft|public domain|permission is hereby|redistribution and use"
 COMMENT = r"^\s*(?:#|//|/?\*|--|;|%)"
 LICENCE_FILE = r"(?i)(?:^|/)(?:un)?(?:licen[cs]e|copying|notice)[^/]*$"
-TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+# Possessive: a long chain of numbers is taken in one loop, without the matcher's stack.
+TERM = r"[a-z0-9]+(?:\.[0-9]+)*+"
 
 # A licence's short name and how files usually state it.
 TEMPLATES = (

@@ -35,3 +35,9 @@ def test_empty_long_and_without_licence_files(spark):
     assert scan(spark, []) == []
     long = "word " * 300_000 + "\nReleased under the MIT License.\n" + "# note\n" * 20_000
     assert scan(spark, [("a", long, 0, ""), ("b", "x", 0, "")]) == [("a", "MIT", "own", None), ("b", None, "none", None)]
+
+
+def test_long_chains_of_numbers(spark):
+    chain = "Licensed under version 1" + ".1" * 300_000 + " of the MIT License."
+    found = scan(spark, [("LICENSE", chain, 0, ""), ("a.py", "Released under the MIT License.", 0, "")])
+    assert [f[0] for f in found] == ["LICENSE", "a.py"] and found[1][1] == "MIT"
