@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dinerlake.llm.common import numbered, scratch, thinned, written
+from dinerlake.llm.common import marked, numbered, scratch, thinned, written
 from dinerlake.llm.components import components
 from dinerlake.llm.substrings import lists, rolling
 from dinerlake.llm.words import U, chunks, mixed, split
@@ -317,14 +317,9 @@ def met(rows: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "a_root", "b_root").distinct()
 
 
-def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMILARITY) -> DataFrame:
-    """One row per document: the id, ``class_id`` (the least id of its class) and ``class_size``.
-
-    A class is a connected component of near copies.  Texts without a word (NULL, empty, white space)
-    are near copies of nothing: each is a class of its own.  Repeated rows and copies are one class.  A
-    class whose ids are all NULL has a NULL class_id.  An empty table gives no rows; other columns are
-    ignored.  A pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^28 < 1e-6.
-    """
+def classified(docs: DataFrame, id_column: str, least: float) -> DataFrame:
+    """Per document: ``id``, ``digest`` of its text, ``bag`` (NULL without a word), and of its class
+    ``class_id``, ``class_size`` and ``first``, its least (no_id, id, digest)."""
     with scratch(docs.sparkSession):
         digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
         source = docs.select(F.col(id_column).cast("long").alias("id"), "text", digest.alias("digest"))
@@ -335,7 +330,7 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMIL
         distinct = numbered(
             every.where(F.col("bag").isNotNull()).groupBy("bag").agg(
                 F.min("id").alias("least_id"), F.count("*").alias("copies"),
-                F.min(F.struct("id", "digest")).alias("keeper"), F.any_value("bands").alias("bands")),
+                F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")).alias("keeper"), F.any_value("bands").alias("bands")),
             "distinct",
         ).withColumnRenamed("bag", "bag_digest").withColumnRenamed("rid", "bag")
         slots = distinct.select(F.explode("bands").alias("slot"), "bag")
@@ -352,18 +347,58 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMIL
             return written(found, "sets")
 
         roots = components(links(slots, sets_of, least))
-        rooted = distinct.select("bag", "bag_digest", "least_id", "copies").join(
+        rooted = distinct.select("bag", "bag_digest", "least_id", "copies", "keeper").join(
             roots.withColumnRenamed("node", "bag"), "bag", "left"
-        ).select("bag_digest", "least_id", "copies", F.coalesce("root", "bag").alias("root"))
+        ).select("bag_digest", "least_id", "copies", "keeper", F.coalesce("root", "bag").alias("root"))
         rooted = written(rooted, "rooted")
         classes = written(
-            rooted.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
+            rooted.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"),
+                                       F.min("keeper").alias("first"))
             .join(rooted.select("root", F.col("bag_digest").alias("bag")), "root")
-            .select("bag", "class_id", "class_size"),
+            .select("bag", "class_id", "class_size", "first"),
             "classes", keep=True,
         )
-    return every.select("id", "bag").join(classes, "bag", "left").select(
+    return every.select("id", "digest", "bag").join(classes, "bag", "left")
+
+
+def near_copies(docs: DataFrame, id_column: str = "doc_id", least: float = SIMILARITY) -> DataFrame:
+    """One row per document: the id, ``class_id`` (the least id of its class) and ``class_size``.
+
+    A class is a connected component of near copies.  Texts without a word (NULL, empty, white space)
+    are near copies of nothing: each is a class of its own.  Repeated rows and copies are one class.  A
+    class whose ids are all NULL has a NULL class_id.  An empty table gives no rows; other columns are
+    ignored.  A pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^28 < 1e-6.
+    """
+    return classified(docs, id_column, least).select(
         F.col("id").alias(id_column),
         F.when(F.col("bag").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
     )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", least: float = SIMILARITY) -> DataFrame:
+    """The document with the least id of each class of near copies (NULL ids last), with all its columns.
+
+    Of rows that repeat id and text one stays, the least by the other columns.  Documents without a word
+    stay.  Only rows that may have to go are moved; all others are passed on where they are.
+    """
+    with scratch(docs.sparkSession):
+        several = classified(docs, id_column, least).where("class_size > 1")
+        verdicts = written(several.groupBy("id", "digest").agg(
+            F.count("*").alias("rows"), F.any_value("first").alias("first")).select(
+            F.col("id").alias("_id"), F.col("digest").alias("_digest"), "rows",
+            (F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.digest") == F.col("digest"))).alias("stays")),
+            "verdicts", keep=True)
+    digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    flagged = marked(docs.withColumn("_digest", digest), "_digest",
+                     verdicts.where("not stays or rows > 1"), "_may")
+    others = [c for c in docs.columns if c not in (id_column, "text")]
+    repeats = Window.partitionBy(id_column, "_digest").orderBy(F.to_json(F.struct(F.lit(0).alias("_"), *others)))
+    judged = flagged.where("_may").join(
+        verdicts.withColumnRenamed("_digest", "_of"),
+        (F.col("_digest") == F.col("_of")) & F.col(id_column).cast("long").eqNullSafe(F.col("_id")), "left")
+    kept = (
+        judged.where(F.coalesce("stays", F.lit(True)))
+        .withColumn("_row", F.when(F.col("rows") > 1, F.row_number().over(repeats)).otherwise(1)).where("_row = 1")
+    )
+    return flagged.where("not _may").select(*docs.columns).unionByName(kept.select(*docs.columns))

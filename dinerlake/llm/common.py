@@ -75,29 +75,33 @@ BITMAP = 1 << 15  # bits of one of Spark's bitmaps
 MOST_BITS = 1 << 29  # of all bitmaps of one filter together: 64 MB
 
 
-def thinned(big: DataFrame, column: str, wanted: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """The rows of ``big`` whose ``column`` may be among that of ``wanted`` (a written table).
+def marked(big: DataFrame, column: str, wanted: DataFrame, flag: str, most_bits: int = MOST_BITS) -> DataFrame:
+    """``big`` with ``flag``: whether ``column`` may be among that of ``wanted`` (a written table).
 
-    No wanted row is lost, some others stay: a bitmap of key hashes decides, about 16 bits a key up to
-    ``most_bits`` in all, so that the broadcast is bounded.  An exact join has to follow; it then
-    moves about the rows it needs.  Above that many keys it only moves more.
+    The flag is never false for a wanted row, and seldom true for another: a bitmap of key hashes decides,
+    about 16 bits a key up to ``most_bits`` in all, so that the broadcast is bounded.  An exact join has
+    to follow for the rows with the flag.  With more keys than that it only moves more rows.
     """
     keys = wanted.select(column).distinct()
     bits = min(most_bits, max(BITMAP, 1 << (16 * keys.count()).bit_length()))
     place = F.pmod(F.xxhash64(column), F.lit(bits))
-    maps = keys.select(place.alias("place")).groupBy(
-        F.shiftright("place", 15).alias("_map")).agg(
+    maps = keys.select(place.alias("place")).groupBy(F.shiftright("place", 15).alias("_map")).agg(
         F.bitmap_construct_agg(F.pmod("place", F.lit(BITMAP))).alias("_bits"))
     bit = F.pmod("_place", F.lit(BITMAP))
     byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    held = F.shiftright("_place", 15) == F.col("_map")
+    held = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1
     return (
-        big.withColumn("_place", place).join(F.broadcast(maps), held)
-        .where(F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1)
-        .select(*big.columns)
+        big.withColumn("_place", place)
+        .join(F.broadcast(maps), F.shiftright("_place", 15) == F.col("_map"), "left")
+        .select(*big.columns, F.coalesce(held, F.lit(False)).alias(flag))
     )
 
 
+def thinned(big: DataFrame, column: str, wanted: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+    """The rows of ``big`` that ``marked`` lets through; no wanted row is lost."""
+    return marked(big, column, wanted, "_may", most_bits).where("_may").drop("_may")
+
+
 def numbered(df: DataFrame, tag: str) -> DataFrame:
     """A written copy of ``df`` with a unique long ``rid`` per row.
 

@@ -279,10 +279,13 @@ def item_blocks(benchmark: DataFrame, size: int) -> Iterator[Items]:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
-    """The documents that hold no item, also none of those with a NULL id."""
+    """The documents that hold no item, also none of those with a NULL id; all rows and columns of the
+    others stay, NULL and empty texts too.  An empty benchmark or table changes nothing."""
     benchmark = benchmark.select(F.coalesce("item_id", F.lit(-1).cast("long")).alias("item_id"), "text")
-    for items in item_blocks(benchmark, block):
-        docs = written(docs.where(F.size(leak_column(items, "text")) == 0), "leakless")
+    for number, items in enumerate(item_blocks(benchmark, block)):
+        if number:  # between two blocks only
+            docs = written(docs, "leakless")
+        docs = docs.where(F.size(leak_column(items, "text")) == 0)
     return docs
 
 

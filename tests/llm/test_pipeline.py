@@ -83,5 +83,38 @@ def test_result_holds_the_redacted_documents(spark, stages):
     assert got and all(r.text == texts[r.doc_id] for r in got)
     rows = [(None, "two words", "a"), (None, "three more words", "a"), (1, "one", "a"), (1, "other text here now", "b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    taken = corpus_pipeline.mix_sources(spark, docs, SMALL).collect()
+    taken = corpus_pipeline.STAGES[4][1](spark, docs, SMALL).collect()
     assert taken and all((r.doc_id, r.text, r.source) in rows and r["size"] == len(r.text.split()) for r in taken)
+
+
+def odd_documents():
+    text = "some plain words about the weather over the hills and far away from here "
+    rows = [(i, f"{text} number {i} " * 3, "en", f"s{i % 3}", 10, 1, 2.0, 3, "x") for i in range(12)]
+    rows += [(20, text * 3, "en", "s1", 10, 1, 2.0, 3, "b"), (20, text * 3, "en", "s0", 10, 1, 2.0, 3, "a"),
+             (21, text * 3, "en", "s1", 10, 1, 2.0, 3, "c"), (None, text * 3, None, None, None, None, None, None, None),
+             (22, None, "en", "s1", 0, 1, 1.0, 1, "d"), (22, None, "en", "s1", 0, 1, 1.0, 1, "d"), (23, "", "en", None, 0, 1, 1.0, 1, "")]
+    rows += [(24, "token = abcdefgh12345 " + "-----BEGIN " + "AB " * 20_000 + "1.1" * 9_000, "en", "s2", 0, 1, 1.0, 1, "long")]
+    return rows
+
+
+def test_clashing_columns_nulls_and_repeated_rows(spark, tmp_path):
+    schema = ("doc_id long, text string, lang string, source string, n_chars long, size int, target double, "
+              "taken int, digest string")
+    rows = odd_documents()
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    found = corpus_pipeline.run(spark, folder)
+    assert found.columns == [c.split()[0] for c in schema.split(", ")] + ["mix_size", "source_size", "mix_target", "mix_taken"]
+    near = corpus_pipeline.STAGES[1][1](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).collect()
+    # Of the repeated id 20 the row that is least by its other columns; wordless rows all stay.
+    assert [(r.source, r.digest) for r in near if r.doc_id == 20] == [("s0", "a")]
+    assert sum(r.doc_id == 22 for r in near) == 2 and not any(r.doc_id == 21 or r.doc_id is None for r in near)
+
+
+def test_empty_documents(spark, tmp_path):
+    folder = str(tmp_path)
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
