@@ -1,79 +1,5 @@
-"""A document pipeline of five stages; each stage's result is written and reread by the next."""
+"""The document pipeline; its stages are in ``dinerlake.llm.pipeline``."""
 
-from __future__ import annotations
+from dinerlake.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from dinerlake.llm import decontaminate, secrets, toxicity
-from dinerlake.llm.bagminhash import near_copies
-from dinerlake.llm.common import configure, numbered, written
-from dinerlake.llm.mixing import mix
-
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score under the threshold; NULL and empty texts score 0 and stay."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.where(toxicity.toxicity(model)["score"] < toxicity.THRESHOLD)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class of near copies (NULL ids last)."""
-    configure(spark)
-    rows = numbered(docs.select(F.struct("*").alias("row")), "dedup")
-    classes = near_copies(rows.select("rid", "row.text"), "rid").select("rid", "class_id")
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
-    keepers = written(
-        rows.select("rid", "row.doc_id").join(classes, "rid").groupBy("class_id")
-        .agg(F.min(first)["rid"].alias("rid")).select("rid"),
-        "keepers",
-    )
-    return rows.join(keepers, "rid", "left_semi").select("row.*")
-
-
-def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
-
-
-def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts replaced by the name of their kind."""
-    configure(spark)
-    return secrets.redact(docs)
-
-
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with all their columns and size, source_size, target, taken."""
-    configure(spark)
-    rows = numbered(docs.select(F.struct("*").alias("row")), "mixing")
-    mixed = mix(rows.select("rid", "row.doc_id", "row.source", "row.text"), keep=("rid",)).where("taken > 0")
-    return rows.join(mixed.drop("doc_id", "source"), "rid").select(
-        "row.*", "size", "source_size", "target", "taken")
-
-
-STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_copies),
-    ("decontamination", drop_leaks),
-    ("secrets", redact_secrets),
-    ("mixing", mix_sources),
-]
-
-# Trained scores, signatures and edit distances have no SQL form; tests/llm compares with brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
