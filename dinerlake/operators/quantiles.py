@@ -1,9 +1,8 @@
-"""Exact quantiles of a large table without sorting it.
+"""Exact quantiles of a large table by ranges.
 
-Sketch quantiles depend on how rows are spread over tasks, so a snapshot built
-twice could get different cuts.  Here the sketch only brackets each quantile; the
-rows below the bracket are counted, and those inside it, a few ten-thousandths of
-the table, decide exactly.
+The distinct values are counted, sorted into ranges once, and the counts of the ranges are summed
+up.  That tells in which range a rank lies, and only those ranges are looked at value by value.  No
+sketch, no task that sees a whole group: a group of any size is spread over its ranges.
 """
 
 from __future__ import annotations
@@ -14,91 +13,87 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank error of the sketch is at most one in this many rows.
-SKETCH_ACCURACY = 10_000
-ALL = "_all"
+from dinerlake.session import cut_lineage
 
+GROUP, OF, PART = "target_group", "target_of", "target_part"
 
-def _bracket_shares(shares: Sequence[float]) -> list[float]:
-    """Two sketch errors to either side of each share."""
-    slack = 2 / SKETCH_ACCURACY
-    low = [max(p - slack, 0.0) for p in shares]
-    high = [min(p + slack, 1.0) for p in shares]
-    return [edge for pair in zip(low, high) for edge in pair]
 
+def rank_of(share: float, rows: Column) -> Column:
+    """The least rank with at least ``share`` of ``rows`` at or below it; decimal, as shares are written."""
+    exact = F.ceil(F.lit(Decimal(str(share))) * rows).cast("bigint")
+    return F.greatest(exact, F.lit(1).cast("bigint"))
 
-def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], by: str | None = None
-) -> DataFrame:
-    """One row, or one per value of ``by``, with an array of quantiles per column of ``wanted``.
 
-    The quantile of share p is the smallest value with at least p of the non-NULL
-    rows at or below it, in the column's own type.  ``df`` is read three times, so
-    pass a written table.  A bracket that misses its rank is an error.
+def ranged_counts(df: DataFrame, group: Column, columns: Sequence[str]) -> DataFrame:
+    """Distinct (group, column, value) with their count, sorted by range; one value field per column.
+
+    NULLs count nothing but keep their group.
     """
-    group = by or ALL
-    if by is None:
-        df = df.withColumn(ALL, F.lit(0))
-    bounds = df.groupBy(group).agg(
-        *[F.percentile_approx(c, _bracket_shares(shares), SKETCH_ACCURACY).alias(f"_edges_{c}")
-          for c, shares in wanted.items()],
-        *[F.count(c).alias(f"_rows_{c}") for c in wanted],
-    )
-    bounds = bounds.withColumnRenamed(group, "_of")
-    targets = [(c, i, p) for c, shares in wanted.items() for i, p in enumerate(shares)]
-
-    def edge(column: str, i: int) -> Column:
-        return F.col(f"_edges_{column}")[i]
-
-    # As many rows as groups: the planner broadcasts them when they are few.
-    bounded = df.join(bounds, F.col(group).eqNullSafe(F.col("_of"))).drop("_of")
-    below = bounded.groupBy(group).agg(*[
-        F.count_if(F.col(c) < edge(c, 2 * i)).alias(f"_below_{n}")
-        for n, (c, i, _) in enumerate(targets)
-    ], *[F.any_value(f"_rows_{c}").alias(f"_rows_{c}") for c in wanted])
-
-    def entry(number: int, column: str, i: int) -> Column:
-        inside = F.col(column).between(edge(column, 2 * i), edge(column, 2 * i + 1))
-        values = [
-            (F.col(c) if c == column else F.lit(None).cast(df.schema[c].dataType)).alias(f"_v_{c}")
-            for c in wanted
+    def entry(number: int) -> Column:
+        fields = [
+            (F.col(c) if n == number else F.lit(None).cast(df.schema[c].dataType)).alias(f"_v_{n}")
+            for n, c in enumerate(columns)
         ]
-        return F.when(inside, F.struct(F.lit(number).alias("_target"), *values))
+        return F.struct(F.lit(number).alias(OF), *fields, F.col(columns[number]).isNotNull().alias("_held"))
 
-    entries = F.array_compact(F.array(*[entry(n, c, i) for n, (c, i, _) in enumerate(targets)]))
-    values = [f"_v_{c}" for c in wanted]
+    values = [f"_v_{n}" for n in range(len(columns))]
     counted = (
-        bounded.where(F.size(entries) > 0).select(group, F.inline(entries))
-        .groupBy(group, "_target", *values).agg(F.count(F.lit(1)).alias("_n"))
+        df.select(group.alias(GROUP), F.inline(F.array(*[entry(n) for n in range(len(columns))])))
+        .groupBy(GROUP, OF, *values).agg(F.count_if("_held").alias("_n"))
     )
-    # One value column is filled per target, so the order is that of its values.
-    upward = Window.partitionBy(group, "_target").orderBy(*values)
-    reached = F.sum("_n").over(upward.rowsBetween(Window.unboundedPreceding, 0))
-    cumulated = counted.withColumn("_reached", reached).withColumnRenamed(group, "_of")
+    # The numbers of the ranges are used twice, so they have to be fixed.
+    return cut_lineage(
+        counted.repartitionByRange(GROUP, OF, *values).withColumn(PART, F.spark_partition_id()))
 
-    def rank(column: str, share: float) -> Column:
-        exact = F.ceil(F.lit(Decimal(str(share))) * F.col(f"_rows_{column}")).cast("bigint")
-        return F.greatest(exact, F.lit(1).cast("bigint"))
 
-    joined = below.join(cumulated, F.col(group).eqNullSafe(F.col("_of")), "left").drop("_of")
-
-    def found(number: int, column: str, share: float) -> Column:
-        below_it = F.col(f"_below_{number}")
-        hit = (F.col("_target") == number) & (below_it + F.col("_reached") >= rank(column, share))
-        value = F.min(F.when(hit & (below_it < rank(column, share)), F.col(f"_v_{column}")))
-        rows = F.any_value(f"_rows_{column}")
-        return F.coalesce(value, F.when(
-            rows > 0, F.raise_error(F.lit(f"no rank {share} of {column} inside its bracket"))))
+def exact_quantiles(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], by: str | None = None
+) -> DataFrame:
+    """One row, or one per value of ``by``, with an array of quantiles per column of ``wanted``.
 
+    The quantile of share p is the smallest value with at least p of the non-NULL
+    rows at or below it, in the column's own type.  A column without values gives
+    NULLs, and so does an empty table without ``by``.
+    """
+    columns = list(wanted)
+    values = [f"_v_{n}" for n in range(len(columns))]
+    ranged = ranged_counts(df, F.lit(0) if by is None else F.col(by), columns)
+
+    # One row per range, and one more where a range holds the end of one group and the next.
+    parts = ranged.groupBy(GROUP, OF, PART).agg(F.sum("_n").alias("_sum"))
+    up = Window.partitionBy(GROUP, OF).orderBy(PART)
+    upto = F.sum("_sum").over(up.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = parts.withColumns({"_upto": upto, "_rows": F.sum("_sum").over(Window.partitionBy(GROUP, OF))})
+    ranks = F.coalesce(*[
+        F.when(F.col(OF) == n, F.array(*[
+            F.struct(F.lit(i).alias("_i"), rank_of(p, F.col("_rows")).alias("_rank"))
+            for i, p in enumerate(wanted[c])
+        ])) for n, c in enumerate(columns)
+    ])
+    targets = (
+        placed.select(GROUP, OF, PART, "_upto", "_sum", F.inline(ranks))
+        .where((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_sum")))
+        .select(F.col(GROUP).alias("_g"), F.col(OF).alias("_o"), F.col(PART).alias("_p"), "_i",
+                (F.col("_rank") - (F.col("_upto") - F.col("_sum"))).alias("_rank"))
+    )
+    met = ranged.join(
+        targets, F.col(GROUP).eqNullSafe(F.col("_g")) & (F.col(OF) == F.col("_o")) & (F.col(PART) == F.col("_p")))
+    inside = Window.partitionBy(GROUP, OF, PART, "_i").orderBy(*values)
+    reached = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    hits = met.withColumn("_reached", reached).where(
+        (F.col("_reached") >= F.col("_rank")) & (F.col("_reached") - F.col("_n") < F.col("_rank")))
+
+    # Groups without a value have no hit but still a row.
+    blank = parts.select(GROUP).distinct().select(
+        GROUP, F.lit(-1).alias(OF), F.lit(-1).alias("_i"),
+        *[F.lit(None).cast(df.schema[c].dataType).alias(v) for c, v in zip(columns, values)])
+    every = hits.select(GROUP, OF, "_i", *values).unionByName(blank)
     arrays = [
-        F.array(*[found(n, c, p) for n, (c, _, p) in enumerate(targets) if c == column]).alias(column)
-        for column in wanted
+        F.array(*[
+            F.max(F.when((F.col(OF) == n) & (F.col("_i") == i), F.col(values[n])))
+            for i in range(len(wanted[c]))
+        ]).alias(c) for n, c in enumerate(columns)
     ]
-    result = joined.groupBy(group).agg(*arrays)
-    if by is not None:
-        return result
-    # One row even for an empty table, with NULLs.
-    return result.agg(*[
-        F.coalesce(F.any_value(c), F.array(*[F.lit(None).cast(df.schema[c].dataType)] * len(s))).alias(c)
-        for c, s in wanted.items()
-    ])
+    if by is None:
+        return every.agg(*arrays)
+    return every.groupBy(GROUP).agg(*arrays).withColumnRenamed(GROUP, by)

@@ -6,7 +6,6 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from dinerlake.operators import quantiles
 from dinerlake.operators.quantiles import exact_quantiles
 
 SHARES = [0.2, 0.4, 0.6, 0.8]
@@ -34,10 +33,21 @@ def test_one_value_holds_most_rows(spark):
     check(spark, [0] * 30_000 + [rng.randrange(1000) for _ in range(20_000)] + [None] * 5)
 
 
-def test_coarse_sketch_is_still_exact(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 20)
-    rng = random.Random(5)
-    check(spark, [rng.randrange(500) for _ in range(5_000)])
+def test_many_ranges_for_few_values(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        rng = random.Random(5)
+        check(spark, [rng.randrange(500) for _ in range(5_000)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_groups_and_columns_without_values(spark):
+    rows = [("a", 1, 2.5), ("a", 3, None), ("a", 2, None), (None, 7, 1.5), ("b", None, None)]
+    df = spark.createDataFrame(rows, "g string, x int, y double")
+    got = {r.g: (r.x, r.y) for r in exact_quantiles(df, {"x": [0.5, 1.0], "y": [0.5]}, by="g").collect()}
+    assert got == {"a": ([2, 3], [2.5]), None: ([7, 7], [1.5]), "b": ([None, None], [None])}
 
 
 @settings(max_examples=8, deadline=None,

@@ -254,3 +254,13 @@ def test_latest_anchor_is_the_newest_date(spark):
     newest = dt.date(2024, 6, 30)
     mart_ = g1(spark, ("1", "2024-06-30", "1.00"), ("1", "2024-06-29", "2.00"))
     assert [r.order_date for r in views.store_sales_latest(mart_).collect()] == [newest]
+
+
+def test_matrix_takes_its_columns_from_the_data(spark):
+    rows = [("1", day("2024-06-28"), 10.0), ("2", day("2024-06-28"), 20.0)]
+    schema = "restaurant_id string, order_date date, gross_sales_total double"
+    assert metrics.store_day_matrix(spark.createDataFrame(rows, schema), "gross_sales_total").columns == [
+        "order_date", "store_1", "store_2"]
+    rows.append(("77", day("2024-06-29"), 5.0))
+    wide = metrics.store_day_matrix(spark.createDataFrame(rows, schema), "gross_sales_total")
+    assert wide.columns == ["order_date", "store_1", "store_2", "store_77"]

@@ -17,6 +17,7 @@ from dinerlake.sources import jdbc
 from dinerlake.sources import sample_tables as st
 from dinerlake.sources.lakehouse import Lakehouse
 from dinerlake.streaming import daily
+from verification.oracles import STORES
 from verification.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -523,7 +524,7 @@ def store_list(w):
 @query
 def daily_sales_matrix(w):
     trends = views.sales_trends_daily(w.g1())
-    return metrics.store_day_matrix(trends, "gross_sales_total")
+    return metrics.store_day_matrix(trends, "gross_sales_total", STORES)
 
 
 @query
@@ -538,7 +539,7 @@ def daily_sales_matrix_selection(w):
 @query
 def daily_orders_matrix(w):
     trends = views.sales_trends_daily(w.g1())
-    return metrics.store_day_matrix(trends, "orders_count")
+    return metrics.store_day_matrix(trends, "orders_count", STORES)
 
 
 @query
@@ -554,13 +555,13 @@ def top_items_by_store(w):
 @query
 def loyalty_share_matrix(w):
     mix = views.loyalty_mix_daily(w.g1())
-    return metrics.store_day_matrix(mix, "loyalty_orders_pct")
+    return metrics.store_day_matrix(mix, "loyalty_orders_pct", STORES)
 
 
 @query
 def discount_share_matrix(w):
     discounts = views.discounts_daily(w.g4())
-    return metrics.store_day_matrix(discounts, "pct_sales_discounted")
+    return metrics.store_day_matrix(discounts, "pct_sales_discounted", STORES)
 
 
 @query
