@@ -54,6 +54,8 @@ TABLES: dict[str, str] = {
     "silver_order_items": _ITEM_FIELDS
         + ", order_total decimal(12,2), order_date date, ingestion_date date",
     "silver_order_items_options": _OPTION_FIELDS + ", ingestion_date date",
+    "silver_item_locator": "order_id string, lineitem_id string, order_date date, ingestion_date date",
+    "silver_option_locator": "order_id string, lineitem_id string, ingestion_date date",
     "silver_date_dim": """date_key date, year int, month int, day int, week int,
         day_of_week string, is_weekend boolean, is_holiday boolean,
         holiday_name string, ingestion_date date""",
@@ -83,6 +85,8 @@ PARTITION_COLUMN: dict[str, str] = {
     "bronze_date_dim": "ingestion_date",
     "silver_order_items": "ingestion_date",
     "silver_order_items_options": "ingestion_date",
+    "silver_item_locator": "ingestion_date",
+    "silver_option_locator": "ingestion_date",
     "gold_daily_sales_by_store": "order_date",
     "gold_item_sales_by_day": "order_date",
     "gold_customer_facts": "snapshot_date",

@@ -103,6 +103,26 @@ def partition_files(spark: SparkSession, path: str, column: str, value: str) ->
     return {status.getPath().getName() for status in fs.listStatus(folder)}
 
 
+def partition_times(spark: SparkSession, path: str, column: str) -> dict[str, tuple[int, int]]:
+    """Per partition value the times of its oldest and its newest file."""
+    folder, fs = _folder(spark, path)
+    found = {}
+    for status in fs.listStatus(folder) if fs.exists(folder) else ():
+        name = status.getPath().getName()
+        if name.startswith(f"{column}="):
+            times = [
+                f.getModificationTime() for f in fs.listStatus(status.getPath())
+                if not f.getPath().getName().startswith(("_", "."))]
+            if times:
+                found[name.split("=", 1)[1]] = (min(times), max(times))
+    return found
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
     """Remove the folders of these partitions, where there are any."""
     for value in values:

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from dinerlake.schemas import LINE_KEY, columns_of
 from dinerlake.session import cut_lineage
 from dinerlake.sources import files
 from dinerlake.sources.lakehouse import Lakehouse
+from dinerlake.streaming import locator
 
 DAY_MARTS = {
     "gold_daily_sales_by_store": marts.daily_sales_by_store,
@@ -153,7 +155,8 @@ def build_day_marts(
 
     ``before`` holds the lines that a re-run replaced.  A line that came with another date
     before, or does so no more, touches both dates.  All versions of the lines of the touched
-    dates are read, so that each line counts once, on the date of its newest version.
+    dates are read, so that each line counts once, on the date of its newest version; the
+    locator names the ingestion partitions that hold them, and no others are read.
     """
     changed = line_keys(lake, start, end)
     if before is not None:
@@ -161,29 +164,32 @@ def build_day_marts(
     changed = cut_lineage(changed)
     if changed.isEmpty():
         return False
-    items, options = _silver(lake)
-    versions = keep_matching(items, changed, LINE_KEY).select("order_date")
+    locator.refresh(lake)
     # One value per day of the calendar.
-    touched = sorted({
-        r[0] for r in versions.union(changed.select("order_date")).distinct().collect()})
-    same_days = items.filter(F.col("order_date").isin(touched))
-    all_versions = keep_matching(items, same_days, LINE_KEY)
-    current = current_items(all_versions).filter(F.col("order_date").isin(touched))
-    enriched = written_once(
-        lake, enrich_lines(
-            current, current_options(options_of_lines(options, current)), unique_lines=True))
-    _write_day_marts(lake, enriched, touched)
+    dates = locator.order_dates(lake, changed).union(changed.select("order_date"))
+    touched = sorted({r[0] for r in dates.distinct().collect()})
+    keys, items, options = locator.lines_of_dates(lake, touched)
+    current = current_items(keep_matching(items, keys, LINE_KEY)).filter(F.col("order_date").isin(touched))
+    enriched = enrich_lines(
+        current, current_options(options_of_lines(options, current)), unique_lines=True)
+    with written_once(lake, enriched) as once:
+        _write_day_marts(lake, once, touched)
     for table in DAY_MARTS:
         ql.assert_no_nulls(
             lake.range(table, touched[0], touched[-1]), ["order_date", "restaurant_id"])
     return True
 
 
-def written_once(lake: Lakehouse, df: DataFrame) -> DataFrame:
-    """A plain copy of ``df`` beside the tables of the lake, read by everything that follows."""
+@contextmanager
+def written_once(lake: Lakehouse, df: DataFrame) -> Iterator[DataFrame]:
+    """A plain copy of ``df`` beside the tables of the lake, read by everything inside the block.
+
+    It goes when the block ends well and stays after a failure.
+    """
     path = f"{lake.root.rstrip('/')}/work/{uuid.uuid4().hex}"
     files.write_plain(df, path)
-    return files.read_table(lake.spark, path, df.schema)
+    yield files.read_table(lake.spark, path, df.schema)
+    files.remove(lake.spark, path)
 
 
 def _write_day_marts(
@@ -255,10 +261,10 @@ def full_refresh(lake: Lakehouse) -> None:
     The lines are enriched and written once; the marts and the snapshot each read only the
     columns they need of that copy.  Days without lines disappear from the marts.
     """
-    enriched = written_once(lake, _enrich(*_silver(lake)))
-    for table, build in DAY_MARTS.items():
-        lake.swap(table, build(enriched))
-    build_snapshot(lake, enriched=enriched)
+    with written_once(lake, _enrich(*_silver(lake))) as enriched:
+        for table, build in DAY_MARTS.items():
+            lake.swap(table, build(enriched))
+        build_snapshot(lake, enriched=enriched)
 
 
 def replay_day(

@@ -266,3 +266,61 @@ def test_rewrites_make_one_file_per_partition(spark, tmp_path):
     files.swap_write(files.read_table(spark, path).repartition(8), path, "p")
     assert len(list((tmp_path / "t").glob("p=*/*.parquet"))) == 20
     assert files.read_table(spark, path).count() == 2_000
+
+
+def scanned_partitions(df):
+    """How many partitions the file scan of ``df`` has read, by its own metrics."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    return plan.collectLeaves().head().metrics().apply("numPartitions").value()
+
+
+def long_lake(spark, lake):
+    """Sixty days of two lines each; on the last day a line of day 7 comes again."""
+    start = dt.date(2024, 1, 1)
+    days = [start + dt.timedelta(days=n) for n in range(60)]
+    lines = [line(f"o{n}", str(i), str(d)) for n, d in enumerate(days) for i in (1, 2)]
+    opts = [option(f"o{n}", "1", "x", "-1.00", ingested=str(d)) for n, d in enumerate(days)]
+    lake.replace_partitions("silver_order_items", items(spark, *lines))
+    lake.replace_partitions("silver_order_items_options", options(spark, *opts))
+    return days
+
+
+def test_a_day_run_reads_only_the_partitions_that_hold_its_lines(spark, lake):
+    from dinerlake.streaming import locator
+
+    days = long_lake(spark, lake)
+    daily.build_day_marts(lake, days[0], days[-1])
+    # A new version of a line of day 7 comes on day 59, with the date of day 7.
+    again = items(spark, line("o7", "1", str(days[7]), price="9.00", ingested=str(days[59])), line("o59", "1", str(days[59])),
+                  line("o59", "2", str(days[59])))
+    lake.replace_partitions("silver_order_items", again, [days[59]])
+    daily.build_day_marts(lake, days[59], days[59])
+    got = tables(lake)
+    daily.full_refresh(lake)
+    assert tables(lake) == got
+
+    keys, lines, opts = locator.lines_of_dates(lake, [days[7], days[59]])
+    assert scanned_partitions(lines.select("order_id")) == 2
+    assert scanned_partitions(opts.select("order_id")) == 2
+    assert keys.count() == 4
+
+
+def test_the_index_follows_silver(spark, lake):
+    from dinerlake.streaming import locator
+
+    days = long_lake(spark, lake)
+    locator.refresh(lake)
+    assert lake.read("silver_item_locator").count() == 120
+    lake.replace_partitions("silver_order_items", items(spark, line("new", "1", str(days[3]))), [days[3]])
+    lake.replace_partitions("silver_order_items", items(spark), [days[4]])
+    locator.refresh(lake)
+    index = lake.read("silver_item_locator")
+    assert index.count() == 117 and index.filter("order_id = 'new'").count() == 1
+
+
+def test_no_work_copy_is_left(spark, lake, source):
+    daily.run_day(lake, *source, day(D1))
+    daily.full_refresh(lake)
+    folder, fs = files._folder(spark, f"{lake.root}/work")
+    assert list(fs.listStatus(folder)) == []

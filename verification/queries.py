@@ -378,6 +378,12 @@ def moved_line_counts_once(w):
     return _with_moved_lines(w, "moved").read("gold_daily_sales_by_store")
 
 
+@query
+def line_locator(w):
+    """Which ingestion partitions hold which line, after a day whose lines came again on the next."""
+    return _with_moved_lines(w, "located").read("silver_item_locator")
+
+
 @query
 def compact_keeps_marts(w):
     lake = _with_moved_lines(w, "compacted")
