@@ -80,13 +80,19 @@ def discounts_by_day(enriched: DataFrame) -> DataFrame:
 # --- customer facts ---------------------------------------------------------
 
 def customer_features(enriched: DataFrame, snapshot: dt.date) -> DataFrame:
-    """Lifetime and 90-day figures per user, from one pass over the orders.
+    """Lifetime and 90-day figures per user."""
+    return features_of_orders(orders_by_user(enriched), snapshot)
 
-    An order may span two dates.  Rows are therefore merged per (user, order)
+
+def features_of_orders(orders: DataFrame, snapshot: dt.date) -> DataFrame:
+    """Lifetime and 90-day figures per user, from one pass over the rows of ``orders_by_user``.
+
+    These rows are the state that day runs keep: each belongs to one order date, so the dates that
+    a run touches are replaced and all other rows stay as they are.  An order may span two dates.  Rows are therefore merged per (user, order)
     first, which makes the distinct order counts plain counts.  The mean gap
     between consecutive order rows equals (last - first) / (rows - 1).
     """
-    known = enriched.filter(F.col("order_date") <= F.lit(snapshot))
+    known = orders.filter(F.col("order_date") <= F.lit(snapshot))
     day, gross = F.col("order_date"), F.col("order_gross")
 
     def in_window(first: int, last: int) -> Column:
@@ -96,7 +102,7 @@ def customer_features(enriched: DataFrame, snapshot: dt.date) -> DataFrame:
 
     nothing = zero(ORDER_MONEY)
     last_90, prev_90 = in_window(89, 0), in_window(179, 90)
-    per_order = orders_by_user(known).groupBy("user_id", "order_id").agg(
+    per_order = known.groupBy("user_id", "order_id").agg(
         F.min(day).alias("first_date"),
         F.max(day).alias("last_date"),
         F.count(F.lit(1)).alias("order_rows"),
@@ -196,7 +202,12 @@ def rfm_scores(features: DataFrame) -> DataFrame:
 
 def customer_facts(enriched: DataFrame, snapshot: dt.date) -> DataFrame:
     """One row per user as of ``snapshot``."""
-    scored = rfm_scores(customer_features(enriched, snapshot))
+    return facts_of_orders(orders_by_user(enriched), snapshot)
+
+
+def facts_of_orders(orders: DataFrame, snapshot: dt.date) -> DataFrame:
+    """One row per user as of ``snapshot``, from the rows of ``orders_by_user``."""
+    scored = rfm_scores(features_of_orders(orders, snapshot))
     money = ["lifetime_gross_sales", "avg_order_value", "last_90d_sales", "prev_90d_sales"]
     shaped = scored.withColumns({c: F.col(c).cast(MART_MONEY) for c in money})
     return shaped.withColumn("snapshot_date", F.lit(snapshot)).select(

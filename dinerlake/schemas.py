@@ -59,6 +59,8 @@ TABLES: dict[str, str] = {
     "silver_date_dim": """date_key date, year int, month int, day int, week int,
         day_of_week string, is_weekend boolean, is_holiday boolean,
         holiday_name string, ingestion_date date""",
+    "gold_user_orders": """user_id string, order_date date, order_id string,
+        order_gross decimal(18,2), order_items_count bigint, is_loyalty_order boolean""",
     "gold_daily_sales_by_store": """restaurant_id string, item_sales decimal(18,2),
         option_sales decimal(18,2), gross_sales_total decimal(18,2), orders_count bigint,
         items_count bigint, loyalty_sales decimal(18,2), loyalty_orders bigint,
@@ -87,6 +89,7 @@ PARTITION_COLUMN: dict[str, str] = {
     "silver_order_items_options": "ingestion_date",
     "silver_item_locator": "ingestion_date",
     "silver_option_locator": "ingestion_date",
+    "gold_user_orders": "order_date",
     "gold_daily_sales_by_store": "order_date",
     "gold_item_sales_by_day": "order_date",
     "gold_customer_facts": "snapshot_date",

@@ -21,7 +21,7 @@ from dinerlake.operators import quality as ql
 from dinerlake.operators.calendar import date_dim, upsert_dates
 from dinerlake.operators.dedupe import current_items, current_options
 from dinerlake.operators.joins import keep_matching
-from dinerlake.operators.lines import enrich_lines, options_of_lines
+from dinerlake.operators.lines import enrich_lines, options_of_lines, orders_by_user
 from dinerlake.plans import marts
 from dinerlake.plans import silver as sv
 from dinerlake.schemas import LINE_KEY, columns_of
@@ -36,6 +36,10 @@ DAY_MARTS = {
     "gold_discounts_by_day": marts.discounts_by_day,
 }
 
+# Kept by order date as well: what the customer snapshot is made of.
+STATE = "gold_user_orders"
+DAY_TABLES = DAY_MARTS | {STATE: orders_by_user}
+
 
 def yesterday() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
@@ -164,6 +168,9 @@ def build_day_marts(
     changed = cut_lineage(changed)
     if changed.isEmpty():
         return False
+    if lake.find(STATE) is None and lake.find("gold_daily_sales_by_store") is not None:
+        # A lake from before the state was kept: once, from the whole of silver.
+        lake.swap(STATE, orders_by_user(_enrich(*_silver(lake))))
     locator.refresh(lake)
     # One value per day of the calendar.
     dates = locator.order_dates(lake, changed).union(changed.select("order_date"))
@@ -195,20 +202,31 @@ def written_once(lake: Lakehouse, df: DataFrame) -> Iterator[DataFrame]:
 def _write_day_marts(
     lake: Lakehouse, enriched: DataFrame, days: Sequence[dt.date] | None = None
 ) -> None:
-    for table, build in DAY_MARTS.items():
+    for table, build in DAY_TABLES.items():
         lake.replace_partitions(table, build(enriched), days)
 
 
-def build_snapshot(
-    lake: Lakehouse, snapshot: dt.date | None = None, enriched: DataFrame | None = None
-) -> dt.date:
-    """Write the customer facts of one snapshot date, by default the newest order date."""
-    items, options = _silver(lake)
-    newest = items.agg(F.max("order_date")).first()[0]
+def newest_order_date(lake: Lakehouse) -> dt.date | None:
+    """From the partitions of the store-day mart, which has every date with lines."""
+    days = lake.find("gold_daily_sales_by_store")
+    return None if days is None else days.agg(F.max("order_date")).first()[0]
+
+
+def build_snapshot(lake: Lakehouse, snapshot: dt.date | None = None) -> dt.date:
+    """Write the customer facts of one snapshot date, by default the newest order date.
+
+    They come from the orders per user that the day runs keep by order date; lines are read
+    only in a lake whose marts were never built.
+    """
+    newest, orders = newest_order_date(lake), lake.find(STATE)
+    if newest is None or orders is None:
+        items, options = _silver(lake)
+        newest = items.agg(F.max("order_date")).first()[0]
+        orders = orders_by_user(_enrich(items, options))
     if newest is None:
         raise ql.QualityError("silver_order_items has no rows to take a snapshot of")
     chosen = snapshot or newest
-    facts = marts.customer_facts(_enrich(items, options) if enriched is None else enriched, chosen)
+    facts = marts.facts_of_orders(orders, chosen)
     lake.replace_partitions("gold_customer_facts", facts, [chosen])
     written = lake.days("gold_customer_facts", chosen)
     if written is None:
@@ -262,9 +280,9 @@ def full_refresh(lake: Lakehouse) -> None:
     columns they need of that copy.  Days without lines disappear from the marts.
     """
     with written_once(lake, _enrich(*_silver(lake))) as enriched:
-        for table, build in DAY_MARTS.items():
+        for table, build in DAY_TABLES.items():
             lake.swap(table, build(enriched))
-        build_snapshot(lake, enriched=enriched)
+    build_snapshot(lake)
 
 
 def replay_day(

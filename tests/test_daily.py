@@ -324,3 +324,25 @@ def test_no_work_copy_is_left(spark, lake, source):
     daily.full_refresh(lake)
     folder, fs = files._folder(spark, f"{lake.root}/work")
     assert list(fs.listStatus(folder)) == []
+
+
+def test_the_snapshot_comes_from_the_kept_orders(spark, lake, monkeypatch):
+    """Late and moved lines over several runs: the same facts as from all lines, which are not read."""
+    start = dt.date(2024, 1, 1)
+    lake.replace_partitions("silver_order_items", items(spark, *[
+        line(f"o{n}", i, str(start + dt.timedelta(days=n)), user=f"u{n % 3}", price=f"{n + 1}.00")
+        for n in (0, 5, 20, 100, 150) for i in ("1", "2")]))
+    lake.replace_partitions("silver_order_items_options", options(spark, option("o5", "1", "x", "-1.00", ingested="2024-01-06")))
+    daily.build_day_marts(lake, start, start + dt.timedelta(days=200))
+    # Day 160: a late order of day 50, a line of day 100 moved to day 99, one of a user unknown so far.
+    when = start + dt.timedelta(days=160)
+    lake.replace_partitions("silver_order_items", items(
+        spark, line("late", "1", str(start + dt.timedelta(days=50)), user="u1", ingested=str(when)),
+        line("o100", "1", str(start + dt.timedelta(days=99)), user="u1", price="7.00", ingested=str(when)),
+        line("new", "1", str(when), user="u9")), [when])
+    daily.build_day_marts(lake, when, when)
+    whole = rows(daily.marts.customer_facts(daily._enrich(*daily._silver(lake)), when))
+    monkeypatch.setattr(daily, "_silver", None)  # no way to the lines
+    assert daily.build_snapshot(lake) == when
+    assert rows(lake.read("gold_customer_facts").select(
+        *daily.columns_of("gold_customer_facts"))) == whole and len(whole) == 4

@@ -378,6 +378,12 @@ def moved_line_counts_once(w):
     return _with_moved_lines(w, "moved").read("gold_daily_sales_by_store")
 
 
+@query
+def user_orders_state(w):
+    """Orders per user as the day runs keep them, after lines have moved to another date."""
+    return _with_moved_lines(w, "state").read("gold_user_orders")
+
+
 @query
 def line_locator(w):
     """Which ingestion partitions hold which line, after a day whose lines came again on the next."""
