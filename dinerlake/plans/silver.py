@@ -19,6 +19,7 @@ from dinerlake.operators.joins import join_to_unique, keep_matching
 from dinerlake.schemas import (
     LINE_KEY, MAX_CATEGORY, MAX_NAME, OPTION_KEY, UNIT_PRICE, columns_of,
 )
+from dinerlake.session import cut_lineage
 
 
 # --- raw text ---------------------------------------------------------------
@@ -48,15 +49,35 @@ def one_per(df: DataFrame, keys: list[str]) -> DataFrame:
     return first_per_key(df, keys, rest)
 
 
-def one_per_full_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key; rows with a NULL in the key are no copies of each other and all stay."""
-    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
-    return one_per(df.filter(full), keys).unionByName(df.filter(~full))
+def counted_per_key(df: DataFrame, keys: list[str], alone: Column) -> DataFrame:
+    """One row per key, chosen by all other columns, with the number of its ``copies``.
+
+    Rows for which ``alone`` holds are no copies of each other and all stay: each takes a number of
+    its own into the key, which also spreads them over the tasks.  The choice is a minimum, NULLs
+    last, so the copies of a key collapse in each task before the shuffle, and ``df`` is read once.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    ranked = F.struct(*[
+        field for i, c in enumerate(rest)
+        for field in (F.col(c).isNull().alias(f"null_{i}"), F.col(c).alias(f"value_{i}"))])
+    own = F.when(alone, F.monotonically_increasing_id())
+    least = df.select(*keys, own.alias("_own"), ranked.alias("_row")).groupBy(*keys, "_own").agg(
+        F.min("_row").alias("_row"), F.count(F.lit(1)).alias("copies"))
+    chosen = {c: F.col(f"_row.value_{i}").alias(c) for i, c in enumerate(rest)}
+    return least.select(*[chosen.get(c, F.col(c)) for c in df.columns], "copies")
+
+
+def counted_items(raw: DataFrame) -> DataFrame:
+    """Typed lines with ``copies`` and their reject reason or NULL; one per (order, line) where
+    both are known."""
+    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in LINE_KEY])
+    return ql.with_reason(
+        counted_per_key(typed_items(raw), LINE_KEY, keyless), ql.item_reject_reason())
 
 
 def judged_items(raw: DataFrame) -> DataFrame:
     """Typed lines with their reject reason or NULL; one per (order, line) where both are known."""
-    return ql.with_reason(one_per_full_key(typed_items(raw), LINE_KEY), ql.item_reject_reason())
+    return counted_items(raw).drop("copies")
 
 
 def clean_items(raw: DataFrame) -> DataFrame:
@@ -79,6 +100,11 @@ def judged_options(raw: DataFrame) -> DataFrame:
     return ql.with_reason(typed_options(raw), ql.option_reject_reason())
 
 
+def counted_options(raw: DataFrame) -> DataFrame:
+    """Judged options with ``copies``; one per key of the good ones, all of the others."""
+    return counted_per_key(judged_options(raw), OPTION_KEY, F.col("reason").isNotNull())
+
+
 def clean_options(raw: DataFrame) -> DataFrame:
     return one_per(ql.accepted(judged_options(raw)), OPTION_KEY)
 
@@ -162,50 +188,56 @@ def seed(raw_items: DataFrame, raw_options: DataFrame, raw_dates: DataFrame) ->
         judged_items(raw_items), judged_options(raw_options), judged_dates(raw_dates))
 
 
+def with_parent(options: DataFrame, items: DataFrame) -> DataFrame:
+    """Judged options with ``has_parent``: true where a good line has their key, else NULL."""
+    parents = ql.accepted(items).select(*LINE_KEY, F.lit(True).alias("has_parent"))
+    return join_to_unique(options, parents, LINE_KEY)
+
+
 def loss_audit(
     raw_items: DataFrame, raw_options: DataFrame, raw_dates: DataFrame
 ) -> DataFrame:
     """How many rows each cleansing step lost, as (metric, rows).
 
-    Every table is counted in one pass into one row; the rows are stacked, and
-    the duplicates removed are the sum of a positive and a negative count.
+    Each raw table is scanned once.  The keys and reasons of the lines are written once, as both
+    their own counts and the options' parents come from them.
     """
-    total, reason = F.count(F.lit(1)), F.col("reason")
+    items = cut_lineage(counted_items(raw_items).select(*LINE_KEY, "reason", "copies"))
+    options = with_parent(counted_options(raw_options), items)
+    return audit_of(items, options, judged_dates(raw_dates))
+
+
+def audit_of(items: DataFrame, options: DataFrame, dates: DataFrame) -> DataFrame:
+    """The loss audit from counted lines, counted options with ``has_parent`` and judged dates.
+
+    Every table is counted in one pass into one row; the rows are stacked.
+    """
+    total, copies, reason = F.count(F.lit(1)), F.coalesce(F.sum("copies"), F.lit(0)), F.col("reason")
     good, bad = F.count_if(reason.isNull()), F.count_if(reason.isNotNull())
-    judged = judged_items(raw_items)
-    parents = ql.accepted(judged).select(*LINE_KEY, F.lit(True).alias("has_parent"))
     counts = [
-        raw_items.agg(
-            total.alias("items_raw"),
-            total.alias("items_after_casts"),
-            total.alias("items_dupes_removed"),
-        ),
-        judged.agg(
-            (-total).alias("items_dupes_removed"),
+        items.agg(
+            copies.alias("items_raw"),
+            copies.alias("items_after_casts"),
+            (copies - total).alias("items_dupes_removed"),
             good.alias("items_clean"),
             bad.alias("items_rejected"),
             *[F.count_if(reason == r).alias(f"items_rejected_{r}") for r, _ in ql.ITEM_RULES],
         ),
-        judged_options(raw_options).agg(
-            total.alias("opts_raw"),
+        options.agg(
+            copies.alias("opts_raw"),
             bad.alias("opts_rejected"),
             *[F.count_if(reason == r).alias(f"opts_rejected_{r}") for r, _ in ql.OPTION_RULES],
-            good.alias("opts_dupes_removed"),
-        ),
-        join_to_unique(clean_options(raw_options), parents, LINE_KEY).agg(
-            total.alias("opts_clean"),
-            (-total).alias("opts_dupes_removed"),
-            F.count("has_parent").alias("opts_parented"),
-            F.count_if(F.col("has_parent").isNull()).alias("opts_orphans"),
+            good.alias("opts_clean"),
+            (copies - total).alias("opts_dupes_removed"),
+            F.count_if(reason.isNull() & F.col("has_parent").isNotNull()).alias("opts_parented"),
+            F.count_if(reason.isNull() & F.col("has_parent").isNull()).alias("opts_orphans"),
         ),
-        judged_dates(raw_dates).agg(
+        dates.agg(
             total.alias("date_dim_raw"), bad.alias("date_dim_bad"), good.alias("date_dim_good")
         ),
     ]
     stacked = [c.unpivot([], c.columns, "metric", "rows") for c in counts]
-    return reduce(DataFrame.unionByName, stacked).groupBy("metric").agg(
-        F.sum("rows").alias("rows")
-    )
+    return reduce(DataFrame.unionByName, stacked)
 
 
 # --- bronze -----------------------------------------------------------------

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dinerlake.operators import quality as ql
+from dinerlake.plans import delivery
 from dinerlake.plans import silver as sv
 from dinerlake.schemas import RAW_DATES, RAW_ITEMS, RAW_OPTIONS
 from dinerlake.sources import files
@@ -164,3 +165,42 @@ def test_csv_source_reads_text(spark, tmp_path):
     df = files.read_csv(spark, str(path), RAW_ITEMS)
     assert {f.dataType.typeName() for f in df.schema} == {"string"}
     assert str(sv.clean_items(df).first().item_price) == "5.00"
+
+
+def test_copies_are_counted_and_keyless_rows_stay(spark):
+    df = spark.createDataFrame(
+        [("a", "1", None), ("a", "1", "x"), ("a", "1", "b"), ("a", None, "z"), ("a", None, "z")],
+        "order_id string, lineitem_id string, item_name string")
+    got = sv.counted_per_key(df, ["order_id", "lineitem_id"], F.col("lineitem_id").isNull())
+    line = F.coalesce("lineitem_id", F.lit("-"))
+    assert rows(got, line, "item_name", "copies") == [("-", "z", 1), ("-", "z", 1), ("1", "b", 3)]
+    assert got.columns == [*df.columns, "copies"]
+
+
+def test_each_raw_table_is_scanned_once(spark, work):
+    for raw, build in ((work.raw_items(), sv.counted_items), (work.raw_options(), sv.counted_options)):
+        plan = build(raw)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Window" not in plan
+
+
+def test_delivery_keeps_every_row_by_verdict(spark, tmp_path, raw_items, raw_options, raw_dates):
+    seed = sv.seed(raw_items, raw_options, raw_dates)
+    for _ in range(2):
+        kept = delivery.deliver(spark, str(tmp_path / "d"), raw_items, raw_options, raw_dates)
+    for name in ("items", "options", "dates", "rejected_items", "rejected_options",
+                 "orphan_options", "rejected_dates"):
+        left, right = getattr(kept.seed(), name), getattr(seed, name)
+        assert left.columns == right.columns and left.exceptAll(right).isEmpty()
+        assert right.exceptAll(left).isEmpty()
+    assert dict(rows(kept.audit())) == dict(rows(sv.loss_audit(raw_items, raw_options, raw_dates)))
+    clean = kept.seed().items._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in clean and "FileScan" in clean and "Exchange" not in clean
+
+
+def test_delivery_without_rows_replaces_the_last(spark, tmp_path, raw_items, raw_options, raw_dates):
+    root = str(tmp_path / "d")
+    delivery.deliver(spark, root, raw_items, raw_options, raw_dates)
+    nothing = [df.limit(0) for df in (raw_items, raw_options, raw_dates)]
+    kept = delivery.deliver(spark, root, *nothing)
+    assert kept.seed().items.isEmpty() and kept.seed().rejected_options.isEmpty()
+    assert set(dict(rows(kept.audit())).values()) == {0}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dinerlake.functions import cleansing as cl
 from dinerlake.operators import dedupe, lines, quality
 from dinerlake.operators.calendar import upsert_dates
-from dinerlake.plans import marts, metrics, reports, silver, views
+from dinerlake.plans import delivery, marts, metrics, reports, silver, views
 from dinerlake.schemas import RAW_ITEMS
 from dinerlake.sources import files
 from dinerlake.sources import jdbc
@@ -221,6 +221,33 @@ def loss_audit(w):
     return silver.loss_audit(w.raw_items(), w.raw_options(), w.raw_dates())
 
 
+def _delivery(w, name):
+    return delivery.deliver(
+        w.spark, f"{w.root}/{name}", w.raw_items(), w.raw_options(), w.raw_dates())
+
+
+@query
+def delivery_options(w):
+    """Clean options of a delivery that is read once and kept by verdict."""
+    return _delivery(w, "delivery").seed().options
+
+
+@query
+def delivery_rejects(w):
+    """Rejected lines and options and options without a parent, from the same copies."""
+    kept = _delivery(w, "delivery_rejects").seed()
+    parts = {"items": kept.rejected_items, "options": kept.rejected_options, "orphans": kept.orphan_options}
+    rejects = [
+        df.select(F.lit(name).alias("source"), "order_id", "lineitem_id", "reason")
+        for name, df in parts.items()]
+    return rejects[0].unionByName(rejects[1]).unionByName(rejects[2])
+
+
+@query
+def delivery_audit(w):
+    return _delivery(w, "delivery_audit").audit()
+
+
 @query
 def reconcile_g2(w):
     return quality.reconcile_items(w.g2())

@@ -34,7 +34,8 @@ class Workspace:
     def _copy(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
         if path not in _written:
-            write_plain(build(), path)
+            # The sample files have one row group each; the copies are read by all cores.
+            write_plain(build().hint("rebalance"), path)
             _written.add(path)
         return self.spark.read.parquet(path)
 
