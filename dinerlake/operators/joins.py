@@ -39,3 +39,17 @@ def keep_matching(left: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> D
 def drop_matching(left: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``keys_of`` (anti join)."""
     return join_to_unique(left, keys_of.select(*keys).distinct(), keys, "left_anti")
+
+
+def drop_older(df: DataFrame, newest: DataFrame, keys: Sequence[str], column: str, last: str) -> DataFrame:
+    """Rows of ``df`` but those whose key has a greater ``last`` in ``newest`` (one row per key).
+
+    Keys are compared as columns, NULL with NULL.
+    """
+    key_hash = F.xxhash64(*keys).alias("_key_hash")
+    left = df.select("*", key_hash).alias("l")
+    right = newest.select(*keys, last, key_hash).alias("r")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
+    older = F.coalesce(F.col(f"l.{column}") < F.col(f"r.{last}"), F.lit(False))
+    met = [F.col("l._key_hash") == F.col("r._key_hash"), *same, older]
+    return left.join(right, met, "left_anti").drop("_key_hash")

@@ -8,8 +8,14 @@ from dinerlake.schemas import PARTITION_COLUMN, TABLES
 
 
 def create_table(spark: SparkSession, name: str, location: str, database: str = "default") -> str:
-    """External parquet table with the declared columns and partitions."""
+    """External parquet table with the declared columns and partitions.
+
+    A table of that name over another folder is replaced; the files of both stay.
+    """
     full = f"{database}.{name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if spark.catalog.tableExists(full) and not _lies_in(spark, full, location):
+        spark.sql(f"DROP TABLE {full}")
     partition = PARTITION_COLUMN.get(name)
     clause = f"PARTITIONED BY ({partition})" if partition else ""
     spark.sql(
@@ -19,6 +25,12 @@ def create_table(spark: SparkSession, name: str, location: str, database: str =
     return full
 
 
+def _lies_in(spark: SparkSession, full_name: str, location: str) -> bool:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name}").filter("col_name = 'Location'").first()
+    held = described.data_type if described else ""
+    return held.rstrip("/").split(":", 1)[-1].lstrip("/") == location.rstrip("/").split(":", 1)[-1].lstrip("/")
+
+
 def repair(spark: SparkSession, full_name: str) -> None:
     """Register every partition folder found on storage."""
     spark.sql(f"MSCK REPAIR TABLE {full_name}")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dinerlake.operators.quality import QualityError
 from dinerlake.schemas import PARTITION_COLUMN, columns_of, schema_of
-from dinerlake.sources import files
+from dinerlake.sources import files, versions
 
 
 @dataclass(frozen=True)
@@ -18,10 +18,14 @@ class Lakehouse:
     spark: SparkSession
     root: str
 
-    def path(self, table: str) -> str:
+    def home(self, table: str) -> str:
         layer, name = table.split("_", 1)
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
+    def path(self, table: str) -> str:
+        """The folder that holds the table now; another one after each ``swap``."""
+        return versions.location(self.spark, self.home(table))
+
     def read(self, table: str) -> DataFrame:
         """The table with its declared schema; an error when it was never written."""
         found = self.find(table)
@@ -61,7 +65,7 @@ class Lakehouse:
         )
 
     def swap(self, table: str, df: DataFrame) -> None:
-        """Rewrite the whole table, which ``df`` may be read from."""
-        files.swap_write(
-            df.select(*columns_of(table)), self.path(table), PARTITION_COLUMN.get(table)
+        """Rewrite the whole table, which ``df`` may be read from, in one step for its readers."""
+        versions.rewrite(
+            df.select(*columns_of(table)), self.home(table), PARTITION_COLUMN.get(table)
         )

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from dinerlake.operators import quality as ql
 from dinerlake.operators.calendar import date_dim, upsert_dates
 from dinerlake.operators.dedupe import current_items, current_options
-from dinerlake.operators.joins import keep_matching
+from dinerlake.operators.joins import drop_older, keep_matching
 from dinerlake.operators.lines import enrich_lines, options_of_lines, orders_by_user
 from dinerlake.plans import marts
 from dinerlake.plans import silver as sv
-from dinerlake.schemas import LINE_KEY, columns_of
+from dinerlake.schemas import LINE_KEY, OPTION_KEY, columns_of
 from dinerlake.session import cut_lineage
 from dinerlake.sources import files
 from dinerlake.sources.lakehouse import Lakehouse
@@ -106,11 +106,48 @@ def refine(lake: Lakehouse, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def compact(lake: Lakehouse) -> None:
-    """Rewrite silver with only the newest version of each line and option."""
-    lake.swap("silver_order_items", current_items(lake.read("silver_order_items")))
-    lake.swap(
-        "silver_order_items_options", current_options(lake.read("silver_order_items_options"))
-    )
+    """Keep only the newest version of each line and option.
+
+    Only the partitions that hold a superseded version are read whole and written; the others
+    keep their files.  A partition that was rewritten and one that was not yet give the same
+    newest versions, so a compaction that fails midway can simply be run again.
+    """
+    _compact(lake, "silver_order_items", LINE_KEY, current_items)
+    _compact(lake, "silver_order_items_options", OPTION_KEY, current_options)
+
+
+def _compact(
+    lake: Lakehouse, table: str, keys: Sequence[str], newest: Callable[[DataFrame], DataFrame]
+) -> None:
+    several = cut_lineage(several_versions(lake.read(table), keys))
+    # One value per day of the calendar.
+    days = [r[0] for r in several.select(F.explode("days")).distinct().collect()]
+    if not days:
+        return
+    if None in days:
+        lake.swap(table, newest(lake.read(table)))
+        return
+    dirty = drop_older(
+        locator.parts(lake, table, days), several, keys, "ingestion_date", "last")
+    with written_once(lake, newest(dirty)) as kept:
+        lake.replace_partitions(table, kept, days)
+
+
+def several_versions(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with a superseded version: their ``last`` ingestion date and the ``days`` that hold one.
+
+    The newest day is among them if it has the key more than once.
+    """
+    per_day = rows.groupBy(*keys, "ingestion_date").agg(F.count(F.lit(1)).alias("n"))
+    per_key = per_day.groupBy(*keys).agg(
+        F.max(F.struct("ingestion_date", "n")).alias("top"),
+        # At most one per day of the calendar.
+        F.collect_list(F.struct("ingestion_date")).alias("days"))
+    single = F.col("top.n") == 1
+    old = F.filter("days", lambda d: ~d.ingestion_date.eqNullSafe(F.col("top.ingestion_date")) | ~single)
+    return per_key.select(
+        *keys, F.col("top.ingestion_date").alias("last"), F.transform(old, lambda d: d.ingestion_date).alias("days")
+    ).filter(F.size("days") > 0)
 
 
 def refresh_dates(
@@ -288,14 +325,25 @@ def full_refresh(lake: Lakehouse) -> None:
 def replay_day(
     lake: Lakehouse, source: dt.date, target: dt.date, limit: int, ingested: dt.date
 ) -> None:
-    """Append a sample of the source day to bronze as if it came on the target day."""
+    """Append a sample of the source day to bronze as if it came on the target day.
+
+    The same replay run again adds only the rows that are not there yet: none after a run that
+    ended well, the rest after one that failed between the lines and their options.
+    """
     day = str(source)  # the partition is the creation day
     items = lake.range("bronze_order_items", day, day).drop("ingestion_date")
     options = lake.range("bronze_order_items_options", day, day).drop("ingestion_date").distinct()
     sampled = cut_lineage(sv.replayed_items(items, source, target, limit, ingested))
-    text = F.col("ingestion_date").cast("string")
-    lake.append("bronze_order_items", sampled.withColumn("ingestion_date", text))
-    lake.append(
-        "bronze_order_items_options",
-        sv.replayed_options(options, sampled, target, ingested).withColumn("ingestion_date", text),
-    )
+    _append_new(lake, "bronze_order_items", sampled, ingested)
+    _append_new(
+        lake, "bronze_order_items_options",
+        sv.replayed_options(options, sampled, target, ingested), ingested)
+
+
+def _append_new(lake: Lakehouse, table: str, rows: DataFrame, ingested: dt.date) -> None:
+    """Append the rows that their ingestion partition does not hold; that partition alone is read."""
+    text = rows.withColumn("ingestion_date", F.col("ingestion_date").cast("string"))
+    named = text.select(*columns_of(table))
+    missing = cut_lineage(named.subtract(lake.range(table, str(ingested), str(ingested))))
+    if not missing.isEmpty():
+        lake.append(table, missing)

@@ -346,3 +346,71 @@ def test_the_snapshot_comes_from_the_kept_orders(spark, lake, monkeypatch):
     assert daily.build_snapshot(lake) == when
     assert rows(lake.read("gold_customer_facts").select(
         *daily.columns_of("gold_customer_facts"))) == whole and len(whole) == 4
+
+
+def test_a_rewrite_that_fails_leaves_the_table_and_is_written_once(spark, lake, monkeypatch):
+    from dinerlake.sources import versions
+
+    lake.replace_partitions("silver_order_items", items(spark, line("a", "1", D1), line("b", "1", D2)))
+    old = rows(lake.read("silver_order_items"))
+    reader = lake.read("silver_order_items")
+    changed = lake.read("silver_order_items").filter("order_id = 'a'")
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.swap("silver_order_items", changed)
+    assert rows(lake.read("silver_order_items")) == old
+    lake.swap("silver_order_items", changed)
+    assert rows(lake.read("silver_order_items"), "order_id") == [("a",)]
+    assert rows(reader) == old                  # the files that a reader has listed are still there
+    home = lake.home("silver_order_items")
+    assert versions._numbers(spark, home, "data") == [2]        # the failed one is gone
+    lake.swap("silver_order_items", lake.read("silver_order_items").limit(0))
+    assert lake.read("silver_order_items").isEmpty()
+    lake.replace_partitions("silver_order_items", items(spark, line("c", "1", D3)))
+    assert rows(lake.read("silver_order_items"), "order_id") == [("c",)]
+    assert versions._numbers(spark, home, "data") == [2, 3]     # the newest and the one before
+
+
+def test_compaction_keeps_the_files_of_partitions_without_old_versions(spark, lake):
+    days = long_lake(spark, lake)
+    again = items(spark, line("o7", "1", str(days[7]), price="9.00", ingested=str(days[59])),
+                  line("o59", "1", str(days[59])), line("o59", "2", str(days[59])))
+    lake.replace_partitions("silver_order_items", again, [days[59]])
+    table, column = "silver_order_items", "ingestion_date"
+
+    def names():
+        return {str(d): files.partition_files(spark, lake.path(table), column, str(d)) for d in days}
+
+    before, want = names(), rows(daily.current_items(lake.read(table)).select("order_id", "lineitem_id", "ingestion_date"))
+    daily.compact(lake)
+    after = names()
+    assert [d for d in before if before[d] != after[d]] == [str(days[7])]
+    assert rows(lake.read(table), "order_id", "lineitem_id", "ingestion_date") == want and len(want) == 120
+
+
+def test_compaction_of_copies_within_a_day_and_without_a_key(spark, lake):
+    lake.replace_partitions("silver_order_items", items(
+        spark, line("a", "1", D1, price="5.00", ingested=D2), line("a", "1", D1, price="4.00", ingested=D2),
+        line(None, "1", D1), line(None, "1", D1, price="3.00", ingested=D2), line("z", "1", D3)))
+    lake.replace_partitions("silver_order_items_options", options(spark, option("a", "1", ingested=D1)))
+    want = rows(daily.current_items(lake.read("silver_order_items")).fillna({"order_id": "-"}))
+    daily.compact(lake)
+    got = lake.read("silver_order_items").fillna({"order_id": "-"})
+    assert rows(got) == want and len(want) == 3
+    assert lake.days("silver_order_items", day(D1)) is None
+
+
+def test_a_replay_run_again_adds_only_what_is_missing(lake, source, monkeypatch):
+    daily.run_days(lake, *source, day(D1), day(D3), snapshot=False)
+    target = dt.date(2024, 2, 1)
+    bronze = ["bronze_order_items", "bronze_order_items_options"]
+    with monkeypatch.context() as broken:       # ends after the lines, before their options
+        broken.setattr(daily.sv, "replayed_options", None)
+        with pytest.raises(TypeError):
+            daily.replay_day(lake, day(D1), target, 10, target)
+    daily.replay_day(lake, day(D1), target, 10, target)
+    once = [rows(lake.range(t, str(target), str(target)).select("order_id", "lineitem_id")) for t in bronze]
+    assert [len(found) for found in once] == [2, 1]
+    daily.replay_day(lake, day(D1), target, 10, target)
+    assert once == [rows(lake.range(t, str(target), str(target)).select("order_id", "lineitem_id")) for t in bronze]

@@ -12,7 +12,7 @@ from dinerlake.operators import dedupe, lines, quality
 from dinerlake.operators.calendar import upsert_dates
 from dinerlake.plans import delivery, marts, metrics, reports, silver, views
 from dinerlake.schemas import RAW_ITEMS
-from dinerlake.sources import files
+from dinerlake.sources import catalog, files
 from dinerlake.sources import jdbc
 from dinerlake.sources import sample_tables as st
 from dinerlake.sources.lakehouse import Lakehouse
@@ -425,6 +425,50 @@ def compact_keeps_marts(w):
     return lake.read("gold_daily_sales_by_store")
 
 
+@query
+def compact_rewrites_superseded(w):
+    """Lines of a compacted lake of three days and whether their partition was written anew."""
+    lake, table = _with_moved_lines(w, "partly_compacted"), "silver_order_items"
+    early = w.snapshot() - daily.dt.timedelta(days=2)
+    daily.run_day(lake, _source_items(w), _source_options(w), early, snapshot=False)
+    before = files.partition_times(w.spark, lake.path(table), "ingestion_date")
+    daily.compact(lake)
+    after = files.partition_times(w.spark, lake.path(table), "ingestion_date")
+    rewritten = F.col("ingestion_date").cast("string").isin([d for d in after if after[d] != before[d]])
+    return lake.read(table).select(
+        "order_id", "lineitem_id", "order_date", "ingestion_date", rewritten.alias("rewritten"))
+
+
+@query
+def replay_run_twice(w):
+    """Lines and options that a replay of the newest day appends, when it is run two times over."""
+    lake, source = Lakehouse(w.spark, f"{w.root}/replayed"), w.snapshot()
+    target = str(source + daily.dt.timedelta(days=1))
+    daily.extract(lake, _source_items(w), _source_options(w), source, source)
+    for _ in range(2):
+        daily.replay_day(lake, source, daily.dt.date.fromisoformat(target), 2000, daily.dt.date.fromisoformat(target))
+    columns = ["order_id", "lineitem_id", "name", "price", "quantity", "ingestion_date"]
+    new_lines = lake.range("bronze_order_items", target, target).withColumnsRenamed({
+        "item_name": "name", "item_price": "price", "item_quantity": "quantity"})
+    new_options = lake.range("bronze_order_items_options", target, target).withColumnsRenamed({
+        "option_name": "name", "option_price": "price", "option_quantity": "quantity"})
+    return new_lines.select(F.lit("line").alias("kind"), *columns).unionAll(
+        new_options.select(F.lit("option").alias("kind"), *columns))
+
+
+@query
+def catalog_mart(w):
+    """The store-day mart of the last two days, written and read through a catalog table by day."""
+    table = "gold_daily_sales_by_store"
+    root = f"{w.root}/catalog/{daily.uuid.uuid4().hex[:8]}"
+    full = catalog.create_table(w.spark, table, root, f"mart_{w.root.rsplit('/', 1)[-1]}")
+    for back in (1, 0, 0):  # the newest day twice: its partition is replaced
+        day = w.snapshot() - daily.dt.timedelta(days=back)
+        catalog.insert_overwrite(w.g1().filter(F.col("order_date") == F.lit(day)), full)
+        catalog.add_partition(w.spark, full, "order_date", str(day))
+    return w.spark.table(full)
+
+
 # --- views ------------------------------------------------------------------
 
 @query
