@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,39 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def read_reconciled(
+    spark: SparkSession, path: str, schema: T.StructType, column: str
+) -> DataFrame:
+    """All partitions under the declared ``schema``, whatever columns and types their files have.
+
+    The partitions of ``column`` are grouped by the schema in their footers; each group is read once
+    with its own schema, added columns are left out, absent ones are NULL and others are cast to the
+    declared type.  ``mergeSchema`` fails where types differ.  A value that the declared type cannot
+    hold is an error.  The files of one partition come from one run and are taken to be alike but for
+    added columns.  Filters on ``column`` still prune each group.
+    """
+    groups: dict[str, list[str]] = {}
+    found: dict[str, T.StructType] = {}
+    # One footer per partition; there are as many as the table has days.
+    for value in sorted(partition_times(spark, path, column)):
+        folder = f"{path}/{column}={value}"
+        own = spark.read.option("mergeSchema", "true").parquet(folder).schema
+        key = own.json()
+        found[key] = own
+        groups.setdefault(key, []).append(folder)
+    if not groups:
+        return spark.createDataFrame([], schema)
+    parts = []
+    for key, folders in groups.items():
+        stored = T.StructType([*found[key].fields, schema[column]])
+        rows = spark.read.option("basePath", path).schema(stored).parquet(*folders)
+        have = set(stored.fieldNames())
+        parts.append(rows.select(*[
+            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- sinks ------------------------------------------------------------------
 
 def overwrite_partitions(

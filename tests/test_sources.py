@@ -1,7 +1,10 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import types as T
+
 from dinerlake.schemas import TABLES, schema_of
-from dinerlake.sources import catalog, jdbc
+from dinerlake.sources import catalog, files, jdbc
 from tests.helpers import day, mart, rows
 
 DB = jdbc.JdbcDatabase("jdbc:sqlserver://host", "reader", "secret")
@@ -68,3 +71,22 @@ def test_catalog_table_and_partitions(spark, tmp_path):
 def test_published_views(spark):
     catalog.publish({"v_ten": spark.range(10).toDF("x")})
     assert spark.sql("select count(*) from v_ten").first()[0] == 10
+
+
+def test_partitions_with_other_types_are_read_under_the_declared_schema(spark, tmp_path):
+    path, declared = str(tmp_path / "t"), T.StructType.fromDDL("a decimal(10,2), b string, d date")
+    assert files.read_reconciled(spark, path, declared, "d").isEmpty()
+    for body in ("1 as a, 'x' as b, date'2024-01-01' as d",
+                 "cast(2.5 as decimal(10,2)) as a, date'2024-01-02' as d",
+                 "cast(3 as bigint) as a, 7 as b, true as extra, date'2024-01-03' as d",
+                 "4 as a, 'y' as b, date'2024-01-04' as d"):
+        files.overwrite_partitions(spark.sql(f"select {body}"), path, "d")
+    got = files.read_reconciled(spark, path, declared, "d")
+    assert got.schema.simpleString() == declared.simpleString()
+    assert [(str(r.a), r.b, str(r.d)) for r in got.orderBy("d").collect()] == [
+        ("1.00", "x", "2024-01-01"), ("2.50", None, "2024-01-02"), ("3.00", "7", "2024-01-03"),
+        ("4.00", "y", "2024-01-04")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3          # one for each schema, not for each day
+    with pytest.raises(Exception):
+        files.read_merged(spark, path).collect()

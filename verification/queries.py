@@ -344,6 +344,23 @@ def write_read_dynamic_overwrite(w):
     return files.read_table(w.spark, path).drop("order_year")
 
 
+@query
+def schemas_reconciled(w):
+    """The store-day mart by year, each year written by another run: whole numbers as text and a new
+    column, sums in cents and no loyalty columns, and as declared."""
+    root = f"{w.root}/schemas/{daily.uuid.uuid4().hex[:8]}"
+    yearly = w.g1().withColumn("order_year", F.year("order_date"))
+    turn = F.col("order_year") % 3
+    text = yearly.filter(turn == 0).withColumns({
+        "orders_count": F.col("orders_count").cast("string"), "note": F.lit("x")})
+    narrow = yearly.filter(turn == 1).drop("loyalty_sales", "loyalty_orders").withColumns({
+        "items_count": F.col("items_count").cast("int"), "item_sales": F.col("item_sales").cast("decimal(14,4)")})
+    for part in (text, narrow, yearly.filter(turn == 2)):
+        files.overwrite_partitions(part, root, "order_year")
+    declared = yearly.schema
+    return files.read_reconciled(w.spark, root, declared, "order_year")
+
+
 @query
 def upsert_date_dim(w):
     """Give the newest day a holiday; all other days stay."""
