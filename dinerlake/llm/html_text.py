@@ -1,8 +1,10 @@
 """Main text of web pages from shallow text features.
 
-A page becomes a flat list of text blocks.  Each block has its word count and link density, those of its
-two neighbours, and where it stands (inside an article, inside page furniture, or neither).  A
-decision tree trained on the small table below decides which blocks belong to the article.
+A page becomes a flat list of text blocks.  Each block has its word count and link density and those of its
+two neighbours; a decision tree trained on the small table below turns them into the share of article blocks
+among blocks of that kind.  Nothing else enters the tree.  A block is kept if that share reaches a half.  Markup
+only shifts this bar: inside what the page itself calls its article a block goes only if hardly any block of
+its kind is text (lists of links), and what the page itself calls menu, advert, comment and so on gives no block.
 """
 
 from __future__ import annotations
@@ -70,94 +72,87 @@ TOPS = {"header", "masthead", "title"}  # of a page: furniture; of a text: its h
 OF_TEXT = {"post", "posts", "entry", "article", "articles", "page", "section"}
 
 
-FEATURES = (
-    "words", "links", "words_before", "links_before", "words_after", "links_after", "place", "heading",
-)
-# Labelled blocks: the features above (link density in hundredths; place -1 furniture, 1 article,
-# 0 neither) and whether the block belongs to the article.
+FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading")
+# Labelled blocks: the features above (link density in hundredths) and whether the block belongs to the article.
 LABELLED = (
-    # inside page furniture
-    (1, 100, 0, 0, 1, 100, -1, 0, 0), (2, 100, 1, 100, 1, 100, -1, 0, 0),
-    (8, 0, 1, 100, 9, 0, -1, 0, 0), (14, 0, 12, 100, 60, 0, -1, 0, 0),
-    (40, 0, 60, 0, 0, 0, -1, 0, 0), (95, 0, 80, 0, 0, 0, -1, 0, 0), (12, 30, 120, 0, 0, 0, -1, 0, 0),
-    (5, 0, 30, 0, 40, 0, -1, 1, 0), (60, 5, 70, 0, 80, 0, -1, 0, 0), (25, 0, 200, 0, 25, 0, -1, 0, 0),
     # inside an article
-    (9, 0, 10, 0, 60, 0, 1, 1, 1), (3, 0, 1, 100, 90, 0, 1, 1, 1), (1, 0, 12, 0, 0, 0, 1, 1, 1),
-    (120, 0, 9, 0, 80, 0, 1, 0, 1), (60, 2, 120, 0, 30, 0, 1, 0, 1), (4, 0, 60, 0, 70, 0, 1, 0, 1),
-    (1, 0, 30, 0, 20, 0, 1, 0, 1), (2, 0, 1, 100, 0, 0, 1, 0, 1), (35, 40, 60, 0, 50, 0, 1, 0, 1),
-    (15, 0, 25, 0, 12, 100, 1, 0, 1), (200, 8, 0, 0, 0, 0, 1, 0, 1), (6, 0, 5, 0, 9, 0, 1, 0, 1),
-    (20, 60, 80, 0, 60, 0, 1, 0, 1), (3, 100, 60, 0, 50, 0, 1, 0, 1), (1, 100, 90, 0, 90, 0, 1, 0, 1),
-    (4, 100, 35, 0, 80, 0, 1, 0, 1), (6, 100, 45, 5, 40, 0, 1, 0, 1), (8, 90, 20, 0, 70, 0, 1, 0, 1),
-    (2, 100, 12, 0, 9, 0, 1, 0, 1), (5, 100, 8, 0, 30, 0, 1, 1, 1), (30, 0, 3, 100, 0, 0, 1, 0, 1),
-    (40, 0, 2, 100, 2, 100, 1, 0, 1), (3, 0, 4, 100, 5, 100, 1, 0, 1), (5, 0, 5, 100, 6, 100, 1, 1, 1),
-    (4, 100, 0, 0, 60, 0, 1, 0, 1), (6, 100, 0, 0, 0, 0, 1, 0, 1), (5, 20, 4, 100, 30, 0, 1, 0, 1),
-    (8, 0, 3, 100, 0, 0, 1, 0, 1), (15, 0, 5, 100, 2, 0, 1, 0, 1), (5, 0, 2, 100, 3, 0, 1, 0, 1),
-    (12, 0, 4, 100, 0, 0, 1, 0, 1), (3, 0, 6, 100, 0, 0, 1, 0, 1), (4, 100, 60, 0, 0, 0, 1, 0, 1),
-    (3, 100, 9, 0, 0, 0, 1, 0, 1), (7, 100, 30, 0, 2, 0, 1, 0, 1), (80, 8, 60, 0, 3, 100, 1, 0, 1),
-    (90, 4, 70, 0, 2, 100, 1, 0, 1), (40, 12, 50, 0, 4, 100, 1, 0, 1), (25, 30, 60, 0, 5, 100, 1, 0, 1),
-    (3, 0, 40, 0, 4, 100, 1, 0, 1), (1, 0, 20, 0, 3, 100, 1, 0, 1), (2, 0, 60, 0, 5, 100, 1, 0, 1),
-    (6, 0, 30, 0, 2, 100, 1, 0, 1), (4, 0, 0, 0, 3, 100, 1, 0, 1), (2, 0, 5, 100, 6, 100, 1, 0, 1),
-    (5, 0, 1, 0, 4, 100, 1, 0, 1), (1, 0, 0, 0, 1, 0, 1, 0, 1), (2, 0, 1, 0, 3, 0, 1, 0, 1),
-    (3, 0, 2, 0, 0, 0, 1, 0, 1), (1, 0, 1, 100, 1, 0, 1, 0, 1), (4, 0, 3, 0, 2, 0, 1, 0, 1),
-    (7, 0, 4, 100, 1, 0, 1, 0, 1), (2, 0, 2, 100, 3, 100, 1, 0, 1), (5, 0, 0, 0, 0, 0, 1, 0, 1),
-    (1, 0, 0, 0, 0, 0, 1, 0, 1), (6, 0, 3, 0, 2, 100, 1, 0, 1), (3, 0, 1, 0, 1, 0, 1, 0, 1),
+    (9, 0, 10, 0, 60, 0, 1, 1), (3, 0, 1, 100, 90, 0, 1, 1), (1, 0, 12, 0, 0, 0, 1, 1),
+    (120, 0, 9, 0, 80, 0, 0, 1), (60, 2, 120, 0, 30, 0, 0, 1), (4, 0, 60, 0, 70, 0, 0, 1),
+    (1, 0, 30, 0, 20, 0, 0, 1), (2, 0, 1, 100, 0, 0, 0, 1), (35, 40, 60, 0, 50, 0, 0, 1),
+    (15, 0, 25, 0, 12, 100, 0, 1), (200, 8, 0, 0, 0, 0, 0, 1), (6, 0, 5, 0, 9, 0, 0, 1),
+    (20, 60, 80, 0, 60, 0, 0, 1), (3, 100, 60, 0, 50, 0, 0, 1), (1, 100, 90, 0, 90, 0, 0, 1),
+    (4, 100, 35, 0, 80, 0, 0, 1), (6, 100, 45, 5, 40, 0, 0, 1), (8, 90, 20, 0, 70, 0, 0, 1),
+    (2, 100, 12, 0, 9, 0, 0, 1), (5, 100, 8, 0, 30, 0, 1, 1), (30, 0, 3, 100, 0, 0, 0, 1),
+    (40, 0, 2, 100, 2, 100, 0, 1), (3, 0, 4, 100, 5, 100, 0, 1), (5, 0, 5, 100, 6, 100, 1, 1),
+    (4, 100, 0, 0, 60, 0, 0, 1), (6, 100, 0, 0, 0, 0, 0, 1), (5, 20, 4, 100, 30, 0, 0, 1),
+    (8, 0, 3, 100, 0, 0, 0, 1), (15, 0, 5, 100, 2, 0, 0, 1), (5, 0, 2, 100, 3, 0, 0, 1),
+    (12, 0, 4, 100, 0, 0, 0, 1), (3, 0, 6, 100, 0, 0, 0, 1), (4, 100, 60, 0, 0, 0, 0, 1),
+    (3, 100, 9, 0, 0, 0, 0, 1), (7, 100, 30, 0, 2, 0, 0, 1), (80, 8, 60, 0, 3, 100, 0, 1),
+    (90, 4, 70, 0, 2, 100, 0, 1), (40, 12, 50, 0, 4, 100, 0, 1), (25, 30, 60, 0, 5, 100, 0, 1),
+    (3, 0, 40, 0, 4, 100, 0, 1), (1, 0, 20, 0, 3, 100, 0, 1), (2, 0, 60, 0, 5, 100, 0, 1),
+    (6, 0, 30, 0, 2, 100, 0, 1), (4, 0, 0, 0, 3, 100, 0, 1), (2, 0, 5, 100, 6, 100, 0, 1),
+    (5, 0, 1, 0, 4, 100, 0, 1), (1, 0, 0, 0, 1, 0, 0, 1), (2, 0, 1, 0, 3, 0, 0, 1),
+    (3, 0, 2, 0, 0, 0, 0, 1), (1, 0, 1, 100, 1, 0, 0, 1), (4, 0, 3, 0, 2, 0, 0, 1),
+    (7, 0, 4, 100, 1, 0, 0, 1), (2, 0, 2, 100, 3, 100, 0, 1), (5, 0, 0, 0, 0, 0, 0, 1),
+    (1, 0, 0, 0, 0, 0, 0, 1), (6, 0, 3, 0, 2, 100, 0, 1), (3, 0, 1, 0, 1, 0, 0, 1),
     # lists of links inside an article
-    (5, 100, 6, 100, 7, 100, 1, 0, 0), (2, 100, 2, 100, 1, 100, 1, 0, 0), (8, 100, 9, 100, 8, 100, 1, 0, 0),
-    (1, 100, 1, 100, 1, 100, 1, 0, 0), (12, 95, 10, 100, 11, 100, 1, 0, 0), (6, 100, 5, 100, 4, 100, 1, 0, 0),
-    (4, 100, 5, 100, 0, 0, 1, 0, 0), (7, 100, 8, 100, 0, 0, 1, 0, 0), (2, 100, 1, 100, 0, 0, 1, 0, 0),
-    (5, 100, 4, 100, 40, 0, 1, 0, 0), (3, 100, 3, 100, 60, 0, 1, 0, 0), (9, 90, 7, 100, 25, 0, 1, 0, 0),
-    (6, 100, 50, 0, 5, 100, 1, 0, 0), (3, 100, 70, 0, 4, 100, 1, 0, 0), (8, 100, 2, 0, 9, 100, 1, 0, 0),
-    (4, 100, 0, 0, 5, 100, 1, 0, 0), (10, 85, 30, 0, 12, 90, 1, 0, 0), (2, 100, 4, 0, 3, 100, 1, 0, 0),
-    # in neither
-    (90, 0, 8, 0, 60, 0, 0, 0, 1), (45, 3, 90, 0, 70, 0, 0, 0, 1), (22, 0, 60, 0, 40, 0, 0, 0, 1),
-    (18, 0, 40, 5, 30, 0, 0, 0, 1), (150, 6, 2, 100, 3, 100, 0, 0, 1), (9, 0, 70, 0, 60, 0, 0, 0, 1),
-    (60, 0, 70, 0, 1, 100, 0, 0, 1), (80, 0, 60, 0, 2, 100, 0, 0, 1), (30, 0, 2, 100, 90, 0, 0, 0, 1),
-    (7, 0, 1, 100, 80, 0, 0, 1, 1), (5, 0, 40, 0, 60, 0, 0, 1, 1), (12, 0, 35, 0, 25, 0, 0, 0, 1),
-    (1, 100, 1, 100, 1, 100, 0, 0, 0), (3, 100, 2, 100, 4, 100, 0, 0, 0), (6, 90, 40, 0, 5, 100, 0, 0, 0),
-    (2, 0, 1, 100, 1, 100, 0, 0, 0), (4, 0, 2, 100, 3, 100, 0, 0, 0), (25, 80, 10, 90, 20, 85, 0, 0, 0),
-    (6, 0, 3, 100, 2, 0, 0, 0, 0), (3, 0, 90, 0, 1, 100, 0, 0, 0), (8, 0, 2, 100, 0, 0, 0, 0, 0),
-    (2, 0, 3, 100, 90, 0, 0, 0, 0), (4, 0, 0, 0, 120, 0, 0, 0, 0), (3, 0, 60, 0, 45, 0, 0, 0, 1),
-    (40, 70, 60, 60, 30, 75, 0, 0, 0), (3, 0, 2, 0, 1, 100, 0, 1, 0),
-    # in neither, at the end or alone
-    (300, 0, 0, 0, 0, 0, 0, 0, 1), (60, 3, 0, 0, 0, 0, 0, 0, 1), (20, 0, 0, 0, 0, 0, 0, 0, 1),
-    (8, 0, 0, 0, 0, 0, 0, 0, 1), (120, 0, 80, 0, 0, 0, 0, 0, 1), (45, 5, 60, 0, 0, 0, 0, 0, 1),
-    (25, 0, 40, 0, 0, 0, 0, 0, 1), (14, 0, 70, 0, 0, 0, 0, 0, 1), (9, 0, 30, 0, 0, 0, 0, 0, 1),
-    (80, 0, 5, 0, 0, 0, 0, 0, 1), (150, 2, 2, 100, 0, 0, 0, 0, 1), (35, 0, 3, 100, 0, 0, 0, 0, 1),
-    (6, 0, 50, 0, 0, 0, 0, 0, 1), (3, 0, 60, 0, 0, 0, 0, 0, 1), (4, 0, 25, 0, 0, 0, 0, 0, 1),
-    (4, 0, 0, 0, 0, 0, 0, 0, 1), (5, 0, 8, 0, 0, 0, 0, 0, 1),
-    # in neither, short ones among text
-    (4, 0, 60, 0, 70, 0, 0, 0, 1), (2, 0, 45, 0, 30, 0, 0, 0, 1), (1, 0, 30, 0, 50, 0, 0, 0, 1),
-    (5, 0, 20, 0, 20, 0, 0, 0, 1), (3, 0, 25, 5, 90, 0, 0, 0, 1), (6, 0, 35, 0, 12, 0, 0, 0, 1),
-    (5, 0, 30, 0, 4, 0, 0, 0, 1), (4, 0, 5, 0, 4, 0, 0, 0, 1), (3, 0, 4, 0, 5, 0, 0, 0, 1),
-    (6, 0, 7, 0, 6, 0, 0, 0, 1), (4, 0, 6, 0, 50, 0, 0, 0, 1), (2, 0, 3, 0, 4, 0, 0, 0, 1),
-    (5, 0, 6, 0, 40, 0, 0, 0, 1), (3, 0, 60, 0, 5, 0, 0, 0, 1), (4, 0, 40, 0, 60, 0, 0, 1, 1),
-    (2, 0, 80, 0, 70, 0, 0, 1, 1), (3, 0, 20, 0, 35, 0, 0, 1, 1), (6, 0, 0, 0, 80, 0, 0, 1, 1),
-    (3, 0, 2, 100, 60, 0, 0, 1, 1), (4, 0, 1, 100, 90, 0, 0, 1, 1), (2, 0, 3, 100, 40, 0, 0, 1, 1),
-    (5, 0, 4, 100, 20, 0, 0, 1, 1), (3, 0, 0, 0, 60, 0, 0, 1, 1), (8, 0, 3, 100, 6, 0, 0, 0, 1),
-    (9, 0, 2, 100, 40, 0, 0, 0, 1), (12, 0, 3, 100, 25, 0, 0, 0, 1),
-    (9, 0, 70, 0, 1, 100, 0, 0, 1), (12, 0, 50, 0, 2, 100, 0, 0, 1), (10, 0, 30, 0, 3, 100, 0, 0, 1),
-    (11, 0, 5, 0, 2, 100, 0, 0, 1), (60, 10, 40, 0, 5, 100, 0, 0, 1), (35, 25, 60, 0, 3, 100, 0, 0, 1),
-    (25, 15, 3, 100, 2, 100, 0, 0, 1),
-    (1, 0, 0, 0, 0, 0, 0, 0, 1), (2, 0, 0, 0, 0, 0, 0, 0, 1), (6, 0, 0, 0, 0, 0, 0, 0, 1),
-    (2, 0, 3, 0, 2, 0, 0, 0, 1), (1, 0, 2, 0, 1, 0, 0, 0, 1), (3, 0, 1, 0, 2, 0, 0, 0, 1), (4, 0, 2, 0, 0, 0, 0, 0, 1),
-    (7, 0, 3, 0, 0, 0, 0, 0, 1), (3, 0, 0, 0, 30, 0, 0, 0, 1), (2, 0, 0, 0, 5, 0, 0, 0, 1),
-    (300, 0, 2, 100, 0, 0, 0, 0, 1), (60, 0, 3, 100, 0, 0, 0, 0, 1), (90, 3, 1, 100, 3, 0, 0, 0, 1),
-    (20, 0, 4, 100, 0, 0, 0, 0, 1), (40, 0, 5, 100, 2, 0, 0, 0, 1), (15, 0, 2, 100, 0, 0, 0, 0, 1),
-    (200, 1, 3, 100, 1, 0, 0, 0, 1), (25, 0, 6, 100, 4, 0, 0, 0, 1),
-    # in neither, linked among text, and lists of links
-    (5, 60, 60, 0, 70, 0, 0, 0, 1), (15, 50, 40, 0, 60, 0, 0, 0, 1), (25, 45, 70, 0, 50, 0, 0, 0, 1),
-    (2, 100, 3, 100, 0, 0, 0, 0, 0), (4, 100, 5, 100, 2, 100, 0, 0, 0), (5, 100, 50, 0, 4, 100, 0, 0, 0),
-    (7, 100, 6, 100, 60, 0, 0, 0, 0), (3, 100, 0, 0, 2, 100, 0, 0, 0), (1, 100, 60, 0, 0, 0, 0, 0, 0),
-    (4, 100, 80, 0, 0, 0, 0, 0, 0), (8, 100, 7, 100, 9, 100, 0, 0, 0), (2, 100, 2, 0, 3, 100, 0, 0, 0),
-    (6, 100, 8, 0, 5, 100, 0, 0, 0), (10, 80, 9, 90, 0, 0, 0, 0, 0),
-    (1, 100, 0, 0, 21, 0, 0, 0, 0), (2, 100, 0, 0, 60, 0, 0, 0, 0), (3, 100, 0, 0, 120, 0, 0, 0, 0),
-    (2, 100, 80, 0, 5, 0, 0, 0, 0), (4, 100, 60, 0, 70, 0, 0, 0, 0), (6, 100, 0, 0, 0, 0, 0, 0, 0),
-    (5, 100, 30, 0, 40, 0, 0, 0, 0), (3, 100, 12, 0, 90, 0, 0, 0, 0), (8, 85, 3, 0, 4, 0, 0, 0, 0),
-    # in neither, labels of lists of links and notes below them
-    (2, 0, 4, 100, 3, 100, 0, 0, 0), (1, 0, 60, 0, 2, 100, 0, 0, 0), (3, 0, 5, 100, 6, 100, 0, 1, 0),
-    (2, 0, 50, 0, 4, 100, 0, 1, 0), (4, 0, 30, 0, 5, 100, 0, 1, 0), (3, 0, 2, 100, 0, 0, 0, 0, 0),
-    (5, 0, 1, 100, 0, 0, 0, 0, 0), (6, 0, 3, 100, 0, 0, 0, 0, 0), (7, 0, 2, 100, 0, 0, 0, 0, 0),
-    (4, 0, 90, 0, 2, 100, 0, 0, 0), (5, 0, 4, 100, 2, 100, 0, 0, 0), (2, 0, 0, 0, 1, 100, 0, 0, 0),
+    (5, 100, 6, 100, 7, 100, 0, 0), (2, 100, 2, 100, 1, 100, 0, 0), (8, 100, 9, 100, 8, 100, 0, 0),
+    (1, 100, 1, 100, 1, 100, 0, 0), (12, 95, 10, 100, 11, 100, 0, 0), (6, 100, 5, 100, 4, 100, 0, 0),
+    (4, 100, 5, 100, 0, 0, 0, 0), (7, 100, 8, 100, 0, 0, 0, 0), (2, 100, 1, 100, 0, 0, 0, 0),
+    (5, 100, 4, 100, 40, 0, 0, 0), (3, 100, 3, 100, 60, 0, 0, 0), (9, 90, 7, 100, 25, 0, 0, 0),
+    (6, 100, 50, 0, 5, 100, 0, 0), (3, 100, 70, 0, 4, 100, 0, 0), (8, 100, 2, 0, 9, 100, 0, 0),
+    (4, 100, 0, 0, 5, 100, 0, 0), (10, 85, 30, 0, 12, 90, 0, 0), (2, 100, 4, 0, 3, 100, 0, 0),
+    # without an article
+    (90, 0, 8, 0, 60, 0, 0, 1), (45, 3, 90, 0, 70, 0, 0, 1), (22, 0, 60, 0, 40, 0, 0, 1),
+    (18, 0, 40, 5, 30, 0, 0, 1), (150, 6, 2, 100, 3, 100, 0, 1), (9, 0, 70, 0, 60, 0, 0, 1),
+    (60, 0, 70, 0, 1, 100, 0, 1), (80, 0, 60, 0, 2, 100, 0, 1), (30, 0, 2, 100, 90, 0, 0, 1),
+    (7, 0, 1, 100, 80, 0, 1, 1), (5, 0, 40, 0, 60, 0, 1, 1), (12, 0, 35, 0, 25, 0, 0, 1),
+    (1, 100, 1, 100, 1, 100, 0, 0), (3, 100, 2, 100, 4, 100, 0, 0), (6, 90, 40, 0, 5, 100, 0, 0),
+    (2, 0, 1, 100, 1, 100, 0, 0), (4, 0, 2, 100, 3, 100, 0, 0), (25, 80, 10, 90, 20, 85, 0, 0),
+    (6, 0, 3, 100, 2, 0, 0, 0), (3, 0, 90, 0, 1, 100, 0, 0), (8, 0, 2, 100, 0, 0, 0, 0),
+    (2, 0, 3, 100, 90, 0, 0, 0), (4, 0, 0, 0, 120, 0, 0, 0), (3, 0, 60, 0, 45, 0, 0, 1),
+    (40, 70, 60, 60, 30, 75, 0, 0), (3, 0, 2, 0, 1, 100, 1, 0),
+    # without an article, at the end or alone
+    (300, 0, 0, 0, 0, 0, 0, 1), (60, 3, 0, 0, 0, 0, 0, 1), (20, 0, 0, 0, 0, 0, 0, 1),
+    (8, 0, 0, 0, 0, 0, 0, 1), (120, 0, 80, 0, 0, 0, 0, 1), (45, 5, 60, 0, 0, 0, 0, 1),
+    (25, 0, 40, 0, 0, 0, 0, 1), (14, 0, 70, 0, 0, 0, 0, 1), (9, 0, 30, 0, 0, 0, 0, 1),
+    (80, 0, 5, 0, 0, 0, 0, 1), (150, 2, 2, 100, 0, 0, 0, 1), (35, 0, 3, 100, 0, 0, 0, 1),
+    (6, 0, 50, 0, 0, 0, 0, 1), (3, 0, 60, 0, 0, 0, 0, 1), (4, 0, 25, 0, 0, 0, 0, 1),
+    (4, 0, 0, 0, 0, 0, 0, 1), (5, 0, 8, 0, 0, 0, 0, 1),
+    # without an article, short ones among text
+    (4, 0, 60, 0, 70, 0, 0, 1), (2, 0, 45, 0, 30, 0, 0, 1), (1, 0, 30, 0, 50, 0, 0, 1),
+    (5, 0, 20, 0, 20, 0, 0, 1), (3, 0, 25, 5, 90, 0, 0, 1), (6, 0, 35, 0, 12, 0, 0, 1),
+    (5, 0, 30, 0, 4, 0, 0, 1), (4, 0, 5, 0, 4, 0, 0, 1), (3, 0, 4, 0, 5, 0, 0, 1),
+    (6, 0, 7, 0, 6, 0, 0, 1), (4, 0, 6, 0, 50, 0, 0, 1), (2, 0, 3, 0, 4, 0, 0, 1),
+    (5, 0, 6, 0, 40, 0, 0, 1), (3, 0, 60, 0, 5, 0, 0, 1), (4, 0, 40, 0, 60, 0, 1, 1),
+    (2, 0, 80, 0, 70, 0, 1, 1), (3, 0, 20, 0, 35, 0, 1, 1), (6, 0, 0, 0, 80, 0, 1, 1),
+    (3, 0, 2, 100, 60, 0, 1, 1), (4, 0, 1, 100, 90, 0, 1, 1), (2, 0, 3, 100, 40, 0, 1, 1),
+    (5, 0, 4, 100, 20, 0, 1, 1), (3, 0, 0, 0, 60, 0, 1, 1), (8, 0, 3, 100, 6, 0, 0, 1),
+    (9, 0, 2, 100, 40, 0, 0, 1), (12, 0, 3, 100, 25, 0, 0, 1),
+    (9, 0, 70, 0, 1, 100, 0, 1), (12, 0, 50, 0, 2, 100, 0, 1), (10, 0, 30, 0, 3, 100, 0, 1),
+    (11, 0, 5, 0, 2, 100, 0, 1), (60, 10, 40, 0, 5, 100, 0, 1), (35, 25, 60, 0, 3, 100, 0, 1),
+    (25, 15, 3, 100, 2, 100, 0, 1),
+    (1, 0, 0, 0, 0, 0, 0, 1), (2, 0, 0, 0, 0, 0, 0, 1), (6, 0, 0, 0, 0, 0, 0, 1),
+    (2, 0, 3, 0, 2, 0, 0, 1), (1, 0, 2, 0, 1, 0, 0, 1), (3, 0, 1, 0, 2, 0, 0, 1), (4, 0, 2, 0, 0, 0, 0, 1),
+    (7, 0, 3, 0, 0, 0, 0, 1), (3, 0, 0, 0, 30, 0, 0, 1), (2, 0, 0, 0, 5, 0, 0, 1),
+    (300, 0, 2, 100, 0, 0, 0, 1), (60, 0, 3, 100, 0, 0, 0, 1), (90, 3, 1, 100, 3, 0, 0, 1),
+    (20, 0, 4, 100, 0, 0, 0, 1), (40, 0, 5, 100, 2, 0, 0, 1), (15, 0, 2, 100, 0, 0, 0, 1),
+    (200, 1, 3, 100, 1, 0, 0, 1), (25, 0, 6, 100, 4, 0, 0, 1),
+    # without an article, linked among text, and lists of links
+    (5, 60, 60, 0, 70, 0, 0, 1), (15, 50, 40, 0, 60, 0, 0, 1), (25, 45, 70, 0, 50, 0, 0, 1),
+    (2, 100, 3, 100, 0, 0, 0, 0), (4, 100, 5, 100, 2, 100, 0, 0), (5, 100, 50, 0, 4, 100, 0, 0),
+    (7, 100, 6, 100, 60, 0, 0, 0), (3, 100, 0, 0, 2, 100, 0, 0), (1, 100, 60, 0, 0, 0, 0, 0),
+    (4, 100, 80, 0, 0, 0, 0, 0), (8, 100, 7, 100, 9, 100, 0, 0), (2, 100, 2, 0, 3, 100, 0, 0),
+    (6, 100, 8, 0, 5, 100, 0, 0), (10, 80, 9, 90, 0, 0, 0, 0),
+    (1, 100, 0, 0, 21, 0, 0, 0), (2, 100, 0, 0, 60, 0, 0, 0), (3, 100, 0, 0, 120, 0, 0, 0),
+    (2, 100, 80, 0, 5, 0, 0, 0), (4, 100, 60, 0, 70, 0, 0, 0), (6, 100, 0, 0, 0, 0, 0, 0),
+    (5, 100, 30, 0, 40, 0, 0, 0), (3, 100, 12, 0, 90, 0, 0, 0), (8, 85, 3, 0, 4, 0, 0, 0),
+    # without an article, labels of lists of links and notes below them
+    (3, 0, 4, 100, 0, 0, 0, 0), (4, 0, 3, 100, 0, 0, 0, 0), (9, 0, 5, 100, 0, 0, 0, 0), (6, 0, 6, 100, 0, 0, 0, 0),
+    (2, 0, 4, 100, 3, 100, 0, 0), (1, 0, 60, 0, 2, 100, 0, 0), (3, 0, 5, 100, 6, 100, 1, 0),
+    (2, 0, 50, 0, 4, 100, 1, 0), (4, 0, 30, 0, 5, 100, 1, 0), (3, 0, 2, 100, 0, 0, 0, 0),
+    (5, 0, 1, 100, 0, 0, 0, 0), (6, 0, 3, 100, 0, 0, 0, 0), (7, 0, 2, 100, 0, 0, 0, 0),
+    (4, 0, 90, 0, 2, 100, 0, 0), (5, 0, 4, 100, 2, 100, 0, 0), (2, 0, 0, 0, 1, 100, 0, 0),
 )
 
 
@@ -197,8 +192,8 @@ class Block:
     text: str
     words: int
     links: float
-    place: int
     heading: bool
+    article: bool  # stands in what the page calls its article
 
 
 def furniture_name(named: str, within: bool) -> bool:
@@ -255,11 +250,12 @@ class Page:
         return -1 if -1 in sides else 1 if 1 in sides else 0
 
     def flush(self) -> None:
-        text = squeeze(html.unescape("".join(self.parts)))
+        place = self.place()
+        text = squeeze(html.unescape("".join(self.parts))) if place >= 0 else ""
         if text:
             words = len(text.split(" "))
             linked = len(html.unescape("".join(self.linked)).split())
-            self.blocks.append(Block(text, words, min(1.0, linked / words), self.place(), self.heading))
+            self.blocks.append(Block(text, words, min(1.0, linked / words), self.heading, place == 1))
         self.parts, self.linked = [], []
 
     def text(self, piece: str) -> None:
@@ -351,16 +347,18 @@ def matrix(blocks: list[Block]) -> np.ndarray:
     nothing = np.zeros((1, 2))
     return np.hstack([
         own, np.vstack([nothing, own[:-1]]), np.vstack([own[1:], nothing]),
-        np.array([(b.place, b.heading) for b in blocks], dtype=float).reshape(-1, 2),
+        np.array([[b.heading] for b in blocks], dtype=float).reshape(-1, 1),
     ])
 
 
 LEAF = 3  # rows that a split leaves on each side at least
+# Least share of article blocks in the leaf of a block that is kept: in a declared article, and elsewhere.
+IN_ARTICLE, ELSEWHERE = 0.1, 0.5
 
 
 @dataclass(frozen=True)
 class Node:
-    label: int
+    share: float  # of article blocks among its rows, one of each kind added: few rows are never sure
     feature: int = -1
     cut: float = 0.0
     low: Node | None = None
@@ -374,11 +372,11 @@ def gini(labels: np.ndarray) -> float:
 
 def grow(rows: np.ndarray, labels: np.ndarray, depth: int) -> Node:
     """The binary split with the least impurity that leaves ``LEAF`` rows on each side, again on both sides."""
-    label = int(labels.mean() >= 0.5)
+    share = (labels.sum() + 1) / (len(labels) + 2)
     if depth == 0 or gini(labels) == 0:
-        return Node(label)
+        return Node(share)
     found = (gini(labels) - 1e-9, -1, 0.0)
-    for feature in (6, *(f for f in range(rows.shape[1]) if f != 6)):
+    for feature in range(rows.shape[1]):
         values = np.unique(rows[:, feature])
         for cut in (values[:-1] + values[1:]) / 2:
             low = rows[:, feature] <= cut
@@ -387,9 +385,9 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int) -> Node:
             found = min(found, (gini(labels[low]) + gini(labels[~low]), feature, cut),
                         key=lambda x: x[0])
     if found[1] < 0:
-        return Node(label)
+        return Node(share)
     low = rows[:, found[1]] <= found[2]
-    return Node(label, found[1], found[2], grow(rows[low], labels[low], depth - 1),
+    return Node(share, found[1], found[2], grow(rows[low], labels[low], depth - 1),
                 grow(rows[~low], labels[~low], depth - 1))
 
 
@@ -399,10 +397,10 @@ def tree(depth: int = 8) -> Node:
     return grow(table[:, :-1], table[:, -1], depth)
 
 
-def decide(node: Node, row: np.ndarray) -> bool:
+def article_share(node: Node, row: np.ndarray) -> float:
     while node.feature >= 0:
         node = node.low if row[node.feature] <= node.cut else node.high
-    return bool(node.label)
+    return node.share
 
 
 def extract(source: str | None) -> str:
@@ -412,12 +410,20 @@ def extract(source: str | None) -> str:
     blocks = Page(source).blocks
     if not blocks:
         return ""
-    kept = [b.text for b, row in zip(blocks, matrix(blocks), strict=True) if decide(tree(), row)]
+    kept = [
+        b.text for b, row in zip(blocks, matrix(blocks), strict=True)
+        if article_share(tree(), row) >= (IN_ARTICLE if b.article else ELSEWHERE)
+    ]
     return "\n".join(kept)
 
 
 def main_text(source: str = "html") -> Column:
-    """The main text of a page column; never NULL.  Reads no other column."""
+    """The main text of a page column; never NULL.
+
+    NULL, empty and text-free pages give an empty string, an empty table no row.  Repeated rows give the same
+    text each.  Pages are read whole however long, one at a time.  Reads no other column, so names cannot clash;
+    the caller keeps what columns it likes.
+    """
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for pages in batches:

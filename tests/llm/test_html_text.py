@@ -1,4 +1,9 @@
+import re
+from collections import Counter
+from html.parser import HTMLParser
+
 import numpy as np
+import pyarrow.parquet as pq
 
 from dinerlake.llm import html_text
 from dinerlake.llm.html_text import extract, main_text
@@ -120,3 +125,78 @@ def test_column_with_nulls_long_and_repeated_pages(spark):
     assert got[:3] == ["", "", ""] and got[3] == got[4] != ""
     assert got[5] == "\n".join(["some words in a row"] * 20_000)
     assert df.limit(0).select(main_text()).count() == 0
+
+
+PAGES = "/root/testdata/sf0.001/pages.parquet"
+
+
+class PlainBlocks(HTMLParser):
+    """Blocks of well-formed pages by the parser of the standard library: everything but what stands in ``skipped``."""
+
+    skipped = ("script", "style", "title", "nav", "footer", "aside", "form", "button", "select")
+
+    def __init__(self, source: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.out, self.parts, self.depth, self.left_out = [], [], 0, []
+        self.feed(source)
+        self.close()
+        self.end()
+
+    def end(self):
+        text = " ".join("".join(self.parts).split())
+        self.out += [text] if text else []
+        self.parts = []
+
+    def handle_starttag(self, tag, attributes):
+        if tag == "br":
+            self.parts.append(" ")
+        if tag not in html_text.INLINE:
+            self.end()
+        if tag in self.skipped or self.left_out and tag == self.left_out[-1] or "ad" in dict(attributes).get("class", "").split():
+            self.left_out.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag not in html_text.INLINE:
+            self.end()
+        if self.left_out and self.left_out[-1] == tag:
+            self.left_out.pop()
+
+    def handle_data(self, data):
+        if not self.left_out:
+            self.parts.append(data)
+
+
+def without_names(page: str) -> str:
+    """The page with neutral elements and no class, id or role."""
+    page = re.sub(r"\s(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page, flags=re.I)
+    return re.sub(r"<(/?)(article|main|nav|header|footer|aside|form|section|menu)\b", r"<\1div", page, flags=re.I)
+
+
+def test_blocks_equal_a_plain_parser():
+    pages = pq.read_table(PAGES, columns=["html"])["html"].to_pylist()
+    assert len(pages) >= 20
+    for page in pages:
+        assert [b.text for b in html_text.Page(page).blocks] == PlainBlocks(page).out
+    page = "<div class=ad>x <p>y</p></div><p>a &lt;b&gt; &eacute;<br>c</p><ul><li>d<li>e <b>f</b>g</ul><nav>h</nav>i"
+    assert [b.text for b in html_text.Page(page).blocks] == PlainBlocks(page).out == ["a <b> é c", "d", "e fg", "i"]
+
+
+def test_the_tree_knows_no_markup_and_finds_the_text_of_pages_without_any():
+    """Words are right if their block is kept or dropped as on the page with its article and names."""
+    assert {"words", "links", "words_before", "links_before", "words_after", "links_after"} < set(html_text.FEATURES)
+    assert len(html_text.LABELLED[0]) == len(html_text.FEATURES) + 1
+    right = every = 0
+    for page in pq.read_table(PAGES, columns=["html"])["html"].to_pylist():
+        bare = without_names(page)
+        want, got = (Counter(extract(p).split("\n")) for p in (page, bare))
+        for text, n in Counter(b.text for b in html_text.Page(bare).blocks).items():
+            every += n * len(text.split())
+            right += (n - abs(min(n, want[text]) - min(n, got[text]))) * len(text.split())
+    assert right >= 0.9 * every > 0
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = [(1, ARTICLE, "t", 5, -1.0), (2, None, "t", 6, None)]
+    df = spark.createDataFrame(rows, "page_id long, html string, text string, n_chars int, place double")
+    got = df.select("*", main_text().alias("main")).collect()
+    assert [r.main for r in got] == [extract(ARTICLE), ""] and [r.text for r in got] == ["t", "t"]
