@@ -8,13 +8,25 @@ from pyspark.sql import functions as F
 from dinerlake.llm.common import scratch, written
 
 
-def state(edges: DataFrame) -> tuple:
-    """Number and checksum of the edges."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def settled(edges: DataFrame) -> bool:
+    """Whether every node but the roots is tied to one node, a smaller one, and that is a root.
+
+    Further stars would change nothing.  Repeated edges do not matter.
+    """
+    ends = edges.select(F.col("a").alias("node"), "b").union(
+        edges.select(F.col("b").alias("node"), F.lit(None).alias("b")))
+    nodes = ends.groupBy("node").agg(
+        F.min("b").alias("low"), F.max("b").alias("high"), F.bool_or(F.col("b").isNull()).alias("parent"))
+    wrong = F.col("low").isNotNull() & (
+        (F.col("low") != F.col("high")) | F.col("parent") | (F.col("low") > F.col("node")))
+    return not nodes.agg(F.coalesce(F.bool_or(wrong), F.lit(False))).first()[0]
 
 
 def starred(edges: DataFrame, large: bool) -> DataFrame:
-    """Every node's neighbours (the larger ones, or the others) tied to the least of them all."""
+    """Every node's neighbours (the larger ones, or the others) tied to the least of them all.
+
+    The large star gives at most one edge for each that it takes, so only the small star removes repeats.
+    """
     if large:
         near = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
@@ -25,10 +37,9 @@ def starred(edges: DataFrame, large: bool) -> DataFrame:
     )
     tied = near.join(least, "a")
     if large:
-        out = tied.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
-    else:
-        out = tied.select(F.col("b").alias("a"), F.col("low").alias("b")).union(
-            least.select("a", F.col("low").alias("b")))
+        return tied.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
+    out = tied.select(F.col("b").alias("a"), F.col("low").alias("b")).union(
+        least.select("a", F.col("low").alias("b")))
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
@@ -40,15 +51,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     with scratch(spark):
-        edges = written(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), "edges")
-        before = state(edges)
-        while before[0]:
+        edges = written(edges.where(F.col("a") != F.col("b")).select("a", "b"), "edges")
+        while not settled(edges):
             with scratch(spark):
                 edges = written(starred(written(starred(edges, True), "edges"), False), "edges", keep=True)
-            now = state(edges)
-            if now == before:
-                break
-            before = now
         roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        roots = roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        roots = roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         return written(roots, "roots", keep=True)
