@@ -5,11 +5,14 @@ import re
 
 from pyspark.sql import functions as F
 
+from dinerlake.operators import lines
+from dinerlake.operators.joins import join_to_unique
 from dinerlake.operators.lines import enrich_lines
 from dinerlake.operators.dedupe import dedupe_items
 from dinerlake.plans import marts, silver, views
 from dinerlake.sources import files
 from dinerlake.sources import sample_tables as st
+from tests import helpers as H
 from tests.conftest import SMALL
 
 
@@ -113,3 +116,44 @@ def test_hot_line_is_split_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles(df):
+    """What is dealt out by hash in the plan, by its keys without their numbers."""
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", physical(df))
+    return [re.sub(r"#\d+L?", "", k) for k in keys]
+
+
+def test_marts_of_the_sample_tables_deal_out_lines_once(work):
+    """The join with the options and the roll-ups to orders use the layout by order."""
+    clustered = work.enriched()
+    for orders in (lines.orders_by_store, lines.orders_by_user, lines.orders_discount):
+        assert shuffles(orders(clustered)) == ["order_id"] * 4
+    assert "REBALANCE" not in physical(marts.daily_sales_by_store(clustered))
+
+
+def test_clustered_lines_equal_those_dealt_out_anew(spark):
+    one = [H.line("1", "1"), H.line("1", "1", price="2.00"), H.line(None, "1"), H.line("2", None), H.line("3", "1")]
+    two = [H.option("1", "1"), H.option("1", "1"), H.option(None, "1"), H.option("2", None), H.option("2", "1")]
+    items, options = H.items(spark, *one), H.options(spark, *two)
+    plain = enrich_lines(items, options)
+    near = enrich_lines(items.repartition("order_id"), options.repartition("order_id"), clustered=True)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, near.collect()))
+    assert sorted(r.options_total for r in plain.collect()) == [0, 0, 0, 2, 2]
+
+
+def test_order_range_is_that_of_the_lines(work):
+    first, last = work.items().agg(F.min("order_date"), F.max("order_date")).first()
+    assert work.date_range() == (first, last)
+
+
+def test_layouts_by_some_keys_are_not_reused_for_unique_sides(spark, work):
+    """Under the settings of the workspace both sides still get shuffles of their own."""
+    rows = spark.range(100).select(F.col("id").alias("a"), (F.col("id") % 3).alias("b"))
+    joined = join_to_unique(rows, rows.groupBy("a", "b").agg(F.count("a").alias("n")), ["a", "b"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [k.split(",")[0] for k in shuffles(joined)].count("_key_hash") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joined.count() == 100 and joined.filter("n = 1").count() == 100
