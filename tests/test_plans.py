@@ -180,3 +180,17 @@ def test_copies_are_written_without_gathering(spark, monkeypatch):
     w = workspace.Workspace(spark, SMALL)
     w._copy("items", lambda: spark.range(3))
     assert "rebalance" not in seen[0]._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_scans_are_cut_unless_the_session_says_how(spark):
+    from dinerlake.session import scan_in_parts
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        for size, found in (("32m", "32m"), ("64m", "32m")):
+            scan_in_parts(spark, size)
+            assert spark.conf.get(key) == found
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
