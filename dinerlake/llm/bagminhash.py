@@ -141,7 +141,7 @@ def bag_digests(hashes: np.ndarray, owner: np.ndarray, n: int) -> list[bytes]:
 
 PROFILE = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("bag", pa.binary()),
                      ("bands", pa.list_(pa.int64()))])
-BAG = pa.schema([("bag", pa.int64()), ("elements", pa.list_(pa.int64()))])
+BAG = pa.schema([("bag", pa.int64()), ("centres", pa.list_(pa.int64())), ("elements", pa.list_(pa.int64()))])
 
 
 def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +169,7 @@ def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bounds = np.searchsorted(np.repeat(doc, weight), np.arange(len(some) + 1))
             own = batch.slice(begin, len(some))
             yield pa.RecordBatch.from_arrays([
-                own.column("bag"),
+                own.column("bag"), own.column("centres"),
                 lists([each[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.int64()),
             ], schema=BAG)
 
@@ -183,14 +183,22 @@ def similarity(left: str, right: str) -> Column:
 def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b and others) with their exact similarity."""
     pairs = written(pairs, "pairs")
-    left = thinned(sets.select(F.col("bag").alias("a"), F.col("elements").alias("a_set")), "a", pairs)
     right = thinned(sets.select(F.col("bag").alias("b"), F.col("elements").alias("b_set")), "b", pairs)
-    both = pairs.join(right, "b").join(left, "a")
-    return both.select(*pairs.columns, similarity("a_set", "b_set").alias("similarity"))
+    return compared(pairs.join(right, "b"), sets, pairs)
+
+
+def compared(halves: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Pairs that have the set of b already, with their exact similarity.  ``wanted``: a written table of all a."""
+    left = thinned(sets.select(F.col("bag").alias("a"), F.col("elements").alias("a_set")), "a", wanted)
+    others = [c for c in halves.columns if c != "b_set"]
+    return halves.join(left, "a").select(*others, similarity("a_set", "b_set").alias("similarity"))
 
 
 def shareable(sets: DataFrame) -> DataFrame:
-    """Per bag its size, and how many of its elements (``common``) occur in another bag as well."""
+    """Per bag its size, and how many of its elements (``common``) occur in another bag as well.
+
+    More bags than needed can only raise ``common``, which stays a bound.
+    """
     each = sets.select("bag", F.explode("elements").alias("element"))
     alone = each.groupBy("element").agg(F.count("*").alias("n"), F.any_value("bag").alias("bag")).where("n = 1")
     single = alone.groupBy("bag").agg(F.count("*").alias("single"))
@@ -202,7 +210,7 @@ def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
     """All links (a, b) between bags that share a band slot and are similar enough, up to
     links inside a component that other links already make.  ``slots``: slot, bag."""
     shared = written(slots.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    crowd = written(slots.join(shared, "slot"), "crowd")
+    crowd = written(thinned(slots, "slot", shared).join(shared, "slot"), "crowd")
     # The member that meets most others over all its slots is the centre: in a group of edited
     # copies that is the text they come from, or the copy nearest to it.
     weight = written(crowd.groupBy("bag").agg(F.sum("n").alias("weight")), "weight")
@@ -212,10 +220,12 @@ def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
         "centres",
     )
     members = written(crowd.select("slot", "bag").join(centres, "slot"), "members")
-    spokes = members.where("bag <> centre").select(
-        F.col("centre").alias("a"), F.col("bag").alias("b")).distinct()
-    sets = sets_of(members.select("bag").distinct())
-    first = written(checked(spokes, sets), "spokes")
+    # A set is made with the list of its centres (one per band at most), so it is sent to them without a
+    # join that would first bring sets and pairs together.
+    sets = sets_of(members.groupBy("bag").agg(
+        F.collect_set(F.when(F.col("bag") != F.col("centre"), F.col("centre"))).alias("centres")))
+    spokes = sets.select(F.explode("centres").alias("a"), F.col("bag").alias("b"), F.col("elements").alias("b_set"))
+    first = written(compared(spokes, sets, centres.select(F.col("centre").alias("a"))), "spokes")
     strong = first.where(F.col("similarity") >= least).select("a", "b")
     roots = components(strong)
 
@@ -228,7 +238,7 @@ def links(slots: DataFrame, sets_of, least: float) -> DataFrame:
                 (1 - F.col("similarity")).alias("distance"))
     )
     rest = written(undecided(written(placed, "placed")), "open")
-    sizes = written(shareable(thinned(sets, "bag", rest).join(rest.select("bag").distinct(), "bag")), "sizes")
+    sizes = written(shareable(thinned(sets, "bag", rest)), "sizes")
     # Nothing else can come near a bag that keeps too little after its own elements.
     rest = written(rest.join(sizes, "bag").where(F.col("common") >= least * F.col("size") - 1e-9), "rest")
 
@@ -258,16 +268,17 @@ def crossing(rest: DataFrame, sets: DataFrame, least: float) -> DataFrame:
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     bags = written(rest.join(main, "slot").groupBy("bag").agg(
         F.any_value("root").alias("root"), F.bool_or(F.col("root") != F.col("main")).alias("outside")), "outside")
-    chosen = written(thinned(sets, "bag", bags).join(bags, "bag"), "chosen")
+    chosen = written(thinned(sets.select("bag", "elements"), "bag", bags).join(bags, "bag").withColumn(
+        "size", F.size("elements")), "chosen")
     each = chosen.select("bag", F.explode("elements").alias("element"))
     counts = each.groupBy("element").agg(F.count("*").alias("n")).where("n > 1")
     shared = each.join(counts, "element").groupBy("bag").agg(
         F.array_sort(F.collect_list(F.struct("n", "element"))).alias("shared"))
     # A bag's own elements come first; they meet nothing but take their places.
-    size, own = F.size("elements"), F.size("elements") - F.size("shared")
+    size, own = F.col("size"), F.col("size") - F.size("shared")
     length = F.greatest(F.lit(0), size - F.ceil(least * size - 1e-9) + 1 - own).cast("int")
     prefixes = written(chosen.join(shared, "bag").select(
-        "bag", "root", "outside", size.alias("size"), own.alias("own"),
+        "bag", "root", "outside", "size", own.alias("own"),
         F.posexplode(F.slice("shared", F.lit(1), length)).alias("place", "entry")
     ).select("bag", "root", "outside", "size", (F.col("own") + F.col("place")).alias("place"),
              F.col("entry.element").alias("element")), "prefixes")
@@ -336,14 +347,16 @@ def classified(docs: DataFrame, id_column: str, least: float) -> DataFrame:
         slots = distinct.select(F.explode("bands").alias("slot"), "bag")
 
         def sets_of(wanted: DataFrame) -> DataFrame:
+            # One key for id (it may be NULL) and digest: the join and the removal of repeated rows then share
+            # a layout, and the texts move once.
             keepers = written(
-                distinct.join(wanted, "bag").select(
-                    "bag", F.col("keeper.id").alias("keeper_id"), F.col("keeper.digest").alias("digest")),
+                distinct.join(wanted, "bag").select("bag", "centres", F.struct("keeper.id", "keeper.digest").alias("key")),
                 "keepers",
             )
-            texts = thinned(source, "digest", keepers).join(keepers, "digest").where(
-                F.col("id").eqNullSafe(F.col("keeper_id"))).dropDuplicates(["digest"])
-            found = texts.select("bag", "text").mapInArrow(elements, "bag long, elements array<long>")
+            texts = thinned(source.select(F.struct("id", "digest").alias("key"), "text"), "key", keepers).join(
+                keepers, "key").dropDuplicates(["key"])
+            found = texts.select("bag", "centres", "text").mapInArrow(
+                elements, "bag long, centres array<long>, elements array<long>")
             return written(found, "sets")
 
         roots = components(links(slots, sets_of, least))

@@ -97,3 +97,34 @@ def test_components(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: union.find(x) for x in linked}
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def moved(df):
+    """The columns of every shuffle in the plan of ``df``."""
+    plans, found = [df._jdf.queryExecution().executedPlan()], []
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "Exchange":
+            found.append({plan.output().apply(i).name() for i in range(plan.output().size())})
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return found
+
+
+def test_texts_and_sets_move_no_more_than_needed(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(500)}" for _ in range(80)]
+    rows = [(i, " ".join(edited(rng, base, 0.02))) for i in range(30)] + [(i, f"text {i} alone") for i in range(50, 60)]
+    seen = {}
+    monkeypatch.setattr(B, "written", lambda df, tag, *a, f=B.written, **k: (seen.setdefault(tag, moved(df)), f(df, tag, *a, **k))[1])
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        B.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum("text" in c for c in seen["sets"]) == 1
+    assert sum(bool(c & {"a_set", "b_set", "elements"}) for c in seen["spokes"]) == 2
+    assert not any("elements" in c for tag in ("sizes", "prefixes") for c in seen[tag])
