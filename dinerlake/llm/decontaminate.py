@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dinerlake.llm.common import written
+from dinerlake.llm.common import marked, written
 from dinerlake.llm.words import ALNUM, U, Words, chunks, mixed, split
 
 
@@ -282,11 +282,17 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEM
     """The documents that hold no item, also none of those with a NULL id; all rows and columns of the
     others stay, NULL and empty texts too.  An empty benchmark or table changes nothing."""
     benchmark = benchmark.select(F.coalesce("item_id", F.lit(-1).cast("long")).alias("item_id"), "text")
-    for number, items in enumerate(item_blocks(benchmark, block)):
-        if number:  # between two blocks only
-            docs = written(docs, "leakless")
-        docs = docs.where(F.size(leak_column(items, "text")) == 0)
-    return docs
+    digest = F.unhex(F.md5(F.col("text").cast("binary")))
+
+    def found(items: Items) -> DataFrame:
+        return docs.where(F.size(leak_column(items, "text")) > 0).select(digest.alias("_leaked")).distinct()
+
+    # A block's result, the digests of the texts that leak, is written before the next block is read.
+    leaked = reduce(DataFrame.unionByName, (
+        written(found(items), "leakless") for items in item_blocks(benchmark, block)))
+    flagged = marked(docs.withColumn("_digest", digest), "_digest", leaked.withColumnRenamed("_leaked", "_digest"), "_may")
+    kept = flagged.where("_may").join(leaked, F.col("_digest") == F.col("_leaked"), "left_anti")
+    return flagged.where("not _may").unionByName(kept).select(*docs.columns)
 
 
 def leaked_pairs(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
