@@ -111,23 +111,20 @@ def asked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rids = np.frombuffer(tile["rids"], dtype=np.int64)
             at = np.flatnonzero(np.frombuffer(tile["asked"], dtype=bool))
             matrix = np.frombuffer(tile["matrix"], dtype=kind(tile["scale"])).reshape(len(rids), tile["dim"])
-            known = np.frombuffer(tile["known"], dtype=bool)[at]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(at), tile["dim"])), pa.array(np.full(len(at), tile["scale"])),
-                pa.array(rids[at]), pa.array(np.frombuffer(tile["ids"], dtype=np.int64)[at], mask=~known),
+                pa.array(rids[at]), pa.array(np.frombuffer(tile["ids"], dtype=np.int64)[at]),
                 pa.array([row.tobytes() for row in matrix[at]], pa.binary()),
             ], names=["dim", "scale", "rid", "vec_id", "vector"])
 
 
 def pack(group: pd.DataFrame) -> pd.DataFrame:
     """One block of queries."""
-    known = group["vec_id"].notna().to_numpy()
     return pd.DataFrame({
         "dim": [int(group["dim"].iloc[0])],
         "q_scale": [int(group["scale"].iloc[0])],
         "q_block": [int(group["block"].iloc[0])],
-        "q_ids": [group["vec_id"].fillna(0).to_numpy(dtype=np.int64).tobytes()],
-        "q_known": [known.tobytes()],
+        "q_ids": [group["vec_id"].to_numpy(dtype=np.int64).tobytes()],
         "q_rids": [group["rid"].to_numpy(dtype=np.int64).tobytes()],
         "q_matrix": [b"".join(group["vector"])],
     })
@@ -167,8 +164,8 @@ def fewer(rows: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 class Tops:
     """The ``k`` best rows of every query of a block among the shards met so far, best first."""
 
-    def __init__(self, ids: np.ndarray, known: np.ndarray, rids: np.ndarray, matrix: np.ndarray, k: int) -> None:
-        self.q_ids, self.q_known, self.q_rids, self.matrix, self.k = ids, known, rids, matrix, k
+    def __init__(self, ids: np.ndarray, rids: np.ndarray, matrix: np.ndarray, k: int) -> None:
+        self.q_ids, self.q_rids, self.matrix, self.k = ids, rids, matrix, k
         self.count = np.zeros(len(rids), dtype=np.int64)
         self.score = np.full((len(rids), k), LONG_MIN, dtype=np.int64)
         self.ids, self.rids = (np.zeros((len(rids), k), dtype=np.int64) for _ in range(2))
@@ -237,7 +234,8 @@ def tile_tops(k: int):
 
         rids = column("rids", np.int64)
         matrix = column("matrix", kind(tile[f"{side}_scale"].as_py())).reshape(len(rids), dim)
-        return column("ids", np.int64), column("known", bool), rids, matrix
+        known = [column("known", bool)] if side == "c" else []
+        return column("ids", np.int64), *known, rids, matrix
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tops: dict[tuple[int, int, int], Tops] = {}
@@ -252,7 +250,7 @@ def tile_tops(k: int):
             for rows in np.array_split(np.arange(len(top.count)), -(-len(top.count) * k // ROWS_AT_ONCE)):
                 i, score, known, ids, rids = top.entries(rows)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(top.q_rids[i]), pa.array(top.q_ids[i], mask=~top.q_known[i]),
+                    pa.array(top.q_rids[i]), pa.array(top.q_ids[i]),
                     pa.array(rids), pa.array(ids, mask=~known), pa.array(score),
                 ], schema=schema)
 
@@ -292,21 +290,23 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, query_block: int = Q
         F.coalesce(is_query, F.lit(False)).alias("asked"),
         F.monotonically_increasing_id().alias("rid"),
     )
-    schema = "dim long, {0}scale long, {1}{0}ids binary, {0}known binary, {0}rids binary, {2}{0}matrix binary"
+    c_schema = ("dim long, scale long, n_asked long, ids binary, known binary, rids binary, asked binary, "
+                "matrix binary")
+    q_schema = "dim long, q_scale long, q_block long, q_ids binary, q_rids binary, q_matrix binary"
     tasks = max(FAN_IN, spark.sparkContext.defaultParallelism)
     with scratch(spark):
         # The written copy fixes the row numbers.
-        c = written(rows.mapInArrow(packed(shard), schema.format("", "n_asked long, ", "asked binary, ")), "shards")
+        c = written(rows.mapInArrow(packed(shard), c_schema), "shards")
         asked, room, most = c.agg(
             F.sum("n_asked"), F.sum(F.expr(f"n_asked * (8 * dim + {LIST_BYTES * k})")), F.max("dim")).first()
         count = -(-(asked or 0) // query_block)
         count = max(count, -(-(asked or 0) * 8 * (most or 0) // BLOCK_BYTES))
         passes = min(count, -(-(room or 0) // PASS_BYTES))
         q = (
-            c.where("n_asked > 0").select("dim", "scale", "ids", "known", "rids", "asked", "matrix")
+            c.where("n_asked > 0").select("dim", "scale", "ids", "rids", "asked", "matrix")
             .mapInArrow(asked_rows, "dim long, scale long, rid long, vec_id long, vector binary")
             .withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(max(1, count))))
-            .groupBy("dim", "scale", "block").applyInPandas(pack, schema.format("q_", "q_block long, ", ""))
+            .groupBy("dim", "scale", "block").applyInPandas(pack, q_schema)
         )
         q = written(q, "queries")
         c = c.select("dim", *(F.col(x).alias(f"c_{x}") for x in ("scale", "ids", "known", "rids", "matrix")))

@@ -110,7 +110,7 @@ def test_lists_by_shard_equal_one_sort():
         matrix = rng.integers(-2, 3, (150, width)).astype(float)
         ids, known, rids = rng.integers(0, 20, 150), rng.random(150) < 0.8, rng.permutation(150)
         ids[~known] = 0
-        tops = topk.Tops(ids[:20], known[:20], rids[:20], matrix[:20], k)
+        tops = topk.Tops(ids[:20], rids[:20], matrix[:20], k)
         for part in np.array_split(rng.permutation(150), 9):
             part = part[np.lexsort((rids[part], ids[part], ~known[part]))]
             tops.meet(ids[part], known[part], rids[part], matrix[part])
